@@ -94,26 +94,39 @@ def split_key(c: ColumnOrName, head_len: int = 5) -> tuple[Column, Column]:
     return head, tail
 
 
+def _int_date_parts(col: Column) -> tuple[Column, Column]:
+    """(date, valid) for a yyyymmdd integer, by arithmetic only (no string parsing).
+
+    ``valid`` holds for a positive 8-digit value naming a calendar day.  The
+    month is clamped before ``make_date`` so no invalid date is ever built.
+    """
+    n = col.cast("int")
+    y = F.call_function("div", n, F.lit(10000))
+    m = F.call_function("div", n, F.lit(100)) % 100
+    d = n % 100
+    first = F.make_date(y.cast("int"), F.greatest(F.least(m, F.lit(12)), F.lit(1)).cast("int"), F.lit(1))
+    valid = (n.between(10000000, 99999999) & m.between(1, 12) & (d >= 1)
+             & (d <= F.dayofmonth(F.last_day(first))))
+    return F.date_add(first, (d - 1).cast("int")), valid
+
+
 def parse_int_date(c: ColumnOrName) -> Column:
     """yyyymmdd integer -> date; 0, not 8 characters, or no valid date -> NULL.
 
     An 8-character value that is no calendar date (``20101399``) or a negative
     one (``-2010101``) raises in the source system; here it becomes NULL and
-    ``reject_reason`` reports it.
+    ``int_date_rejected`` reports it.
     """
-    col = _col(c)
-    txt = col.cast("string")
-    return (
-        F.when((col == 0) | (F.length(txt) != 8), F.lit(None).cast("date"))
-        .otherwise(F.try_to_date(txt, "yyyyMMdd"))
-    )
+    date, valid = _int_date_parts(_col(c))
+    return F.when(valid, date).otherwise(F.lit(None).cast("date"))
 
 
 def int_date_rejected(c: ColumnOrName) -> Column:
-    """True when an 8-character value is not a valid yyyymmdd date."""
-    col = _col(c)
-    txt = col.cast("string")
-    return (col != 0) & (F.length(txt) == 8) & F.try_to_date(txt, "yyyyMMdd").isNull()
+    """True when the value has 8 characters but is no valid yyyymmdd date."""
+    n = _col(c).cast("int")
+    _, valid = _int_date_parts(n)
+    eight_chars = n.between(10000000, 99999999) | n.between(-9999999, -1000000)
+    return eight_chars & ~valid
 
 
 def null_future_dates(c: ColumnOrName, as_of: Column | str | None = None) -> Column:

@@ -90,26 +90,32 @@ _NUMERIC = (T.IntegerType, T.LongType, T.DoubleType, T.FloatType, T.ShortType, T
 def profile(df: DataFrame) -> DataFrame:
     """One row per column: rows, nulls, distinct values, min, max (as text), mean (numeric).
 
-    All columns are measured by one aggregate over the table; exact distinct
-    counts run as a single Expand-based aggregate.
+    Two single-pass aggregates over the table: counts, min, max and sums in
+    one, the exact distinct counts in the other (mixing both in one aggregate
+    makes Spark expand every row once per distinct column *and* carry all the
+    other aggregates through each copy).  The two one-row results are joined
+    on a constant key.
     """
     fields = df.schema.fields
-    aggs = [F.count(F.lit(1)).alias("_rows")]
+    plain = [F.count(F.lit(1)).alias("_rows")]
     for i, f in enumerate(fields):
         c = F.col(f.name)
-        aggs += [F.count(c).alias(f"_nn{i}"), F.countDistinct(c).alias(f"_nd{i}"),
-                 F.min(c).cast("string").alias(f"_mn{i}"), F.max(c).cast("string").alias(f"_mx{i}")]
+        plain += [F.count(c).alias(f"_nn{i}"), F.min(c).cast("string").alias(f"_mn{i}"),
+                  F.max(c).cast("string").alias(f"_mx{i}")]
         if isinstance(f.dataType, _NUMERIC):
-            aggs.append(F.try_divide(F.sum(c).cast("double"), F.count(c).cast("double")).alias(f"_avg{i}"))
+            plain.append(F.try_divide(F.sum(c).cast("double"), F.count(c).cast("double")).alias(f"_avg{i}"))
         else:
-            aggs.append(F.lit(None).cast("double").alias(f"_avg{i}"))
-    a = df.agg(*aggs)
+            plain.append(F.lit(None).cast("double").alias(f"_avg{i}"))
+    a = df.agg(*plain).withColumn("_k", F.lit(1))
+    d = df.agg(*[F.countDistinct(F.col(f.name)).alias(f"_nd{i}") for i, f in enumerate(fields)]).withColumn(
+        "_k", F.lit(1))
+    both = a.join(d, "_k")
     rows = F.array(*[F.struct(
         F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
         F.col(f"_nn{i}").cast("long").alias("non_null"), F.col(f"_nd{i}").cast("long").alias("distinct_values"),
         F.col(f"_mn{i}").alias("min_value"), F.col(f"_mx{i}").alias("max_value"),
         F.col(f"_avg{i}").alias("mean")) for i, f in enumerate(fields)])
-    return a.select(F.col("_rows").cast("long").alias("row_count"), F.explode(rows).alias("_p")).select(
+    return both.select(F.col("_rows").cast("long").alias("row_count"), F.explode(rows).alias("_p")).select(
         "_p.column_name", "_p.data_type", "row_count",
         (F.col("row_count") - F.col("_p.non_null")).alias("null_count"),
         "_p.distinct_values", "_p.min_value", "_p.max_value", F.round("_p.mean", 6).alias("mean"))

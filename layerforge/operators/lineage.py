@@ -5,8 +5,8 @@ computed by semi-naive iteration: each round joins only the pairs found in the
 previous round (the frontier) with the edges and removes pairs already known
 (``left_anti``).  The loop ends when a round finds nothing, so cycles end too,
 and a node on a cycle reaches itself.  Known pairs are checkpointed every few
-rounds to the shared checkpoint folder, which keeps plans short and lets a
-lost executor recompute only the last round.
+rounds as Parquet below the shared checkpoint folder, which keeps plans short
+and lets a lost executor recompute only the last few rounds.
 """
 
 from __future__ import annotations
@@ -28,12 +28,28 @@ def edges_from_transformations(transformations: DataFrame) -> DataFrame:
         F.col("transformation_type").alias("type"), F.col("transformation_logic").alias("logic"))
 
 
+def _fix(df: DataFrame, round_no: int, every: int, name: str) -> DataFrame:
+    """Checkpoint a round's result to the shared checkpoint folder (fixed input of the next round).
+
+    A stored round is computed once, its emptiness is a metadata read, and a
+    lost executor never recomputes an earlier round.
+    """
+    return df.checkpoint(eager=True)
+
+
 def closure(edges: DataFrame, reverse: bool = False, checkpoint_every: int = 4,
             max_rounds: int | None = None) -> DataFrame:
-    """All (asset, reached) pairs: downstream (follow edges) or upstream (``reverse``)."""
+    """All (asset, reached) pairs: downstream (follow edges) or upstream (``reverse``).
+
+    Each round stores its new pairs (one job) and tests them for emptiness;
+    the union of known pairs is compacted into one stored table every
+    ``checkpoint_every`` rounds.
+    """
     ensure_checkpoint_dir(edges.sparkSession)
     e = edges.select(F.col("dst").alias("a"), F.col("src").alias("b")) if reverse else \
         edges.select(F.col("src").alias("a"), F.col("dst").alias("b"))
+    # No NULL filter here: a NULL end never joins, and a filter's constraints
+    # would be carried into every checkpointed union below.
     e = e.distinct().checkpoint()
     known = e
     frontier = e
@@ -42,17 +58,18 @@ def closure(edges: DataFrame, reverse: bool = False, checkpoint_every: int = 4,
         rounds += 1
         step = (frontier.alias("f").join(e.alias("e"), F.col("f.b") == F.col("e.a"))
                 .select(F.col("f.a").alias("a"), F.col("e.b").alias("b")).distinct())
-        new = step.join(known, ["a", "b"], "left_anti").checkpoint()
+        new = _fix(step.join(known, ["a", "b"], "left_anti"), rounds, checkpoint_every, "closure-frontier")
         if new.isEmpty() or (max_rounds is not None and rounds >= max_rounds):
             break
         known = known.unionByName(new)
         if rounds % checkpoint_every == 0:
-            known = known.checkpoint()
+            known = known.checkpoint(eager=True)
         frontier = new
     return known.select(F.col("a").alias("asset"), F.col("b").alias("reached"))
 
 
-def shortest_paths_to(edges: DataFrame, target, max_rounds: int | None = None) -> DataFrame:
+def shortest_paths_to(edges: DataFrame, target, max_rounds: int | None = None,
+                      checkpoint_every: int = 4) -> DataFrame:
     """For every asset that reaches ``target``: the shortest path, ties -> lexically smallest.
 
     Breadth-first from the target against the edge direction; a node keeps the
@@ -60,22 +77,22 @@ def shortest_paths_to(edges: DataFrame, target, max_rounds: int | None = None) -
     """
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
-    e = edges.select("src", "dst").distinct()
-    level = spark.range(1).select(F.lit(target).cast(e.schema["dst"].dataType).alias("node"),
-                                  F.array(F.lit(target).cast(e.schema["dst"].dataType)).alias("path"))
-    found = level.checkpoint()
+    e = edges.select("src", "dst").distinct().checkpoint()
+    t = e.schema["dst"].dataType
+    level = spark.range(1).select(F.lit(target).cast(t).alias("node"), F.array(F.lit(target).cast(t)).alias("path"))
+    found = level
     rounds = 0
     while True:
         rounds += 1
         step = (level.join(e, level.node == e.dst)
                 .select(F.col("src").alias("node"), F.concat(F.array(F.col("src")), F.col("path")).alias("path")))
         step = step.join(found.select("node"), "node", "left_anti")
-        step = step.groupBy("node").agg(F.min("path").alias("path")).checkpoint()
+        step = _fix(step.groupBy("node").agg(F.min("path").alias("path")), rounds, checkpoint_every, "paths-level")
         if step.isEmpty() or (max_rounds is not None and rounds >= max_rounds):
             break
         found = found.unionByName(step)
-        if rounds % 4 == 0:
-            found = found.checkpoint()
+        if rounds % checkpoint_every == 0:
+            found = found.checkpoint(eager=True)
         level = step
     return found.select(
         F.col("node").alias("asset"),

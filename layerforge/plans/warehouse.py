@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from layerforge.plans.gold import build_gold
 from layerforge.plans.silver import DEFAULT_AS_OF, build_silver
-from layerforge.session import scratch_dir
+from layerforge.session import write_through
 from layerforge.sources.standins import bronze_tables
 
 
@@ -29,15 +29,8 @@ _CACHE: dict[tuple[str, str], Layers] = {}
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to a fresh folder under the shared checkpoint dir, read it back.
-
-    Cuts the lineage (a lost executor does not force a recompute from the
-    sources) and gives later queries real file statistics.
-    """
-    spark = df.sparkSession
-    path = scratch_dir(spark, name)
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    """Store ``df`` below the shared checkpoint folder and read it back (see ``write_through``)."""
+    return write_through(df, name)
 
 
 def build_layers(spark: SparkSession, sf_dir: str, as_of: str | None = DEFAULT_AS_OF,

@@ -82,3 +82,15 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def write_through(df, name: str):
+    """Write ``df`` as Parquet to a fresh folder below the checkpoint dir and read it back.
+
+    Cuts the lineage like a checkpoint (the folder is shared and durable on a
+    cluster) and gives later plans real file statistics.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
