@@ -11,10 +11,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from layerforge.operators.sequence import lead_in_group
+from layerforge.operators.sequence import PID, POS, lead_in_group, ranged
 
 
 def dedup_latest(df: DataFrame, keys: Sequence[str], order_by: str,
@@ -71,19 +71,47 @@ def current_rows(df: DataFrame, end_col: str) -> DataFrame:
 
 
 def asof_join(facts: DataFrame, versions: DataFrame, fact_key: str, version_key: str,
-              fact_date: str, start: str, end: str, how: str = "left") -> DataFrame:
-    """Point-in-time join: the version whose [start, end] interval holds the fact date.
-
-    An equi-join on the key plus a range condition on the dates; Spark plans
-    it as a sort-merge join on the key with the range as a post-filter, so no
-    cross product.  An open interval (NULL end) reaches to the end of time.
+              fact_date: str, start: str, end: str, num_partitions: int | None = None) -> DataFrame:
+    """Point-in-time left join: each fact gets the version whose [start, end] holds its date.
+
+    For SCD-2 versions (non-overlapping intervals, an open end reaching to the
+    end of time) this is exact.  Instead of an equi-join on the key with a
+    range post-filter -- which compares every fact of a key with every
+    version of that key -- facts and version starts are merged into one
+    sequence ordered by (key, date, versions first) and range-partitioned on
+    that full order, so a hot key is spread over many tasks.  Each fact takes
+    the last version before it: inside a partition by a running ``last``,
+    across a partition edge from a table with one row per partition.
+    The version's interval must still hold the date, else the fact gets NULLs.
     """
-    cond = (
-        (facts[fact_key] == versions[version_key])
-        & (facts[fact_date] >= versions[start])
-        & (facts[fact_date] <= F.coalesce(versions[end], F.lit("9999-12-31").cast("date")))
+    fcols, vcols = facts.columns, versions.columns
+    f_t = facts.select(F.struct(*fcols).alias("s")).schema["s"].dataType
+    v_t = versions.select(F.struct(*vcols).alias("s")).schema["s"].dataType
+    f = facts.select(F.col(fact_key).alias("_k"), F.to_date(F.col(fact_date)).alias("_d"), F.lit(1).alias("_tag"),
+                     F.lit(None).cast(v_t).alias("_v"), F.struct(*fcols).alias("_f"))
+    v = versions.select(F.col(version_key).alias("_k"), F.to_date(F.col(start)).alias("_d"), F.lit(0).alias("_tag"),
+                        F.struct(*vcols).alias("_v"), F.lit(None).cast(f_t).alias("_f"))
+    seq = ranged(f.unionByName(v), ["_k", "_d", "_tag", "_v", "_f"], num_partitions)
+
+    mark = F.when(F.col("_tag") == 0, F.struct(F.col("_k").alias("k"), F.col("_v").alias("v")))
+    run = Window.partitionBy(PID).orderBy(POS).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = seq.withColumn("_in", F.last(mark, ignorenulls=True).over(run))
+
+    # Last version row of every partition, then for each partition the last one before it.
+    pids = seq.select(PID).distinct()
+    last_v = (seq.where(F.col("_tag") == 0).groupBy(PID)
+              .agg(F.max_by(F.struct(F.col("_k").alias("k"), F.col("_v").alias("v")), F.col(POS)).alias("_lv")))
+    before = Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
+    carry = pids.join(last_v, PID, "left").select(PID, F.last("_lv", ignorenulls=True).over(before).alias("_carry"))
+
+    facts_seq = inside.where(F.col("_tag") == 1).join(F.broadcast(carry), PID, "left")
+    cand = F.when(F.col("_in").isNotNull(), F.col("_in")).otherwise(F.col("_carry"))
+    hit = (cand.isNotNull() & (cand["k"] == F.col("_k"))
+           & (F.col("_d") <= F.coalesce(cand["v"][end].cast("date"), F.lit("9999-12-31").cast("date"))))
+    return facts_seq.select(
+        *[F.col("_f")[c].alias(c) for c in fcols],
+        *[F.when(hit, cand["v"][c]).alias(c) for c in vcols],
     )
-    return facts.join(versions, cond, how)
 
 
 def desc_nulls_last(cols: Sequence[str]) -> list[Column]:
