@@ -5,12 +5,13 @@ computed by semi-naive iteration: each round joins only the pairs found in the
 previous round (the frontier) with the edges and removes pairs already known
 (``left_anti``).  The loop ends when a round finds nothing, so cycles end too,
 and a node on a cycle reaches itself.  Known pairs are checkpointed every few
-rounds as Parquet below the shared checkpoint folder, which keeps plans short
-and lets a lost executor recompute only the last few rounds.
+rounds to the shared checkpoint folder, which keeps plans short and lets a
+lost executor recompute only the last few rounds.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,21 +29,25 @@ def edges_from_transformations(transformations: DataFrame) -> DataFrame:
         F.col("transformation_type").alias("type"), F.col("transformation_logic").alias("logic"))
 
 
-def _fix(df: DataFrame, round_no: int, every: int, name: str) -> DataFrame:
+def _fix(df: DataFrame) -> DataFrame:
     """Checkpoint a round's result to the shared checkpoint folder (fixed input of the next round).
 
-    A stored round is computed once, its emptiness is a metadata read, and a
-    lost executor never recomputes an earlier round.
+    The rows are persisted first, so writing the checkpoint does not compute
+    the round a second time; a lost executor never recomputes an earlier round.
     """
-    return df.checkpoint(eager=True)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
 
 
 def closure(edges: DataFrame, reverse: bool = False, checkpoint_every: int = 4,
             max_rounds: int | None = None) -> DataFrame:
     """All (asset, reached) pairs: downstream (follow edges) or upstream (``reverse``).
 
-    Each round stores its new pairs (one job) and tests them for emptiness;
-    the union of known pairs is compacted into one stored table every
+    Each round checkpoints its new pairs and tests them for emptiness; the
+    union of known pairs is compacted into one checkpoint every
     ``checkpoint_every`` rounds.
     """
     ensure_checkpoint_dir(edges.sparkSession)
@@ -58,12 +63,12 @@ def closure(edges: DataFrame, reverse: bool = False, checkpoint_every: int = 4,
         rounds += 1
         step = (frontier.alias("f").join(e.alias("e"), F.col("f.b") == F.col("e.a"))
                 .select(F.col("f.a").alias("a"), F.col("e.b").alias("b")).distinct())
-        new = _fix(step.join(known, ["a", "b"], "left_anti"), rounds, checkpoint_every, "closure-frontier")
+        new = _fix(step.join(known, ["a", "b"], "left_anti"))
         if new.isEmpty() or (max_rounds is not None and rounds >= max_rounds):
             break
         known = known.unionByName(new)
         if rounds % checkpoint_every == 0:
-            known = known.checkpoint(eager=True)
+            known = _fix(known)
         frontier = new
     return known.select(F.col("a").alias("asset"), F.col("b").alias("reached"))
 
@@ -87,12 +92,12 @@ def shortest_paths_to(edges: DataFrame, target, max_rounds: int | None = None,
         step = (level.join(e, level.node == e.dst)
                 .select(F.col("src").alias("node"), F.concat(F.array(F.col("src")), F.col("path")).alias("path")))
         step = step.join(found.select("node"), "node", "left_anti")
-        step = _fix(step.groupBy("node").agg(F.min("path").alias("path")), rounds, checkpoint_every, "paths-level")
+        step = _fix(step.groupBy("node").agg(F.min("path").alias("path")))
         if step.isEmpty() or (max_rounds is not None and rounds >= max_rounds):
             break
         found = found.unionByName(step)
         if rounds % checkpoint_every == 0:
-            found = found.checkpoint(eager=True)
+            found = _fix(found)
         level = step
     return found.select(
         F.col("node").alias("asset"),

@@ -1,9 +1,9 @@
 """Build (and optionally materialise) the three layers for one input folder.
 
-``layers(spark, sf_dir)`` returns bronze / silver / gold DataFrames.  The gold
-tables are materialised once per session and input folder -- written as
+``layers(spark, sf_dir)`` returns bronze / silver / gold DataFrames.  All
+layers are materialised once per session and input folder -- written as
 Parquet below the checkpoint folder and read back -- the way a warehouse
-serves its star schema from stored tables instead of recomputing views.
+serves its layers from stored tables instead of recomputing views.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from layerforge.plans.gold import build_gold
+from layerforge.plans.gold import build_gold, fact_sales
 from layerforge.plans.silver import DEFAULT_AS_OF, build_silver
 from layerforge.session import write_through
 from layerforge.sources.standins import bronze_tables
@@ -34,22 +34,30 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def build_layers(spark: SparkSession, sf_dir: str, as_of: str | None = DEFAULT_AS_OF,
-                 persist_gold: bool = True) -> Layers:
+                 store: bool = True) -> Layers:
+    """Bronze, silver and gold; with ``store`` every table is written once and read back.
+
+    Storing each layer is what the warehouse does: later steps (checks,
+    reports, the next layer) read stored tables with file statistics instead
+    of recomputing the derivation chain from the raw feeds.
+    """
     bronze = bronze_tables(spark, sf_dir)
+    if store:
+        bronze = {k: materialize(v, f"bronze-{k}") for k, v in bronze.items()}
     silver = build_silver(bronze, as_of)
+    if store:
+        silver = {k: materialize(v, f"silver-{k}") for k, v in silver.items()}
     gold = build_gold(silver)
-    if persist_gold:
-        dc = materialize(gold["dim_customers"], "dim_customers")
-        dp = materialize(gold["dim_products"], "dim_products")
-        from layerforge.plans.gold import fact_sales
-
-        fs = materialize(fact_sales(silver["crm_sales_details"], dp, dc), "fact_sales")
+    if store:
+        dc = materialize(gold["dim_customers"], "gold-dim_customers")
+        dp = materialize(gold["dim_products"], "gold-dim_products")
+        fs = materialize(fact_sales(silver["crm_sales_details"], dp, dc), "gold-fact_sales")
         gold = {"dim_customers": dc, "dim_products": dp, "fact_sales": fs}
     return Layers(bronze, silver, gold)
 
 
 def layers(spark: SparkSession, sf_dir: str) -> Layers:
-    """Memoised per (application, folder): the gold tables are built once."""
+    """Memoised per (application, folder): the layers are built and stored once."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _CACHE:
         _CACHE[key] = build_layers(spark, sf_dir)

@@ -93,4 +93,5 @@ def write_through(df, name: str):
     spark = df.sparkSession
     path = scratch_dir(spark, name)
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    # The schema is known: reading it back needs no footer-inference job.
+    return spark.read.schema(df.schema).parquet(path)
