@@ -172,3 +172,15 @@ def warehouse_transformations(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(
         rows, "source_assets array<string>, target_asset string, transformation_type string, "
               "transformation_logic string, created_by string")
+
+
+def save_lineage(assets: DataFrame, transformations: DataFrame, path: str) -> None:
+    """Store the lineage description (assets and transformations) as Parquet."""
+    assets.write.mode("overwrite").parquet(f"{path.rstrip('/')}/assets")
+    transformations.write.mode("overwrite").parquet(f"{path.rstrip('/')}/transformations")
+
+
+def load_lineage(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(assets, transformations) written by ``save_lineage``; the edges follow by ``edges_from_transformations``."""
+    return (spark.read.parquet(f"{path.rstrip('/')}/assets"),
+            spark.read.parquet(f"{path.rstrip('/')}/transformations"))

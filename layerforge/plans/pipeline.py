@@ -44,6 +44,35 @@ def _write_layer(spark: SparkSession, frames: dict[str, DataFrame], root: str, l
     return out
 
 
+def load_bronze(spark: SparkSession, sf_dir: str, root: str, rows: dict) -> dict[str, DataFrame]:
+    """Full refresh of the six bronze tables from the raw feeds."""
+    return _write_layer(spark, bronze_tables(spark, sf_dir), root, "bronze", rows)
+
+
+def load_silver(spark: SparkSession, bronze: dict[str, DataFrame], root: str, rows: dict,
+                as_of: str = DEFAULT_AS_OF, run_ts: str | None = None) -> dict[str, DataFrame]:
+    """Full refresh of the six silver tables from stored bronze."""
+    frames = {k: stamp(v, run_ts) for k, v in build_silver(bronze, as_of).items()}
+    return _write_layer(spark, frames, root, "silver", rows)
+
+
+def load_gold(spark: SparkSession, silver: dict[str, DataFrame], root: str, rows: dict) -> dict[str, DataFrame]:
+    """Dimensions (with surrogate keys) and fact from stored silver."""
+    clean = {k: v.drop("dwh_create_date") if "dwh_create_date" in v.columns else v for k, v in silver.items()}
+    return _write_layer(spark, build_gold(clean), root, "gold", rows)
+
+
+# Layer loads callable by name, like the stored procedures of the source system.
+LOADS = {"bronze.load_bronze": load_bronze, "silver.load_silver": load_silver, "gold.load_gold": load_gold}
+
+
+def run_load(name: str, *args, **kwargs) -> dict[str, DataFrame]:
+    """Run one layer load by its name (``bronze.load_bronze``, ``silver.load_silver``, ...)."""
+    if name not in LOADS:
+        raise KeyError(f"unknown load {name!r}; known: {sorted(LOADS)}")
+    return LOADS[name](*args, **kwargs)
+
+
 def run_pipeline(spark: SparkSession, sf_dir: str, root: str, run_id: int,
                  as_of: str = DEFAULT_AS_OF, run_ts: str | None = None) -> RunResult:
     """Load all layers under ``root`` (a shared folder) and record the run."""
@@ -51,19 +80,18 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, run_id: int,
     secs: dict[str, float] = {}
 
     t0 = time.time()
-    bronze = _write_layer(spark, bronze_tables(spark, sf_dir), root, "bronze", rows)
+    bronze = run_load("bronze.load_bronze", spark, sf_dir, root, rows)
     secs["bronze"] = time.time() - t0
 
     t0 = time.time()
-    silver_frames = {k: stamp(v, run_ts) for k, v in build_silver(bronze, as_of).items()}
-    silver = _write_layer(spark, silver_frames, root, "silver", rows)
+    silver = run_load("silver.load_silver", spark, bronze, root, rows, as_of, run_ts)
     secs["silver"] = time.time() - t0
 
     t0 = time.time()
-    clean = {k: v.drop("dwh_create_date") for k, v in silver.items()}
-    gold = _write_layer(spark, build_gold(clean), root, "gold", rows)
+    gold = run_load("gold.load_gold", spark, silver, root, rows)
     secs["gold"] = time.time() - t0
 
+    clean = {k: v.drop("dwh_create_date") for k, v in silver.items()}
     layers = Layers(bronze, clean, gold)
     checks = all_checks(layers, as_of)
     result = RunResult(run_id, layers, rows, secs, checks)
@@ -71,6 +99,12 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, run_id: int,
     return result
 
 
+def validate_only(layers: Layers, as_of: str = DEFAULT_AS_OF) -> int:
+    """Exit code of a validation-only run: 1 when any check failed, else 0."""
+    failed = all_checks(layers, as_of).where(~F.col("passed")).limit(1).count()
+    return 1 if failed else 0
+
+
 def layer_metrics(spark: SparkSession, result: RunResult) -> DataFrame:
     """(layer, table_name, row_count, layer_seconds) of one run."""
     data = [(layer, name, n, float(result.layer_seconds[layer])) for (layer, name), n in result.table_rows.items()]

@@ -12,6 +12,8 @@ Writers
 publish / read_current  full refresh as a new version folder plus a pointer, so a
                         failed load leaves the previous version readable
 append_load             append one batch to a table folder
+write_counted           write and return the row count (observed during the write)
+export_json             metric rows as JSON lines
 write_partitioned       layout by a derived month column for partition pruning
 """
 
@@ -20,7 +22,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -111,6 +113,22 @@ def read_current(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(f"{base.rstrip('/')}/{version}")
 
 
+def write_counted(df: DataFrame, path: str, mode: str = "append") -> int:
+    """Write ``df`` and return the number of rows written (the DML row count).
+
+    The count is an ``Observation`` gathered during the write itself, so the
+    data is not scanned a second time.
+    """
+    obs = Observation(f"write-{uuid.uuid4().hex[:8]}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(path)
+    return int(obs.get["rows"])
+
+
+def export_json(df: DataFrame, path: str) -> None:
+    """Metric rows (name, value, timestamp, type) as JSON lines."""
+    df.write.mode("errorifexists").json(path)
+
+
 def append_load(df: DataFrame, path: str) -> None:
     """Append one batch; never reads and overwrites the same folder."""
     df.write.mode("append").parquet(path)
@@ -121,3 +139,45 @@ def write_partitioned(df: DataFrame, path: str, date_col: str) -> None:
     (df.withColumn("order_year", F.year(date_col)).withColumn("order_month", F.month(date_col))
      .repartition("order_year", "order_month")
      .write.mode("errorifexists").partitionBy("order_year", "order_month").parquet(path))
+
+
+# ---------------------------------------------------------------------------
+# Layer schemas in the session catalog
+# ---------------------------------------------------------------------------
+
+LAYERS = ("bronze", "silver", "gold")
+
+
+def create_layer_schemas(spark: SparkSession, root: str) -> None:
+    """``bronze``, ``silver`` and ``gold`` namespaces located under ``root``; existing ones are kept."""
+    for layer in LAYERS:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{root.rstrip('/')}/{layer}'")
+
+
+def publish_table(df: DataFrame, layer: str, name: str, base: str) -> str:
+    """Full refresh of ``layer.name``: new version folder, then the table is pointed at it.
+
+    The catalog switch is a metadata change, so readers see either the old
+    or the new version, never a half-written one.
+    """
+    spark = df.sparkSession
+    target = publish(df, base)
+    table = f"{layer}.{name}"
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{target}'")
+        spark.catalog.refreshTable(table)
+    else:
+        spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{target}'")
+    return target
+
+
+def list_tables(spark: SparkSession, schema: str | None = None) -> DataFrame:
+    """(schema_name, table_name) of the layer tables, ordered; optionally one layer only."""
+    rows = [(db, t.name) for db in (LAYERS if schema is None else (schema,))
+            if spark.catalog.databaseExists(db) for t in spark.catalog.listTables(db) if not t.isTemporary]
+    return spark.createDataFrame(rows, "schema_name string, table_name string").orderBy("schema_name", "table_name")
+
+
+def list_schemas(spark: SparkSession) -> list[str]:
+    """User namespaces (the built-in ``default`` left out)."""
+    return sorted(d.name for d in spark.catalog.listDatabases() if d.name != "default")
