@@ -12,6 +12,15 @@ def _edges(spark, pairs):
     return spark.createDataFrame(pairs, "src string, dst string")
 
 
+def test_closure_methods_agree_on_a_long_chain(spark):
+    chain = [(str(i), str(i + 1)) for i in range(40)] + [("x", "5"), ("20", "x")]
+    e = _edges(spark, chain)
+    lin = {tuple(r) for r in LN.closure(e, method="linear").collect()}
+    dbl = {tuple(r) for r in LN.closure(e, method="doubling").collect()}
+    assert lin == dbl
+    assert ("0", "40") in dbl and ("x", "x") in dbl
+
+
 def test_closure_with_cycle_reaches_itself(spark):
     e = _edges(spark, [("a", "b"), ("b", "c"), ("c", "a"), ("c", "d")])
     got = {(r.asset, r.reached) for r in LN.closure(e).collect()}
