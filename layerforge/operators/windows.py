@@ -74,8 +74,8 @@ def asof_join(facts: DataFrame, versions: DataFrame, fact_key: str, version_key:
               fact_date: str, start: str, end: str, num_partitions: int | None = None) -> DataFrame:
     """Point-in-time left join: each fact gets the version whose [start, end] holds its date.
 
-    For SCD-2 versions (non-overlapping intervals, an open end reaching to the
-    end of time) this is exact.  Instead of an equi-join on the key with a
+    For SCD-2 versions (non-overlapping non-empty intervals, an open end
+    reaching to the end of time) this is exact.  Instead of an equi-join on the key with a
     range post-filter -- which compares every fact of a key with every
     version of that key -- facts and version starts are merged into one
     sequence ordered by (key, date, versions first) and range-partitioned on
@@ -89,9 +89,15 @@ def asof_join(facts: DataFrame, versions: DataFrame, fact_key: str, version_key:
     v_t = versions.select(F.struct(*vcols).alias("s")).schema["s"].dataType
     f = facts.select(F.col(fact_key).alias("_k"), F.to_date(F.col(fact_date)).alias("_d"), F.lit(1).alias("_tag"),
                      F.lit(None).cast(v_t).alias("_v"), F.struct(*fcols).alias("_f"))
-    v = versions.select(F.col(version_key).alias("_k"), F.to_date(F.col(start)).alias("_d"), F.lit(0).alias("_tag"),
-                        F.struct(*vcols).alias("_v"), F.lit(None).cast(f_t).alias("_f"))
-    seq = ranged(f.unionByName(v), ["_k", "_d", "_tag", "_v", "_f"], num_partitions)
+    # A version whose interval is empty (end before start) holds no date; without
+    # them at most one version starts per (key, date), so the order among rows
+    # of equal (key, date, tag) does not change the result and a 64-bit hash
+    # serves as the tie-break (a cheap primitive sort key, not whole structs).
+    live = versions.where(F.col(end).isNull() | (F.to_date(F.col(end)) >= F.to_date(F.col(start))))
+    v = live.select(F.col(version_key).alias("_k"), F.to_date(F.col(start)).alias("_d"), F.lit(0).alias("_tag"),
+                    F.struct(*vcols).alias("_v"), F.lit(None).cast(f_t).alias("_f"))
+    u = f.unionByName(v).withColumn("_h", F.xxhash64("_v", "_f"))
+    seq = ranged(u, ["_k", "_d", "_tag", "_h"], num_partitions)
 
     mark = F.when(F.col("_tag") == 0, F.struct(F.col("_k").alias("k"), F.col("_v").alias("v")))
     run = Window.partitionBy(PID).orderBy(POS).rowsBetween(Window.unboundedPreceding, Window.currentRow)
