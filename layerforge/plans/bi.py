@@ -4,8 +4,9 @@ Plans aggregate the fact table *before* joining a dimension wherever the
 query allows it: the fact is reduced to one row per dimension key with a
 two-phase (map-side partial) aggregate, so a customer or product that owns a
 third of all sales is combined in every map task before the shuffle, and the
-join that follows is one-to-one.  Results are not sorted unless the sort is
-the feature (top-k); callers sort small results for display.
+join that follows is one-to-one.  Small aggregated results come in report
+order (a range-partitioned sort of a few rows); the fact-sized ``flat_sales``
+is left unsorted -- a global sort of every sale serves no reader.
 """
 
 from __future__ import annotations
@@ -75,7 +76,7 @@ def customer_summary(dim_cust: DataFrame, fact: DataFrame) -> DataFrame:
     return rows.groupBy("country", "gender", "marital_status").agg(
         F.sum(F.coalesce(F.col("_rows"), F.lit(1))).cast("long").alias("customer_count"),
         _mean(F.sum("_sum_sales"), F.sum("_n_sales")).alias("avg_sales"),
-    )
+    ).orderBy(F.col("customer_count").desc())
 
 
 def demographics_rollup(dim_cust: DataFrame, fact: DataFrame) -> DataFrame:
@@ -105,6 +106,11 @@ def product_performance(fact: DataFrame, dim_prod: DataFrame) -> DataFrame:
     )
 
 
+def product_performance_sorted(fact: DataFrame, dim_prod: DataFrame) -> DataFrame:
+    """Product performance in report order (highest sales first)."""
+    return product_performance(fact, dim_prod).orderBy(F.col("total_sales").desc_nulls_last())
+
+
 def top_products(fact: DataFrame, dim_prod: DataFrame, n: int = 10) -> DataFrame:
     """First ``n`` rows of product performance by total sales (NULLs last)."""
     perf = product_performance(fact, dim_prod)
@@ -153,7 +159,7 @@ def monthly_trend(fact: DataFrame) -> DataFrame:
     ).agg(
         F.sum("sales_amount").cast("long").alias("monthly_sales"),
         F.countDistinct("customer_key").cast("long").alias("unique_customers"),
-    )
+    ).orderBy(F.col("sales_year").asc_nulls_first(), F.col("sales_month").asc_nulls_first())
 
 
 def kpi_summary(flat: DataFrame) -> DataFrame:
@@ -169,7 +175,7 @@ def kpi_summary(flat: DataFrame) -> DataFrame:
 def daily_sales(flat: DataFrame) -> DataFrame:
     """Sales per order day (a day whose sales are all NULL sums to 0)."""
     return flat.groupBy(F.to_date("order_date").alias("order_date")).agg(
-        F.coalesce(F.sum("sales_amount"), F.lit(0)).cast("long").alias("sales_amount"))
+        F.coalesce(F.sum("sales_amount"), F.lit(0)).cast("long").alias("sales_amount")).orderBy("order_date")
 
 
 def country_sales(flat: DataFrame) -> DataFrame:
