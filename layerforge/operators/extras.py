@@ -93,8 +93,8 @@ def profile(df: DataFrame) -> DataFrame:
     Two single-pass aggregates over the table: counts, min, max and sums in
     one, the exact distinct counts in the other (mixing both in one aggregate
     makes Spark expand every row once per distinct column *and* carry all the
-    other aggregates through each copy).  The two one-row results are joined
-    on a constant key.
+    other aggregates through each copy).  Each result is unpivoted to one row
+    per column and the two are joined on the column name.
     """
     fields = df.schema.fields
     plain = [F.count(F.lit(1)).alias("_rows")]
@@ -106,19 +106,18 @@ def profile(df: DataFrame) -> DataFrame:
             plain.append(F.try_divide(F.sum(c).cast("double"), F.count(c).cast("double")).alias(f"_avg{i}"))
         else:
             plain.append(F.lit(None).cast("double").alias(f"_avg{i}"))
-    a = df.agg(*plain).withColumn("_k", F.lit(1))
-    d = df.agg(*[F.countDistinct(F.col(f.name)).alias(f"_nd{i}") for i, f in enumerate(fields)]).withColumn(
-        "_k", F.lit(1))
-    both = a.join(d, "_k")
-    rows = F.array(*[F.struct(
+    a = df.agg(*plain).select(F.col("_rows").cast("long").alias("row_count"), F.explode(F.array(*[F.struct(
         F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
-        F.col(f"_nn{i}").cast("long").alias("non_null"), F.col(f"_nd{i}").cast("long").alias("distinct_values"),
-        F.col(f"_mn{i}").alias("min_value"), F.col(f"_mx{i}").alias("max_value"),
-        F.col(f"_avg{i}").alias("mean")) for i, f in enumerate(fields)])
-    return both.select(F.col("_rows").cast("long").alias("row_count"), F.explode(rows).alias("_p")).select(
-        "_p.column_name", "_p.data_type", "row_count",
-        (F.col("row_count") - F.col("_p.non_null")).alias("null_count"),
-        "_p.distinct_values", "_p.min_value", "_p.max_value", F.round("_p.mean", 6).alias("mean"))
+        F.col(f"_nn{i}").cast("long").alias("non_null"), F.col(f"_mn{i}").alias("min_value"),
+        F.col(f"_mx{i}").alias("max_value"), F.col(f"_avg{i}").alias("mean")) for i, f in enumerate(fields)]))
+        .alias("_p")).select("row_count", "_p.*")
+    d = df.agg(*[F.countDistinct(F.col(f.name)).alias(f"_nd{i}") for i, f in enumerate(fields)]).select(
+        F.explode(F.array(*[F.struct(F.lit(f.name).alias("column_name"),
+                                     F.col(f"_nd{i}").cast("long").alias("distinct_values"))
+                            for i, f in enumerate(fields)])).alias("_d")).select("_d.*")
+    return a.join(d, "column_name").select(
+        "column_name", "data_type", "row_count", (F.col("row_count") - F.col("non_null")).alias("null_count"),
+        "distinct_values", "min_value", "max_value", F.round("mean", 6).alias("mean"))
 
 
 def row_filter(df: DataFrame, entitlements: DataFrame, principal: str, on: str,
