@@ -19,7 +19,7 @@ from layerforge.operators import quality as Q
 from layerforge.plans.gold import build_gold
 from layerforge.plans.silver import DEFAULT_AS_OF, build_silver, stamp
 from layerforge.plans.validation import all_checks
-from layerforge.plans.warehouse import Layers
+from layerforge.plans.warehouse import Layers, run_parallel
 from layerforge.sources.files import append_load, publish, read_current
 from layerforge.sources.standins import bronze_tables
 
@@ -35,12 +35,17 @@ class RunResult:
 
 def _write_layer(spark: SparkSession, frames: dict[str, DataFrame], root: str, layer: str,
                  rows: dict[tuple[str, str], int]) -> dict[str, DataFrame]:
-    out = {}
-    for name, df in frames.items():
+    """Publish every table of a layer (concurrently); row counts observed during the writes."""
+    def write(name: str, df: DataFrame):
         obs = Observation(f"{layer}.{name}")
         publish(df.observe(obs, F.count(F.lit(1)).alias("rows")), f"{root}/{layer}/{name}")
-        rows[(layer, name)] = int(obs.get["rows"])
-        out[name] = read_current(spark, f"{root}/{layer}/{name}")
+        return int(obs.get["rows"]), read_current(spark, f"{root}/{layer}/{name}")
+
+    done = run_parallel({name: (lambda n=name, d=df: write(n, d)) for name, df in frames.items()})
+    out = {}
+    for name, (n, df) in done.items():
+        rows[(layer, name)] = n
+        out[name] = df
     return out
 
 

@@ -8,11 +8,14 @@ serves its layers from stored tables instead of recomputing views.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-from layerforge.plans.gold import build_gold, fact_sales
+from layerforge.plans.gold import build_gold, dim_customers, dim_products, fact_sales
 from layerforge.plans.silver import DEFAULT_AS_OF, build_silver
 from layerforge.session import write_through
 from layerforge.sources.standins import bronze_tables
@@ -26,6 +29,7 @@ class Layers:
 
 
 _CACHE: dict[tuple[str, str], Layers] = {}
+T = TypeVar("T")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -33,27 +37,54 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return write_through(df, name)
 
 
+# Fixed value: independent table writes submitted at once (the declared parallel jobs).
+PARALLEL_WRITES = 4
+
+
+def run_parallel(tasks: dict[str, Callable[[], T]], workers: int = PARALLEL_WRITES) -> dict[str, T]:
+    """Run independent Spark actions from a few driver threads; results by name.
+
+    Each thread submits its own job; the cluster scheduler interleaves them, so
+    the fixed per-job latency of many small tables overlaps instead of adding up.
+    """
+    if len(tasks) <= 1 or workers <= 1:
+        return {k: fn() for k, fn in tasks.items()}
+    with ThreadPoolExecutor(max_workers=min(workers, len(tasks))) as pool:
+        futures = {k: pool.submit(fn) for k, fn in tasks.items()}
+        return {k: f.result() for k, f in futures.items()}
+
+
+def materialize_all(frames: dict[str, DataFrame], prefix: str) -> dict[str, DataFrame]:
+    return run_parallel({k: (lambda v=v, k=k: materialize(v, f"{prefix}-{k}")) for k, v in frames.items()})
+
+
 def build_layers(spark: SparkSession, sf_dir: str, as_of: str | None = DEFAULT_AS_OF,
                  store: bool = True) -> Layers:
     """Bronze, silver and gold; with ``store`` every table is written once and read back.
 
     Storing each layer is what the warehouse does: later steps (checks,
     reports, the next layer) read stored tables with file statistics instead
-    of recomputing the derivation chain from the raw feeds.
+    of recomputing the derivation chain from the raw feeds.  Tables of one
+    layer do not depend on each other and are written concurrently.
     """
     bronze = bronze_tables(spark, sf_dir)
     if store:
-        bronze = {k: materialize(v, f"bronze-{k}") for k, v in bronze.items()}
+        bronze = materialize_all(bronze, "bronze")
     silver = build_silver(bronze, as_of)
     if store:
-        silver = {k: materialize(v, f"silver-{k}") for k, v in silver.items()}
-    gold = build_gold(silver)
-    if store:
-        dc = materialize(gold["dim_customers"], "gold-dim_customers")
-        dp = materialize(gold["dim_products"], "gold-dim_products")
-        fs = materialize(fact_sales(silver["crm_sales_details"], dp, dc), "gold-fact_sales")
-        gold = {"dim_customers": dc, "dim_products": dp, "fact_sales": fs}
-    return Layers(bronze, silver, gold)
+        silver = materialize_all(silver, "silver")
+    if not store:
+        return Layers(bronze, silver, build_gold(silver))
+    dims = run_parallel({
+        "dim_customers": lambda: materialize(
+            dim_customers(silver["crm_cust_info"], silver["erp_cust_az12"], silver["erp_loc_a101"]),
+            "gold-dim_customers"),
+        "dim_products": lambda: materialize(
+            dim_products(silver["crm_prd_info"], silver["erp_px_cat_g1v2"]), "gold-dim_products"),
+    })
+    dc, dp = dims["dim_customers"], dims["dim_products"]
+    fs = materialize(fact_sales(silver["crm_sales_details"], dp, dc), "gold-fact_sales")
+    return Layers(bronze, silver, {"dim_customers": dc, "dim_products": dp, "fact_sales": fs})
 
 
 def layers(spark: SparkSession, sf_dir: str) -> Layers:
