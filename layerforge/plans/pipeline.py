@@ -20,7 +20,7 @@ from layerforge.plans.gold import build_gold
 from layerforge.plans.silver import DEFAULT_AS_OF, build_silver, stamp
 from layerforge.plans.validation import all_checks
 from layerforge.plans.warehouse import Layers, run_parallel
-from layerforge.sources.files import append_load, publish, read_current
+from layerforge.sources.files import publish, read_current, replace_partitions
 from layerforge.sources.standins import bronze_tables
 
 
@@ -128,12 +128,13 @@ def record_run(spark: SparkSession, result: RunResult, history_root: str) -> Non
         "id long, status string, duration_seconds double, total_records long, "
         "data_quality_score double, error_count long",
     ).withColumn("run_timestamp", F.localtimestamp()).withColumn("created_at", F.localtimestamp())
-    append_load(run, f"{history_root}/pipeline_runs")
-    append_load(checks.select(F.lit(result.run_id).cast("long").alias("run_id"), "*",
-                              F.localtimestamp().alias("created_at")),
-                f"{history_root}/data_quality_checks")
+    # Partitioned by run: a retried run replaces its own rows instead of adding copies.
+    replace_partitions(run.withColumn("run_id", F.col("id")), f"{history_root}/pipeline_runs", "run_id")
+    replace_partitions(checks.select(F.lit(result.run_id).cast("long").alias("run_id"), "*",
+                                     F.localtimestamp().alias("created_at")),
+                       f"{history_root}/data_quality_checks", "run_id")
     metrics = spark.createDataFrame(
         [(result.run_id, layer, name, int(n)) for (layer, name), n in result.table_rows.items()],
         "run_id long, schema_name string, table_name string, row_count long",
     ).withColumn("created_at", F.localtimestamp())
-    append_load(metrics, f"{history_root}/table_metrics")
+    replace_partitions(metrics, f"{history_root}/table_metrics", "run_id")

@@ -12,6 +12,7 @@ Writers
 publish / read_current  full refresh as a new version folder plus a pointer, so a
                         failed load leaves the previous version readable
 append_load             append one batch to a table folder
+replace_partitions      idempotent append by dynamic partition overwrite
 write_counted           write and return the row count (observed during the write)
 export_json             metric rows as JSON lines
 write_partitioned       layout by a derived month column for partition pruning
@@ -129,6 +130,16 @@ def export_json(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").json(path)
 
 
+def replace_partitions(df: DataFrame, path: str, partition_col: str) -> None:
+    """Idempotent append: rewrite only the ``partition_col`` values present in ``df``.
+
+    Dynamic partition overwrite replaces exactly those partitions, so running
+    the same batch (e.g. a retried pipeline run) twice leaves one copy.
+    """
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition_col).parquet(path))
+
+
 def append_load(df: DataFrame, path: str) -> None:
     """Append one batch; never reads and overwrites the same folder."""
     df.write.mode("append").parquet(path)

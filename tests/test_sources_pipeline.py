@@ -78,6 +78,9 @@ def test_pipeline_run_records_history(spark):
     assert set(res.layer_seconds) == {"bronze", "silver", "gold"}
     runs = spark.read.parquet(f"{root}/history/pipeline_runs").collect()
     assert [r.id for r in runs] == [7]
+    PL.record_run(spark, res, f"{root}/history")  # a retried run replaces its rows
+    assert spark.read.parquet(f"{root}/history/pipeline_runs").count() == 1
+    assert spark.read.parquet(f"{root}/history/table_metrics").count() == len(res.table_rows)
     n_checks = spark.read.parquet(f"{root}/history/data_quality_checks").count()
     assert n_checks == res.checks.count() >= 27
     # the customer dedup keeps < 80 % of bronze rows, so a validation-only run fails
