@@ -39,7 +39,8 @@ def dim_customers(cust: DataFrame, demo: DataFrame, loc: DataFrame,
     )
     # Order of the key: customer id; the remaining columns complete the order
     # when a fan-out (duplicate ERP ids) repeats an id.
-    order = ["customer_id", "customer_number", "country", "gender", "birthdate"]
+    lead = ["customer_id", "customer_number", "country", "gender", "birthdate"]
+    order = lead + [c for c in joined.columns if c not in lead]
     keyed = global_row_number(joined, order, "customer_key", num_partitions)
     return keyed.select("customer_key", *[c for c in joined.columns])
 
@@ -60,7 +61,10 @@ def dim_products(prd: DataFrame, cat: DataFrame, num_partitions: int | None = No
         F.col("pn.prd_line").alias("product_line"),
         F.col("pn.prd_start_dt").alias("start_date"),
     )
-    order = ["start_date", "product_number", "product_id", "category"]
+    # Key order of the source (start date, product number); the remaining
+    # columns make the order total even if a category id repeats.
+    lead = ["start_date", "product_number", "product_id", "category"]
+    order = lead + [c for c in joined.columns if c not in lead]
     keyed = global_row_number(joined, order, "product_key", num_partitions)
     return keyed.select("product_key", *joined.columns)
 
