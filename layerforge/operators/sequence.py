@@ -44,11 +44,13 @@ def ranged(df: DataFrame, order: Sequence[str | Column], num_partitions: int | N
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = _order_cols(order)
     shift = F.lit(1 << 33)
+    # Without an explicit count AQE may coalesce neighbouring ranges; merged
+    # ranges are still contiguous, so partition index order stays sort order.
+    parted = df.repartitionByRange(num_partitions, *cols) if num_partitions else df.repartitionByRange(*cols)
     staged = (
-        df.repartitionByRange(n, *cols)
+        parted
         .sortWithinPartitions(*cols)
         .withColumn(PID, F.spark_partition_id())
         # monotonically_increasing_id = (partition index << 33) + row index in partition
