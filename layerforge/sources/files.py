@@ -182,6 +182,24 @@ def publish_table(df: DataFrame, layer: str, name: str, base: str) -> str:
     return target
 
 
+def publish_bucketed(df: DataFrame, layer: str, name: str, key: str, buckets: int, base: str) -> str:
+    """Full refresh of ``layer.name`` as a table bucketed and sorted by ``key``.
+
+    Tables bucketed by the same key into the same number of buckets join and
+    aggregate on that key without any shuffle (the fact with its customer
+    dimension at a size where neither side can be broadcast).  Each refresh
+    writes a new versioned table; the view ``layer.name`` is then pointed at
+    it, a metadata switch, so readers never see a half-written version.
+    """
+    spark = df.sparkSession
+    version = uuid.uuid4().hex[:12]
+    versioned = f"{layer}.{name}__v{version}"
+    (df.write.bucketBy(buckets, key).sortBy(key)
+     .option("path", f"{base.rstrip('/')}/v-{version}").saveAsTable(versioned))
+    spark.sql(f"CREATE OR REPLACE VIEW {layer}.{name} AS SELECT * FROM {versioned}")
+    return versioned
+
+
 def list_tables(spark: SparkSession, schema: str | None = None) -> DataFrame:
     """(schema_name, table_name) of the layer tables, ordered; optionally one layer only."""
     rows = [(db, t.name) for db in (LAYERS if schema is None else (schema,))

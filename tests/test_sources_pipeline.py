@@ -125,3 +125,26 @@ def test_quality_edge_cases(spark):
                               "order_date date")
     assert Q.date_range_check(d, "2001-01-01").first().score == 1 / 3
     assert F is not None
+
+
+def test_bucketed_gold_joins_without_shuffle(spark):
+    from layerforge.plans import bi
+
+    root = scratch_dir(spark, "wh-bucketed")
+    res = PL.run_pipeline(spark, SF_SMALL, root, run_id=8, as_of="2001-01-01", buckets=4)
+    fact = spark.table("gold.fact_sales")
+    dim = spark.table("gold.dim_customers")
+    assert fact.count() == res.table_rows[("gold", "fact_sales")]
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                         "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    try:
+        for k in old:
+            spark.conf.set(k, "-1")
+        plan = bi.top_customers(fact, dim)._jdf.queryExecution().executedPlan().toString()
+        joined = fact.join(dim, "customer_key")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert "Exchange hashpartitioning" not in joined
+    # per-customer pre-aggregation and the join reuse the bucketing: no hash exchange at all
+    assert "Exchange hashpartitioning" not in plan
