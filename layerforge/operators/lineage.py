@@ -15,7 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerforge.session import ensure_checkpoint_dir
+from layerforge.session import ensure_checkpoint_dir, shuffle_partitions_for
 
 # Impact risk bands (affected assets, affected transformations).
 HIGH_ASSETS, HIGH_TRANSFORMS = 10, 5
@@ -44,6 +44,13 @@ def _fix(df: DataFrame) -> DataFrame:
 
 def closure(edges: DataFrame, reverse: bool = False, checkpoint_every: int = 4,
             max_rounds: int | None = None, method: str = "doubling") -> DataFrame:
+    """All (asset, reached) pairs: downstream (follow edges) or upstream (``reverse``); see ``_closure``."""
+    with shuffle_partitions_for(edges):
+        return _closure(edges, reverse, checkpoint_every, max_rounds, method)
+
+
+def _closure(edges: DataFrame, reverse: bool, checkpoint_every: int, max_rounds: int | None,
+             method: str) -> DataFrame:
     """All (asset, reached) pairs: downstream (follow edges) or upstream (``reverse``).
 
     ``doubling`` (default): round i finds exactly the pairs whose shortest
@@ -82,6 +89,12 @@ def closure(edges: DataFrame, reverse: bool = False, checkpoint_every: int = 4,
 
 def shortest_paths_to(edges: DataFrame, target, max_rounds: int | None = None,
                       checkpoint_every: int = 4) -> DataFrame:
+    """Shortest path from every asset that reaches ``target``; see ``_shortest_paths_to``."""
+    with shuffle_partitions_for(edges):
+        return _shortest_paths_to(edges, target, max_rounds, checkpoint_every)
+
+
+def _shortest_paths_to(edges: DataFrame, target, max_rounds: int | None, checkpoint_every: int) -> DataFrame:
     """For every asset that reaches ``target``: the shortest path, ties -> lexically smallest.
 
     Breadth-first from the target against the edge direction; a node keeps the
