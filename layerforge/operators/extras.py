@@ -33,18 +33,27 @@ def mask_columns(df: DataFrame, hash_cols: Sequence[str] = (), year_cols: Sequen
     return out
 
 
-def group_stats(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Per group: n, mean, sample standard deviation, exact quartiles, outlier counts.
+def group_stats(df: DataFrame, group: str, value: str, exact: bool = True,
+                accuracy: int = 100_000) -> DataFrame:
+    """Per group: n, mean, sample standard deviation, quartiles, outlier counts.
 
     Mean and variance come from exact integer sums (n, sum x, sum x^2) in one
-    partial aggregate, so they are reproducible in any engine and any order;
-    the quartiles use the exact ``percentile`` aggregate.  The per-group
-    statistics are then joined back to count z-score and IQR outliers.
+    partial aggregate, so they are reproducible in any engine and any order.
+    Exact quartiles (``percentile``) keep one count per distinct value of a
+    group -- bounded by the value domain (integer amounts here), not by the
+    rows.  For a wide domain pass ``exact=False``: ``percentile_approx`` keeps
+    a sketch of bounded size per group.  The per-group statistics are then
+    joined back to count z-score and IQR outliers.
     """
     x = F.col(value).cast("long")
+    if exact:
+        q1, q3 = F.percentile(x, 0.25), F.percentile(x, 0.75)
+    else:
+        q1 = F.percentile_approx(x, 0.25, accuracy).cast("double")
+        q3 = F.percentile_approx(x, 0.75, accuracy).cast("double")
     stats = df.where(F.col(value).isNotNull()).groupBy(group).agg(
         F.count(x).alias("n"), F.sum(x).alias("s1"), F.sum(x * x).alias("s2"),
-        F.percentile(x, 0.25).alias("q1"), F.percentile(x, 0.75).alias("q3"),
+        q1.alias("q1"), q3.alias("q3"),
     )
     n, s1, s2 = F.col("n").cast("double"), F.col("s1").cast("double"), F.col("s2").cast("double")
     mean = s1 / n
