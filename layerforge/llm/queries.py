@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerforge.llm import curve_pack, simhash_cover, token_files
+from layerforge.llm import (chat_tools, crf_quality, curve_pack, exact_topk, license_rules, pca_near, simhash_cover,
+                            token_files)
 from layerforge.llm.common import new_path, read_table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +35,47 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_simhash_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_cover.simhash_groups(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.exact_topk(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+ORACLE["op4_exact_topk"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w FROM embeddings
+           WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+        CAST(list_sum(list_transform(list_zip(q.w, c.w), lambda z: z[1] * z[2])) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 5"""
+
+
+@query
+def op5_pca_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pca_near.near_embeddings(read_table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = chat_tools.calls_of_turns(read_table(spark, sf_dir, "conversations"))
+    return chat_tools.link_tool_calls(calls, results, chat_tools.CHAT_SCHEMAS)
+
+
+ORACLE["op8_tool_calls"] = chat_tools.ORACLE
+
+
+@query
+def op9_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return crf_quality.score_documents(docs, crf_quality.train(docs, read_table(spark, sf_dir, "labels")))
+
+
+@query
+def op10_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_rules.scan_licences(read_table(spark, sf_dir, "documents"))
+
+
+ORACLE["op10_license_rules"] = license_rules.oracle_sql()
