@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerforge.llm import (chat_tools, crf_quality, curve_pack, exact_topk, license_rules, pca_near, simhash_cover,
+from layerforge.llm import (chat_tools, chunk_bpe, crf_quality, curve_pack, exact_topk, license_rules, pca_near, simhash_cover,
                             token_files)
 from layerforge.llm.common import new_path, read_table, tokenizer_path
 
@@ -20,6 +20,12 @@ def query(fn):
     return fn
 
 
+@query
+def op1_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_bpe.encode_documents(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
+                                      chunk_bpe.digests)
+
+
 @query
 def op3_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curve_pack.pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))

@@ -107,11 +107,15 @@ class _Units:
         out = []
         for text in texts:
             out.append(self.one(text))
-            if sum(map(len, self.caches)) > self.max_units:
-                for cache in self.caches:
-                    cache.thin()
+            self.trim()
         return out
 
+    def trim(self) -> None:
+        """Keep the caches within their bound."""
+        if sum(map(len, self.caches)) > self.max_units:
+            for cache in self.caches:
+                cache.thin()
+
 
 class ByteUnits(_Units):
     """Units of a byte-level model: one cache by their text, one by their text after a space."""
