@@ -10,6 +10,7 @@ the setting is absent (tests, the bench, the smoke check).
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -77,6 +78,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of every executor, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(tempfile.mkdtemp(prefix="layerforge-package-"), "layerforge")
+    sc.addPyFile(shutil.make_archive(base, "zip", os.path.dirname(package), os.path.basename(package)))
+    _SHIPPED.add(sc.applicationId)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the checkpoint location for staged writes."""
     base = ensure_checkpoint_dir(spark)
