@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerforge.llm import (chat_tools, chunk_bpe, crf_quality, curve_pack, exact_topk, license_rules, pca_near, simhash_cover,
-                            token_files)
+                            suffix_dedup, token_files)
 from layerforge.llm.common import new_path, read_table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,11 @@ def op1_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       chunk_bpe.digests)
 
 
+@query
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeats_report(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curve_pack.pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
