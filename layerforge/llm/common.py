@@ -33,6 +33,17 @@ def texts_of(docs: DataFrame, carry: list[str] | tuple = ()) -> DataFrame:
                        *carry)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The given names, with underscores before those that ``df`` already has."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def row_base() -> int:
     """First of this task's row numbers; unique over all tasks of a stage."""
     return TaskContext.get().partitionId() << 40

@@ -1,6 +1,6 @@
 """Licence recognition by sentences and ordered rules.
 
-A text is cut into sentences (at line ends, and at . ! ? followed by white space), each sentence is
+A text is cut into sentences (at line ends, and at . ! ? : followed by white space), each sentence is
 normalised to lower-case ASCII words, and known sentences become identifiers.  The document's
 sequence of identifiers is then matched against the licence rules in order: a rule whose
 identifiers stand in the sequence one after the other names its licence and takes them away, so a
@@ -80,7 +80,7 @@ RULES = [
     ("Proprietary", ["AllRights"]),
 ]
 
-CUT = "[.!?]+[ \\t\\r]+|\\n"
+CUT = "[.!?:]+[ \\t\\r]+|\\n"
 
 
 def normalise(sentence: str) -> str:

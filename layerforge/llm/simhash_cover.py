@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerforge.llm.common import stage, texts_of
+from layerforge.llm.common import free_names, stage, texts_of
 from layerforge.llm.components import components
 
 SHINGLE, RADIUS, SEED, BLOCK = 4, 4, 42, 1024
@@ -169,12 +169,13 @@ def keep_one(docs: DataFrame, **how) -> DataFrame:
     hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
     groups = stage(simhash_groups(hashed, carry="h", **how), "simhash-groups")
     keys = groups.groupBy("mark_root", "doc_id", "h").agg(F.count(F.lit(1)).alias("n"))
+    own, text, many = free_names(docs, "own_id", "own_text", "many")
     best = stage(keys.groupBy("mark_root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "n")).alias("k"))
-        .select(F.col("k.doc_id").alias("_id"), F.col("k.h").alias("_h"), F.col("k.n").alias("_n")), "simhash-kept")
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_h"))
-    kept = docs.join(best.where("_n = 1").hint("shuffle_hash"), same, "left_semi")
-    if best.where("_n > 1").isEmpty():
+        .select(F.col("k.doc_id").alias(own), F.col("k.h").alias(text), F.col("k.n").alias(many)), "simhash-kept")
+    same = docs["doc_id"].eqNullSafe(F.col(own)) & (F.xxhash64(docs["text"]) == F.col(text))
+    kept = docs.join(best.where(F.col(many) == 1).hint("shuffle_hash"), same, "left_semi")
+    if best.where(F.col(many) > 1).isEmpty():
         return kept
-    repeats = docs.join(best.where("_n > 1").hint("shuffle_hash"), same, "left_semi")
+    repeats = docs.join(best.where(F.col(many) > 1).hint("shuffle_hash"), same, "left_semi")
     return kept.unionByName(repeats.dropDuplicates(["doc_id", "text"]))

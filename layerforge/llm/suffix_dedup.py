@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerforge.llm.common import stage
+from layerforge.llm.common import free_names, stage
 from layerforge.llm.induced_sort import suffix_order
 
 LENGTH, GRAM = 400, 32
@@ -287,12 +287,13 @@ def kept_bytes(raw: bytes, runs: list[tuple[int, int]]) -> bytes:
     return b"".join(parts)
 
 
-def _with_spans(docs: DataFrame, length: int, hot: int) -> DataFrame:
-    """All columns of ``docs``, the text as bytes in _raw, and its spans in _s, _z."""
-    keyed = docs.withColumn("_raw", F.coalesce(F.col("text").cast("binary"), F.lit(b""))).withColumn("_key", F.unhex(F.md5("_raw")))
-    texts = keyed.select(F.col("_key").alias("key"), F.col("_raw").alias("text"))
-    spans = stage(repeated_spans(texts, length, hot).select(F.col("key").alias("_key"), F.col("s").alias("_s"), F.col("z").alias("_z")), "spans")
-    return keyed.join(spans.hint("shuffle_hash"), "_key", "left").drop("_key")
+def _with_spans(docs: DataFrame, length: int, hot: int) -> tuple[DataFrame, list[str]]:
+    """All columns of ``docs``, with the text as bytes and its spans' starts and ends; their names."""
+    raw, key, s, z = free_names(docs, "raw", "key", "s", "z")
+    keyed = docs.withColumn(raw, F.coalesce(F.col("text").cast("binary"), F.lit(b""))).withColumn(key, F.unhex(F.md5(raw)))
+    texts = keyed.select(F.col(key).alias("key"), F.col(raw).alias("text"))
+    spans = stage(repeated_spans(texts, length, hot).select(F.col("key").alias(key), F.col("s").alias(s), F.col("z").alias(z)), "spans")
+    return keyed.join(spans.hint("shuffle_hash"), key, "left").drop(key), [raw, s, z]
 
 
 def repeats_report(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
@@ -301,15 +302,15 @@ def repeats_report(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for doc, raw, s, z in zip(*(b.column(c).to_pylist() for c in ("doc_id", "_raw", "_s", "_z"))):
+            for doc, raw, s, z in zip(*(c.to_pylist() for c in b.columns)):
                 runs = merged(s, z)
                 out.append((doc, len(raw), sum(q - p for p, q in runs), len(runs), hashlib.sha256(kept_bytes(raw, runs)).hexdigest()))
             kinds = [*[pa.int64()] * 4, pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)],
                                              ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    rows = _with_spans(docs.select(F.col("doc_id").cast("long"), "text"), length, hot).select("doc_id", "_raw", "_s", "_z")
-    return rows.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    rows, found = _with_spans(docs.select(F.col("doc_id").cast("long"), "text"), length, hot)
+    return rows.select("doc_id", *found).mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
@@ -318,12 +319,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
     Parts of a character that a span cuts through are dropped.
     """
     names = docs.columns
+    rows, found = _with_spans(docs, length, hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             had, columns = b.column("text"), [b.column(c) for c in names]
             texts = []
-            for none, raw, s, z in zip(had.is_null().to_pylist(), *(b.column(c).to_pylist() for c in ("_raw", "_s", "_z"))):
+            for none, raw, s, z in zip(had.is_null().to_pylist(), *(b.column(c).to_pylist() for c in found)):
                 runs = merged(s, z)
                 texts.append(None if none else (kept_bytes(raw, runs) if runs else raw).decode("utf-8", "ignore"))
             columns[names.index("text")] = pa.array(texts, had.type)
@@ -333,4 +335,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
                 columns[names.index("n_chars")] = pa.array(new, n.type)
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return _with_spans(docs, length, hot).mapInArrow(run, docs.schema)
+    return rows.mapInArrow(run, docs.schema)
