@@ -24,6 +24,7 @@ empty table gives no rows; other columns are ignored or kept as they are.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -32,38 +33,55 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerforge.llm.common import free_names, stage
+from layerforge.llm.common import free_names, row_base, stage
 from layerforge.llm.induced_sort import suffix_order
 
-LENGTH, GRAM = 400, 32
+LENGTH, GRAM = 400, 128  # GRAM: at most this many bytes name an anchor
 SHARD = 2 << 20
 HOT = 8192
 FILTER_BITS = 1 << 27  # 16 MB, whatever the input
 SEGMENT = 1 << 19
-WINDOWS = "key binary, s int, m int, h long, w binary, body binary"
-RANGES = "h long, w binary, a array<int>, z array<int>"
+WINDOWS = "t long, key binary, s int, m int, h long, w binary, body binary"
+RANGES = "w binary, a array<int>, z array<int>"
 
-_GEAR = np.random.default_rng(31).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BYTE = np.random.default_rng(31).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BASE = 0x5851F42D4C957F2D
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+@functools.cache
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of the base and of its inverse modulo 2**64."""
+    out = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        powers = np.full(n, base, np.uint64)
+        powers[0] = 1
+        out.append(np.multiply.accumulate(powers))
+    return out[0], out[1]
+
+
+def gram_hashes(b: np.ndarray, gram: int) -> np.ndarray:
+    """Rolling polynomial hash of every ``gram`` bytes, mixed."""
+    up, down = _powers(SEGMENT + (1 << 12))
+    total = np.zeros(len(b) + 1, np.uint64)
+    np.cumsum(_BYTE[b] * up[:len(b)], out=total[1:])
+    h = (total[gram:] - total[:-gram]) * down[:len(b) - gram + 1] * _MIX
+    h ^= h >> np.uint64(29)
+    h *= _MIX
+    return h
+
+
 def windows_of(raw: bytes, length: int = LENGTH) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(first start, number of starts, anchor hash) of the windows of a text, by segments."""
     total = len(raw) - length + 1
-    wide = length - GRAM + 1
+    gram = min(GRAM, length)
+    wide = length - gram + 1
     for at in range(0, total, SEGMENT):
-        b = np.frombuffer(raw, np.uint8, min(SEGMENT, total - at) + length - 1, at)
-        h = _GEAR[b]
-        for k in (1, 2, 4, 8, 16):  # of the last 32 bytes
-            h[k:] = h[k:] + (h[:-k] << np.uint64(k))
-        h = h[GRAM - 1:] * _MIX
-        h ^= h >> np.uint64(29)
-        h *= _MIX
+        h = gram_hashes(np.frombuffer(raw, np.uint8, min(SEGMENT, total - at) + length - 1, at), gram)
         place = np.arange(len(h), dtype=np.uint64)
         key = (h & ~np.uint64((1 << 20) - 1)) | place  # smallest hash, then leftmost
         n = len(key) - wide + 1
-        full = -len(key) % wide
-        blocks = np.append(key, np.full(full, np.uint64(0xFFFFFFFFFFFFFFFF))).reshape(-1, wide)
+        blocks = np.append(key, np.full(-len(key) % wide, np.uint64(0xFFFFFFFFFFFFFFFF))).reshape(-1, wide)
         ahead = np.minimum.accumulate(blocks, axis=1).ravel()
         back = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
         least = np.minimum(back[:n], ahead[wide - 1:wide - 1 + n])
@@ -76,7 +94,7 @@ def windows_of(raw: bytes, length: int = LENGTH) -> Iterator[tuple[np.ndarray, n
 class _Seen:
     """Keys met by this task; forgets when it holds too many (which only costs work)."""
 
-    def __init__(self, most: int = 500_000):
+    def __init__(self, most: int = 250_000):
         self.keys, self.most = set(), most
 
     def new(self, key: bytes) -> bool:
@@ -130,19 +148,23 @@ def _window_step(length: int, shared):
 
         table, press = shared.value, zstandard.ZstdCompressor(level=1)
         seen, sent = _Seen(), _Seen()
-        names = ["key", "s", "m", "h", "w", "body"]
-        kinds = [pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+        names = ["t", "key", "s", "m", "h", "w", "body"]
+        kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+        t = row_base()
         for b in batches:
             rows = []
             for key, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if not seen.new(key):
                     continue
+                t, named = t + 1, False
                 for first, many, h in windows_of(raw, length):
                     hit = _in_filter(table, h)
                     for s, m, x in zip(first[hit].tolist(), many[hit].tolist(), h[hit].view(np.int64).tolist()):
                         body = raw[s:s + m + length - 1]
                         w = xxhash.xxh3_128_digest(body)
-                        rows.append((key, s, m, x, w, press.compress(body) if sent.new(w) else None))
+                        # the digest of the text stands in its first row; the others have its number
+                        rows.append((t, None if named else key, s, m, x, w, press.compress(body) if sent.new(w) else None))
+                        named = True
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
 
     return run
@@ -171,12 +193,12 @@ def _runs(flags: np.ndarray) -> tuple[list[int], list[int]]:
 
 
 def _range_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32())]
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["h", "w", "a", "z"])
+    kinds = [pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32())]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["w", "a", "z"])
 
 
 def _shard_step(length: int):
-    """mapInArrow over windows ordered by anchor: ranges of repeated starts of the single windows."""
+    """mapInArrow over windows ordered by anchor: ranges of the starts that repeat between windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -185,18 +207,18 @@ def _shard_step(length: int):
 
         def done():
             found = []
-            for (h, w, n, _), flags in zip(held, repeated_starts([r[3] for r in held], length)):
-                if n == 1 and flags.any():
-                    found.append((h, w, *_runs(flags)))
+            for (_, w, _), flags in zip(held, repeated_starts([r[2] for r in held], length)):
+                if flags.any():
+                    found.append((w, *_runs(flags)))
             return _range_batch(found)
 
         for b in batches:
-            for h, w, n, body in zip(*(b.column(c).to_pylist() for c in ("h", "w", "n", "body"))):
+            for h, w, body in zip(*(b.column(c).to_pylist() for c in ("h", "w", "body"))):
                 if size > SHARD and h != held[-1][0]:
                     yield done()
                     held, size = [], 0
                 body = plain.decompress(body)
-                held.append((h, w, n, body))
+                held.append((h, w, body))
                 size += len(body)
         if held:
             yield done()
@@ -205,20 +227,20 @@ def _shard_step(length: int):
 
 
 def _start_step(length: int):
-    """mapInArrow: windows of hot anchors -> (hash of each start, h, w, place)."""
+    """mapInArrow: windows of hot anchors -> (hash of each start, w, place)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
         import zstandard
 
         plain = zstandard.ZstdDecompressor()
-        kinds = [pa.binary(), pa.int64(), pa.binary(), pa.int32()]
+        kinds = [pa.binary(), pa.binary(), pa.int32()]
         for b in batches:
             rows = []
-            for h, w, body in zip(*(b.column(c).to_pylist() for c in ("h", "w", "body"))):
+            for w, body in zip(*(b.column(c).to_pylist() for c in ("w", "body"))):
                 body = plain.decompress(body)
-                rows += [(xxhash.xxh3_128_digest(body[i:i + length]), h, w, i) for i in range(len(body) - length + 1)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["g", "h", "w", "i"])
+                rows += [(xxhash.xxh3_128_digest(body[i:i + length]), w, i) for i in range(len(body) - length + 1)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["g", "w", "i"])
 
     return run
 
@@ -226,10 +248,10 @@ def _start_step(length: int):
 def _gather_step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows = []
-        for h, w, places in zip(*(b.column(c).to_pylist() for c in ("h", "w", "places"))):
+        for w, places in zip(*(b.column(c).to_pylist() for c in ("w", "places"))):
             flags = np.zeros(max(places) + 1, bool)
             flags[places] = True
-            rows.append((h, w, *_runs(flags)))
+            rows.append((w, *_runs(flags)))
         yield _range_batch(rows)
 
 
@@ -242,25 +264,27 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, hot: int = HOT) -> Da
     shared = spark.sparkContext.broadcast(anchor_filter(texts, length))  # FILTER_BITS, whatever the input
     windows = stage(texts.where(F.length("text") >= length).select("key", "text")
                     .mapInArrow(_window_step(length, shared), WINDOWS), "windows")
-    counts = stage(windows.groupBy("h", "w").agg(F.count(F.lit(1)).alias("n"), F.first("m").alias("m")), "window-counts")
+    counts = stage(windows.groupBy("w").agg(F.count(F.lit(1)).alias("n"), F.first("m").alias("m"), F.first("h").alias("h")), "window-counts")
     groups = stage(counts.groupBy("h").agg(F.count(F.lit(1)).alias("d"), F.min("n").alias("least"))
-                   .where("d > 1 AND least = 1"), "window-groups")
-    whole = counts.where("n > 1").select("h", "w", F.array(F.lit(0)).alias("a"), F.array("m").alias("z"))
-    wanted = counts.join(groups, "h").select("h", "w", "n", "d")
-    bodies = (windows.where("body IS NOT NULL").select("h", "w", "body").dropDuplicates(["h", "w"]).join(wanted, ["h", "w"]))
+                   .where("d > 1 AND least = 1").select("h", "d"), "window-groups")
+    whole = counts.where("n > 1").select("w", F.array(F.lit(0)).alias("a"), F.array("m").alias("z"))
+    # The texts are shuffled once, by anchor; the join, the duplicates and the shards keep that partitioning.
+    bodies = (windows.where("body IS NOT NULL").select("h", "w", "body").repartition("h").join(groups, "h")
+              .dropDuplicates(["h", "w"]))
     found = whole.unionByName(
-        bodies.where(F.col("d") <= hot).select("h", "w", "n", "body").repartition("h").sortWithinPartitions("h")
+        bodies.where(F.col("d") <= hot).select("h", "w", "body").sortWithinPartitions("h")
         .mapInArrow(_shard_step(length), RANGES))
     if not groups.where(F.col("d") > hot).isEmpty():
-        starts = stage(bodies.where(F.col("d") > hot).select("h", "w", "body")
-                       .mapInArrow(_start_step(length), "g binary, h long, w binary, i int"), "hot-starts")
+        starts = stage(bodies.where(F.col("d") > hot).select("w", "body")
+                       .mapInArrow(_start_step(length), "g binary, w binary, i int"), "hot-starts")
         again = starts.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("g")
-        found = found.unionByName(starts.join(again, "g").groupBy("h", "w").agg(F.collect_list("i").alias("places"))
+        found = found.unionByName(starts.join(again, "g").groupBy("w").agg(F.collect_list("i").alias("places"))
                                   .mapInArrow(_gather_step, RANGES))
     found = stage(found, "window-ranges")
-    spans = (windows.select("key", "s", "h", "w").join(found, ["h", "w"])
-             .select("key", "s", F.explode(F.arrays_zip("a", "z")).alias("r"))
-             .select("key", (F.col("s") + F.col("r.a")).alias("s"), (F.col("s") + F.col("r.z") + (length - 1)).alias("z")))
+    by_text = (windows.select("t", "s", "w").join(found, "w")
+               .select("t", "s", F.explode(F.arrays_zip("a", "z")).alias("r"))
+               .select("t", (F.col("s") + F.col("r.a")).alias("s"), (F.col("s") + F.col("r.z") + (length - 1)).alias("z")))
+    spans = by_text.join(windows.where("key IS NOT NULL").select("t", "key"), "t").select("key", "s", "z")
     copies = (texts.where(F.length("text") >= length).groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.length("text")).alias("z"))
               .where("n > 1").select("key", F.lit(0).alias("s"), F.col("z").cast("int")))
     return (spans.unionByName(copies).groupBy("key").agg(F.sort_array(F.collect_set(F.struct("s", "z"))).alias("r"))
