@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from layerforge.llm.common import free_names, row_base, stage
@@ -265,17 +265,18 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, hot: int = HOT) -> Da
     windows = stage(texts.where(F.length("text") >= length).select("key", "text")
                     .mapInArrow(_window_step(length, shared), WINDOWS), "windows")
     counts = stage(windows.groupBy("w").agg(F.count(F.lit(1)).alias("n"), F.first("m").alias("m"), F.first("h").alias("h")), "window-counts")
-    groups = stage(counts.groupBy("h").agg(F.count(F.lit(1)).alias("d"), F.min("n").alias("least"))
-                   .where("d > 1 AND least = 1").select("h", "d"), "window-groups")
+    hot_groups = stage(counts.groupBy("h").agg(F.count(F.lit(1)).alias("d")).where(F.col("d") > hot).select("h"), "hot-groups")
     whole = counts.where("n > 1").select("w", F.array(F.lit(0)).alias("a"), F.array("m").alias("z"))
-    # The texts are shuffled once, by anchor; the join, the duplicates and the shards keep that partitioning.
-    bodies = (windows.where("body IS NOT NULL").select("h", "w", "body").repartition("h").join(groups, "h")
-              .dropDuplicates(["h", "w"]))
-    found = whole.unionByName(
-        bodies.where(F.col("d") <= hot).select("h", "w", "body").sortWithinPartitions("h")
-        .mapInArrow(_shard_step(length), RANGES))
-    if not groups.where(F.col("d") > hot).isEmpty():
-        starts = stage(bodies.where(F.col("d") > hot).select("w", "body")
+    bodies = windows.where("body IS NOT NULL").select("h", "w", "body")
+    some_hot = not hot_groups.isEmpty()
+    # The window makes the planner keep each anchor's rows in one place, whatever it does before;
+    # as the rows come dealt out by anchor, that takes no second shuffle of the texts.
+    own = bodies.join(hot_groups, "h", "left_anti") if some_hot else bodies.repartition("h")
+    own = (own.dropDuplicates(["h", "w"]).withColumn("d", F.count(F.lit(1)).over(Window.partitionBy("h").orderBy("h")))
+           .where("d > 1"))
+    found = whole.unionByName(own.select("h", "w", "body").mapInArrow(_shard_step(length), RANGES))
+    if some_hot:
+        starts = stage(bodies.join(hot_groups, "h", "left_semi").dropDuplicates(["h", "w"]).select("w", "body")
                        .mapInArrow(_start_step(length), "g binary, w binary, i int"), "hot-starts")
         again = starts.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("g")
         found = found.unionByName(starts.join(again, "g").groupBy("w").agg(F.collect_list("i").alias("places"))
