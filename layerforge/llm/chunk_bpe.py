@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerforge.llm.common import row_base, stage, texts_of
+from layerforge.llm.common import row_base, small, stage, texts_of
 from layerforge.llm.units import _LOADED, _UNIT, byte_letters, load_tokenizer, unit_encoder
 
 LEAST, MOST = 512, 8192   # bytes of a chunk
@@ -91,7 +91,7 @@ def chunk_hash(chunk: bytes) -> bytes:
 
 
 def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in small(batches):
         found = [chunk_hash(c) for t in b.column(0).to_pylist() if t for c in chunks_of(t)]
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["h"])
 
@@ -187,7 +187,7 @@ def _encode_step(tokenizer: str, table_bytes: bytes, finish, names: list[str]):
         enc, table = unit_encoder(tokenizer, "byte"), np.frombuffer(table_bytes, np.uint32)
         one, width, press = enc.one, enc.dtype.itemsize, zstandard.ZstdCompressor(level=1)
         base, sent, row = pa.schema([(n, k) for n, k in _PIECE_KINDS]), set(), row_base()
-        for b in batches:
+        for b in small(batches):
             done_docs, done_ids, rows = [], [], []
             for doc, text in zip(*(c.to_pylist() for c in b.columns)):
                 pieces = pieces_of(text, lambda h: in_filter(h, table), one, width)
@@ -300,7 +300,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, finisher=keep_ids) -> Data
         import zstandard
 
         enc, plain = unit_encoder(tokenizer, "byte"), zstandard.ZstdDecompressor()
-        for b in batches:
+        for b in small(batches):
             texts = [plain.decompress(x).decode("utf-8") for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(enc.encode(texts), pa.binary())], ["h", "own"])
 
@@ -315,7 +315,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, finisher=keep_ids) -> Data
              .select("doc_id", F.transform("p", lambda x: x["ids"]).alias("p")))
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             yield finish(b.column(0).to_pylist(), [b"".join(p) for p in b.column(1).to_pylist()])
 
     return made.where("kind = 0").select("done.*").unionByName(whole.mapInArrow(assemble, done_schema))
@@ -326,7 +326,7 @@ def decode_documents(encoded: DataFrame, tokenizer: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dec, dtype = decoder(tokenizer), unit_encoder(tokenizer, "byte").dtype
-        for b in batches:
+        for b in small(batches):
             texts = [dec.text(np.frombuffer(x or b"", dtype).tolist()) for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerforge.llm.common import texts_of
+from layerforge.llm.common import small, texts_of
 
 THRESHOLD, SAMPLE_DOCS, FOLDS = 0.3, 4000, 5
 TRAIN_LINES = 48  # longer training documents are cut into chains of this many lines
@@ -196,7 +196,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
               .orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample_docs))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             made = [line_features(t)[0].astype(np.float32) for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in made], pa.binary()), b.column(1), b.column(2)],
                                              ["features", "quality", "doc_id"])
@@ -215,7 +215,7 @@ def score_documents(docs: DataFrame, field: Field, threshold: float = THRESHOLD,
     """doc_id, held_out, score, predicted of every row, and the columns of ``carry``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             own = scores(b.column("text").to_pylist(), field)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[b.column(c) for c in carry], pa.array(own)],
                                              ["doc_id", *carry, "score"])
@@ -233,7 +233,7 @@ def keep_good(docs: DataFrame, field: Field, threshold: float = THRESHOLD) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = names.index("text")
-        for b in batches:
+        for b in small(batches):
             own = scores([t or "" for t in b.column(at).to_pylist()], field)
             yield b.filter(pa.array(own >= threshold))
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerforge.llm.common import row_base, stage, texts_of
+from layerforge.llm.common import row_base, small, stage, texts_of
 from layerforge.llm.units import unit_encoder
 
 LENGTH = 2048
@@ -85,7 +85,7 @@ def _keyed(tokenizer: str, end_id: int):
         enc = unit_encoder(tokenizer, "word")
         end = np.array([end_id], enc.dtype).tobytes()
         row = row_base()
-        for b in batches:
+        for b in small(batches):
             ids = [x + end for x in enc.encode(b.column(1).to_pylist())]
             keys = curve_keys([np.frombuffer(x, enc.dtype) for x in ids])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(range(row, row + len(ids)), pa.int64()),
@@ -132,7 +132,7 @@ def _packed(length: int, id_bytes: int):
             rows.clear()
             return out
 
-        for b in batches:
+        for b in small(batches):
             for doc, raw in zip(b.column("doc_id").to_pylist(), b.column("ids").to_pylist()):
                 ids = np.frombuffer(raw, dtype)
                 total, start = len(ids), 0

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerforge.llm.common import free_names, stage, texts_of
+from layerforge.llm.common import free_names, small, stage, texts_of
 from layerforge.llm.components import components
 
 SHINGLE, RADIUS, SEED, BLOCK = 4, 4, 42, 1024
@@ -57,7 +57,7 @@ def fingerprint(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
 
 def _fingerprints(shingle: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             marks = np.array([fingerprint(t, shingle, seed) for t in b.column(1).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(marks.view(np.int64)), *b.columns[2:]],
                                              ["doc_id", "mark", *b.schema.names[2:]])

@@ -33,11 +33,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from layerforge.llm.common import free_names, row_base, stage
+from layerforge.llm.common import free_names, row_base, small, stage
 from layerforge.llm.induced_sort import suffix_order
 
 LENGTH, GRAM = 400, 128  # GRAM: at most this many bytes name an anchor
-SHARD = 2 << 20
+SHARD = 1 << 20
 HOT = 8192
 FILTER_BITS = 1 << 27  # 16 MB, whatever the input
 SEGMENT = 1 << 19
@@ -109,7 +109,7 @@ class _Seen:
 def _anchor_step(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = _Seen()
-        for b in batches:
+        for b in small(batches):
             found = [h for key, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if seen.new(key)
                      for _, _, h in windows_of(raw, length)]
             if found:
@@ -151,7 +151,7 @@ def _window_step(length: int, shared):
         names = ["t", "key", "s", "m", "h", "w", "body"]
         kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
         t = row_base()
-        for b in batches:
+        for b in small(batches):
             rows = []
             for key, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if not seen.new(key):
@@ -212,7 +212,7 @@ def _shard_step(length: int):
                     found.append((w, *_runs(flags)))
             return _range_batch(found)
 
-        for b in batches:
+        for b in small(batches):
             for h, w, body in zip(*(b.column(c).to_pylist() for c in ("h", "w", "body"))):
                 if size > SHARD and h != held[-1][0]:
                     yield done()
@@ -235,7 +235,7 @@ def _start_step(length: int):
 
         plain = zstandard.ZstdDecompressor()
         kinds = [pa.binary(), pa.binary(), pa.int32()]
-        for b in batches:
+        for b in small(batches):
             rows = []
             for w, body in zip(*(b.column(c).to_pylist() for c in ("w", "body"))):
                 body = plain.decompress(body)
@@ -246,7 +246,7 @@ def _start_step(length: int):
 
 
 def _gather_step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in small(batches):
         rows = []
         for w, places in zip(*(b.column(c).to_pylist() for c in ("w", "places"))):
             flags = np.zeros(max(places) + 1, bool)
@@ -325,7 +325,7 @@ def repeats_report(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             out = []
             for doc, raw, s, z in zip(*(c.to_pylist() for c in b.columns)):
                 runs = merged(s, z)
@@ -347,7 +347,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
     rows, found = _with_spans(docs, length, hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             had, columns = b.column("text"), [b.column(c) for c in names]
             texts = []
             for none, raw, s, z in zip(had.is_null().to_pylist(), *(b.column(c).to_pylist() for c in found)):

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from layerforge.llm.common import row_base, stage, texts_of
+from layerforge.llm.common import row_base, small, stage, texts_of
 from layerforge.llm.units import unit_encoder
 
 END_ID = 2
@@ -74,7 +74,7 @@ def _frames(tokenizer: str, end_id: int, raw: bytes):
         press = zstandard.ZstdCompressor(level=3, dict_data=_zdict(raw))
         end = np.array([end_id], enc.dtype).tobytes()
         row = row_base()
-        for b in batches:
+        for b in small(batches):
             ids = [x + end for x in enc.encode(b.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([
                 b.column(0), pa.array(range(row, row + len(ids)), pa.int64()),
@@ -98,7 +98,7 @@ def _blocks(dict_hash: str):
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
                                               ["block", "dict_hash", "doc_ids", "counts", "offsets", "payload"])
 
-        for b in batches:
+        for b in small(batches):
             for doc, n, frame in zip(*(b.column(c).to_pylist() for c in ("doc_id", "n_tokens", "frame"))):
                 docs.append(doc)
                 counts.append(n)

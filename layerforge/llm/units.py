@@ -2,7 +2,7 @@
 
 A text is cut only at places where the tokenizer's own splitting must restart, so the ids of the
 whole are the ids of the parts in a row.  Each distinct part is encoded by the tokenizers library
-and kept; a full cache keeps its shorter half.
+and kept; a full cache keeps its older half.
 
 Byte-level model: its pattern lets white space only begin a match or fill it, and the added token
 holds none, so a match always starts at white space that follows something else, and at what
@@ -24,7 +24,7 @@ SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 _UNIT = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 _ODD = re.compile("[\t\x0b\x0c\r\x85\xa0  -     　]|  | \n|\n |\n\n")
 _PLAIN = re.compile("( ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-/:-@\\[-`{-~]*)")
-MAX_UNITS = 1_500_000
+MAX_UNITS = 1_000_000
 _LOADED: dict[tuple | str, object] = {}
 
 
@@ -70,12 +70,9 @@ class _Known(dict):
         return ids
 
     def thin(self) -> None:
-        """Keep the shorter half: short units recur most."""
-        lengths = sorted(map(len, self))
-        cut = lengths[len(lengths) // 2] if lengths else 0
-        kept = {k: v for k, v in self.items() if len(k) < cut}
-        self.clear()
-        self.update(kept)
+        """Keep the older half: frequent units are met early.  The other half follows the texts."""
+        for _ in range(len(self) - len(self) // 2):
+            self.popitem()
 
 
 class _Units:
