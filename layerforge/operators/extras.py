@@ -52,7 +52,7 @@ def group_stats(df: DataFrame, group: str, value: str, exact: bool = True,
         q1 = F.percentile_approx(x, 0.25, accuracy).cast("double")
         q3 = F.percentile_approx(x, 0.75, accuracy).cast("double")
     stats = df.where(F.col(value).isNotNull()).groupBy(group).agg(
-        F.count(x).alias("n"), F.sum(x).alias("s1"), F.sum(x * x).alias("s2"),
+        F.count(x).alias("n"), F.sum(x).alias("s1"), F.sum(x.cast("decimal(19,0)") * x).alias("s2"),
         q1.alias("q1"), q3.alias("q3"),
     )
     n, s1, s2 = F.col("n").cast("double"), F.col("s1").cast("double"), F.col("s2").cast("double")
@@ -83,7 +83,7 @@ def outlier_rows(df: DataFrame, group: str, value: str, key_cols: Sequence[str])
     """The rows whose |z| in their group exceeds the limit, with the z-score."""
     x = F.col(value).cast("long")
     stats = df.where(F.col(value).isNotNull()).groupBy(group).agg(
-        F.count(x).alias("n"), F.sum(x).alias("s1"), F.sum(x * x).alias("s2"))
+        F.count(x).alias("n"), F.sum(x).alias("s1"), F.sum(x.cast("decimal(19,0)") * x).alias("s2"))
     n, s1, s2 = F.col("n").cast("double"), F.col("s1").cast("double"), F.col("s2").cast("double")
     stats = stats.select(group, (s1 / n).alias("mean"),
                          F.sqrt(F.when(F.col("n") > 1, (s2 - s1 * s1 / n) / (n - F.lit(1.0)))).alias("stddev"))
@@ -163,13 +163,21 @@ def reject_reasons(reasons: Sequence[tuple[str, Column]]) -> Column:
 
 
 def reject_rows(sales: DataFrame) -> DataFrame:
-    """Bronze sales rows that cannot load cleanly, with every reason that applies."""
-    reasons = [
-        ("order_date_invalid", C.int_date_rejected("sls_order_dt")),
-        ("order_date_missing", (F.col("sls_order_dt") == 0) | (F.length(F.col("sls_order_dt").cast("string")) != 8)),
-        ("ship_date_invalid", C.int_date_rejected("sls_ship_dt")),
+    """Bronze sales rows that cannot load cleanly, with every reason that applies.
+
+    All three dates, the quantity, and what the amounts would load as.
+    """
+    reasons = []
+    for day in ("order", "ship", "due"):
+        c = F.col(f"sls_{day}_dt")
+        absent = (c == 0) | (F.length(c.cast("string")) != 8)
+        reasons += [(f"{day}_date_invalid", C.int_date_rejected(c)), (f"{day}_date_missing", F.coalesce(absent, F.lit(True)))]
+    new_sales, new_price = C.repair_amounts("sls_sales", "sls_quantity", "sls_price")
+    reasons += [
         ("quantity_not_positive", F.coalesce(F.col("sls_quantity") <= 0, F.lit(True))),
-        ("price_unrepairable", C.repair_amounts("sls_sales", "sls_quantity", "sls_price")[1].isNull()),
+        ("price_unrepairable", new_price.isNull()),
+        ("price_not_positive", new_price <= 0),
+        ("sales_unrepairable", new_sales.isNull()),
     ]
     r = reject_reasons(reasons)
     return sales.withColumn("reject_reason", r).where(F.col("reject_reason") != "")

@@ -15,7 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerforge.session import ensure_checkpoint_dir, shuffle_partitions_for
+from layerforge.session import ensure_checkpoint_dir
 
 # Impact risk bands (affected assets, affected transformations).
 HIGH_ASSETS, HIGH_TRANSFORMS = 10, 5
@@ -43,14 +43,7 @@ def _fix(df: DataFrame) -> DataFrame:
 
 
 def closure(edges: DataFrame, reverse: bool = False, checkpoint_every: int = 4,
-            max_rounds: int | None = None, method: str = "doubling") -> DataFrame:
-    """All (asset, reached) pairs: downstream (follow edges) or upstream (``reverse``); see ``_closure``."""
-    with shuffle_partitions_for(edges):
-        return _closure(edges, reverse, checkpoint_every, max_rounds, method)
-
-
-def _closure(edges: DataFrame, reverse: bool, checkpoint_every: int, max_rounds: int | None,
-             method: str) -> DataFrame:
+            method: str = "doubling") -> DataFrame:
     """All (asset, reached) pairs: downstream (follow edges) or upstream (``reverse``).
 
     ``doubling`` (default): round i finds exactly the pairs whose shortest
@@ -78,7 +71,7 @@ def _closure(edges: DataFrame, reverse: bool, checkpoint_every: int, max_rounds:
         step = (frontier.alias("f").join(right.alias("e"), F.col("f.b") == F.col("e.a"))
                 .select(F.col("f.a").alias("a"), F.col("e.b").alias("b")).distinct())
         new = _fix(step.join(known, ["a", "b"], "left_anti"))
-        if new.isEmpty() or (max_rounds is not None and rounds >= max_rounds):
+        if new.isEmpty():
             break
         known = known.unionByName(new)
         if method == "doubling" or rounds % checkpoint_every == 0:
@@ -87,14 +80,7 @@ def _closure(edges: DataFrame, reverse: bool, checkpoint_every: int, max_rounds:
     return known.select(F.col("a").alias("asset"), F.col("b").alias("reached"))
 
 
-def shortest_paths_to(edges: DataFrame, target, max_rounds: int | None = None,
-                      checkpoint_every: int = 4) -> DataFrame:
-    """Shortest path from every asset that reaches ``target``; see ``_shortest_paths_to``."""
-    with shuffle_partitions_for(edges):
-        return _shortest_paths_to(edges, target, max_rounds, checkpoint_every)
-
-
-def _shortest_paths_to(edges: DataFrame, target, max_rounds: int | None, checkpoint_every: int) -> DataFrame:
+def shortest_paths_to(edges: DataFrame, target, checkpoint_every: int = 4) -> DataFrame:
     """For every asset that reaches ``target``: the shortest path, ties -> lexically smallest.
 
     Breadth-first from the target against the edge direction; a node keeps the
@@ -113,7 +99,7 @@ def _shortest_paths_to(edges: DataFrame, target, max_rounds: int | None, checkpo
                 .select(F.col("src").alias("node"), F.concat(F.array(F.col("src")), F.col("path")).alias("path")))
         step = step.join(found.select("node"), "node", "left_anti")
         step = _fix(step.groupBy("node").agg(F.min("path").alias("path")))
-        if step.isEmpty() or (max_rounds is not None and rounds >= max_rounds):
+        if step.isEmpty():
             break
         found = found.unionByName(step)
         if rounds % checkpoint_every == 0:
@@ -158,37 +144,28 @@ def report(edges: DataFrame, downstream: DataFrame, layer_of: DataFrame | None =
 # The 15 assets and 9 transformations of the warehouse.
 SOURCE_TABLES = ["crm_cust_info", "crm_prd_info", "crm_sales_details",
                  "erp_cust_az12", "erp_loc_a101", "erp_px_cat_g1v2"]
-GOLD_VIEWS = [("dim_customers", "Customer dimension with demographics"),
-              ("dim_products", "Product dimension with categories"),
-              ("fact_sales", "Sales fact table with metrics")]
-SILVER_LOGIC = ["Data cleansing and standardization", "Product data transformation",
-                "Sales data validation and cleansing", "Customer demographic cleansing",
-                "Location data standardization", "Category data transformation"]
-GOLD_TRANSFORMS = [
-    (["silver.crm_cust_info", "silver.erp_cust_az12", "silver.erp_loc_a101"], "gold.dim_customers",
-     "Customer dimension combining CRM and ERP data"),
-    (["silver.crm_prd_info", "silver.erp_px_cat_g1v2"], "gold.dim_products",
-     "Product dimension with category information"),
-    (["silver.crm_sales_details", "gold.dim_customers", "gold.dim_products"], "gold.fact_sales",
-     "Sales fact table with dimension keys"),
+GOLD_VIEWS = ["dim_customers", "dim_products", "fact_sales"]
+GOLD_SOURCES = [
+    (["silver.crm_cust_info", "silver.erp_cust_az12", "silver.erp_loc_a101"], "gold.dim_customers"),
+    (["silver.crm_prd_info", "silver.erp_px_cat_g1v2"], "gold.dim_products"),
+    (["silver.crm_sales_details", "gold.dim_customers", "gold.dim_products"], "gold.fact_sales"),
 ]
 
 
 def warehouse_assets(spark: SparkSession) -> DataFrame:
-    rows = [(t, "table", "bronze", "Raw data from source system", "ETL Pipeline", ["raw", "bronze", "source"])
-            for t in SOURCE_TABLES]
-    rows += [(t, "table", "silver", "Cleansed and standardized data", "ETL Pipeline",
-              ["cleansed", "silver", "standardized"]) for t in SOURCE_TABLES]
-    rows += [(n, "view", "gold", d, "Analytics Team", ["analytics", "gold", "star-schema"]) for n, d in GOLD_VIEWS]
+    """(name, type, schema, description, owner, tags, asset) of the tables and views of the three layers."""
+    rows = [(t, "table", layer, f"{layer} rows of feed {t}", f"{layer} load", [layer, t.split("_")[0]])
+            for layer in ("bronze", "silver") for t in SOURCE_TABLES]
+    rows += [(v, "view", "gold", f"star schema: {v}", "gold load", ["gold", v.split("_")[0]]) for v in GOLD_VIEWS]
     return spark.createDataFrame(
         rows, "name string, type string, schema string, description string, owner string, tags array<string>"
     ).withColumn("asset", F.concat_ws(".", "schema", "name"))
 
 
 def warehouse_transformations(spark: SparkSession) -> DataFrame:
-    rows = [([f"bronze.{t}"], f"silver.{t}", "etl", logic, "silver.load_silver")
-            for t, logic in zip(SOURCE_TABLES, SILVER_LOGIC)]
-    rows += [(src, dst, "view", logic, f"{dst} view") for src, dst, logic in GOLD_TRANSFORMS]
+    rows = [([f"bronze.{t}"], f"silver.{t}", "etl", f"plans.silver rule of {t}", "silver.load_silver")
+            for t in SOURCE_TABLES]
+    rows += [(src, dst, "view", f"plans.gold.{dst.split('.')[1]}", "gold.load_gold") for src, dst in GOLD_SOURCES]
     return spark.createDataFrame(
         rows, "source_assets array<string>, target_asset string, transformation_type string, "
               "transformation_logic string, created_by string")

@@ -19,22 +19,21 @@ from layerforge.operators.windows import current_rows
 def dim_customers(cust: DataFrame, demo: DataFrame, loc: DataFrame,
                   num_partitions: int | None = None) -> DataFrame:
     """CRM customers enriched with ERP demographics and location."""
-    ci = cust.alias("ci")
-    ca = demo.alias("ca")
-    la = loc.alias("la")
+    person = demo.select(F.col("cid").alias("person"), "bdate", "gen")
+    place = loc.select(F.col("cid").alias("place"), "cntry")
     joined = (
-        ci.join(ca, F.col("ci.cst_key") == F.col("ca.cid"), "left")
-        .join(la, F.col("ci.cst_key") == F.col("la.cid"), "left")
+        cust.join(person, F.col("cst_key") == F.col("person"), "left")
+        .join(place, F.col("cst_key") == F.col("place"), "left")
         .select(
-            F.col("ci.cst_id").alias("customer_id"),
-            F.col("ci.cst_key").alias("customer_number"),
-            F.col("ci.cst_firstname").alias("first_name"),
-            F.col("ci.cst_lastname").alias("last_name"),
-            F.col("la.cntry").alias("country"),
-            F.col("ci.cst_marital_status").alias("marital_status"),
-            C.coalesce_sources(F.col("ci.cst_gndr"), F.col("ca.gen")).alias("gender"),
-            F.col("ca.bdate").alias("birthdate"),
-            F.col("ci.cst_create_date").alias("create_date"),
+            F.col("cst_id").alias("customer_id"),
+            F.col("cst_key").alias("customer_number"),
+            F.col("cst_firstname").alias("first_name"),
+            F.col("cst_lastname").alias("last_name"),
+            F.col("cntry").alias("country"),
+            F.col("cst_marital_status").alias("marital_status"),
+            C.coalesce_sources("cst_gndr", "gen").alias("gender"),
+            F.col("bdate").alias("birthdate"),
+            F.col("cst_create_date").alias("create_date"),
         )
     )
     # Order of the key: customer id; the remaining columns complete the order
@@ -47,19 +46,18 @@ def dim_customers(cust: DataFrame, demo: DataFrame, loc: DataFrame,
 
 def dim_products(prd: DataFrame, cat: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """Current product versions enriched with their category."""
-    pn = current_rows(prd, "prd_end_dt").alias("pn")
-    pc = cat.alias("pc")
-    joined = pn.join(pc, F.col("pn.cat_id") == F.col("pc.id"), "left").select(
-        F.col("pn.prd_id").alias("product_id"),
-        F.col("pn.prd_key").alias("product_number"),
-        F.col("pn.prd_nm").alias("product_name"),
-        F.col("pn.cat_id").alias("category_id"),
-        F.col("pc.cat").alias("category"),
-        F.col("pc.subcat").alias("subcategory"),
-        F.col("pc.maintenance").alias("maintenance"),
-        F.col("pn.prd_cost").alias("cost"),
-        F.col("pn.prd_line").alias("product_line"),
-        F.col("pn.prd_start_dt").alias("start_date"),
+    current = current_rows(prd, "prd_end_dt")
+    joined = current.join(cat, F.col("cat_id") == F.col("id"), "left").select(
+        F.col("prd_id").alias("product_id"),
+        F.col("prd_key").alias("product_number"),
+        F.col("prd_nm").alias("product_name"),
+        F.col("cat_id").alias("category_id"),
+        F.col("cat").alias("category"),
+        F.col("subcat").alias("subcategory"),
+        "maintenance",
+        F.col("prd_cost").alias("cost"),
+        F.col("prd_line").alias("product_line"),
+        F.col("prd_start_dt").alias("start_date"),
     )
     # Key order of the source (start date, product number); the remaining
     # columns make the order total even if a category id repeats.
@@ -71,22 +69,19 @@ def dim_products(prd: DataFrame, cat: DataFrame, num_partitions: int | None = No
 
 def fact_sales(sales: DataFrame, dim_prod: DataFrame, dim_cust: DataFrame) -> DataFrame:
     """Sales with the surrogate keys of both dimensions; unmatched -> NULL key."""
-    sd = sales.alias("sd")
-    pr = dim_prod.select("product_key", "product_number").alias("pr")
-    cu = dim_cust.select("customer_key", "customer_id").alias("cu")
+    product = dim_prod.select("product_key", "product_number")
+    customer = dim_cust.select("customer_key", "customer_id")
     return (
-        sd.join(pr, F.col("sd.sls_prd_key") == F.col("pr.product_number"), "left")
-        .join(cu, F.col("sd.sls_cust_id") == F.col("cu.customer_id"), "left")
+        sales.join(product, F.col("sls_prd_key") == F.col("product_number"), "left")
+        .join(customer, F.col("sls_cust_id") == F.col("customer_id"), "left")
         .select(
-            F.col("sd.sls_ord_num").alias("order_number"),
-            F.col("pr.product_key").alias("product_key"),
-            F.col("cu.customer_key").alias("customer_key"),
-            F.col("sd.sls_order_dt").alias("order_date"),
-            F.col("sd.sls_ship_dt").alias("shipping_date"),
-            F.col("sd.sls_due_dt").alias("due_date"),
-            F.col("sd.sls_sales").alias("sales_amount"),
-            F.col("sd.sls_quantity").alias("quantity"),
-            F.col("sd.sls_price").alias("price"),
+            F.col("sls_ord_num").alias("order_number"), "product_key", "customer_key",
+            F.col("sls_order_dt").alias("order_date"),
+            F.col("sls_ship_dt").alias("shipping_date"),
+            F.col("sls_due_dt").alias("due_date"),
+            F.col("sls_sales").alias("sales_amount"),
+            F.col("sls_quantity").alias("quantity"),
+            F.col("sls_price").alias("price"),
         )
     )
 

@@ -30,8 +30,8 @@ def _n(x: str) -> str:
 
 
 def row_counts(label: str, ctes: dict[str, str], suffix: str = "Row Count") -> list[str]:
-    found = "rows found" if suffix == "Row Count" else "rows accessible"
-    none = "No rows found in table" if suffix == "Row Count" else "View returns no data"
+    found = "rows present" if suffix == "Row Count" else "rows readable"
+    none = "No rows present in table" if suffix == "Row Count" else "view is empty"
     out = []
     for t, cte in ctes.items():
         name = f"'{label} {t} - {suffix}'"
@@ -50,7 +50,7 @@ def retention() -> list[str]:
             f"'Silver {t} - Data Retention'", f"{ok} AND {ratio} >= 0.8",
             f"CASE WHEN {ok} THEN {ratio} ELSE 0.0 END",
             f"CASE WHEN {ok} THEN 'Retained ' || {_n('s')} || ' of ' || {_n('b')} || ' rows' "
-            f"ELSE 'Silver has more rows than Bronze or no data' END",
+            f"ELSE 'row count outside 1 to the source count' END",
             f"SELECT (SELECT COUNT(*) FROM {BRONZE_CTE[t]}) AS b, (SELECT COUNT(*) FROM {SILVER_CTE[t]}) AS s"))
     return out
 
@@ -100,21 +100,21 @@ def integrity() -> list[str]:
                f"LEFT JOIN {dim} d ON f.{key} = d.{key}")
         score = _ratio("matched", "total", 1.0)
         out.append(_res(f"'Gold - Sales-{label} Integrity'", f"{score} >= 0.95", score,
-                        f"{_n('matched')} || ' of ' || {_n('total')} || ' sales have valid {label.lower()}s'",
+                        f"{_n('matched')} || ' of ' || {_n('total')} || ' sales match a {label.lower()}'",
                         src))
     return out
 
 
 def business(as_of: str = AS_OF) -> list[str]:
     amount = _res("'Business Rule - Valid Sales Amounts'", "bad = 0", _ratio("total - bad", "total", 1.0),
-                  f"CAST(bad AS VARCHAR) || ' negative sales out of ' || {_n('total')} || ' total'",
+                  f"CAST(bad AS VARCHAR) || ' amounts at or below zero among ' || {_n('total')} || ' rows'",
                   "SELECT COUNT(*) AS total, COUNT(*) FILTER (WHERE sales_amount <= 0) AS bad FROM g_fact")
     dates = _res("'Business Rule - Valid Date Ranges'", "bad = 0", _ratio("total - bad", "total", 1.0),
-                 f"CAST(bad AS VARCHAR) || ' invalid dates out of ' || {_n('total')} || ' total'",
+                 f"CAST(bad AS VARCHAR) || ' dates out of range among ' || {_n('total')} || ' rows'",
                  f"SELECT COUNT(*) AS total, COUNT(*) FILTER (WHERE order_date > DATE '{as_of}') "
                  f"+ COUNT(*) FILTER (WHERE order_date < DATE '2000-01-01') AS bad FROM g_fact")
     names = _res("'Business Rule - Customer Name Completeness'", "bad = 0", _ratio("total - bad", "total", 1.0),
-                 f"CAST(bad AS VARCHAR) || ' customers with missing names out of ' || {_n('total')} || ' total'",
+                 f"CAST(bad AS VARCHAR) || ' customers without a first name among ' || {_n('total')} || ' rows'",
                  "SELECT COUNT(*) AS total, COUNT(*) FILTER (WHERE first_name IS NULL OR first_name = '') AS bad "
                  "FROM g_cust")
     return [amount, dates, names]

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from layerforge.operators import quality as Q
 from layerforge.plans.gold import build_gold, fact_sales
-from layerforge.plans.silver import DEFAULT_AS_OF, build_silver, stamp
+from layerforge.plans.silver import build_silver, stamp
 from layerforge.plans.validation import all_checks
 from layerforge.plans.warehouse import Layers, run_parallel
 from layerforge.sources.files import (
@@ -57,7 +57,7 @@ def load_bronze(spark: SparkSession, sf_dir: str, root: str, rows: dict) -> dict
 
 
 def load_silver(spark: SparkSession, bronze: dict[str, DataFrame], root: str, rows: dict,
-                as_of: str = DEFAULT_AS_OF, run_ts: str | None = None) -> dict[str, DataFrame]:
+                as_of: str | None = None, run_ts: str | None = None) -> dict[str, DataFrame]:
     """Full refresh of the six silver tables from stored bronze."""
     frames = {k: stamp(v, run_ts) for k, v in build_silver(bronze, as_of).items()}
     return _write_layer(spark, frames, root, "silver", rows)
@@ -102,7 +102,7 @@ def run_load(name: str, *args, **kwargs) -> dict[str, DataFrame]:
 
 
 def run_pipeline(spark: SparkSession, sf_dir: str, root: str, run_id: int,
-                 as_of: str = DEFAULT_AS_OF, run_ts: str | None = None,
+                 as_of: str | None = None, run_ts: str | None = None,
                  buckets: int | None = None) -> RunResult:
     """Load all layers under ``root`` (a shared folder) and record the run."""
     rows: dict[tuple[str, str], int] = {}
@@ -128,7 +128,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, run_id: int,
     return result
 
 
-def validate_only(layers: Layers, as_of: str = DEFAULT_AS_OF) -> int:
+def validate_only(layers: Layers, as_of: str | None = None) -> int:
     """Exit code of a validation-only run: 1 when any check failed, else 0."""
     failed = all_checks(layers, as_of).where(~F.col("passed")).limit(1).count()
     return 1 if failed else 0

@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 from layerforge.functions import cleanse as C
 from layerforge.operators.windows import dedup_latest, scd2_intervals
 
-# Fixed value: reference date for "future" birth dates in reproducible runs.
-DEFAULT_AS_OF = "2001-01-01"
-
 
 def silver_customers(bronze: DataFrame) -> DataFrame:
     """Drop NULL ids, keep the newest record per id, trim names, map codes."""
@@ -72,8 +69,8 @@ def silver_sales(bronze: DataFrame) -> DataFrame:
     )
 
 
-def silver_demographics(bronze: DataFrame, as_of: str | None = DEFAULT_AS_OF) -> DataFrame:
-    """Strip the 'NAS' prefix, NULL future birth dates, map gender words."""
+def silver_demographics(bronze: DataFrame, as_of: str | None = None) -> DataFrame:
+    """Strip the 'NAS' prefix, NULL birth dates after ``as_of`` (default: today), map gender words."""
     return bronze.select(
         C.strip_prefix("cid").alias("cid"),
         C.null_future_dates("bdate", as_of).alias("bdate"),
@@ -97,7 +94,7 @@ def stamp(df: DataFrame, run_ts=None) -> DataFrame:
     return df.withColumn("dwh_create_date", ts)
 
 
-def build_silver(bronze: dict[str, DataFrame], as_of: str | None = DEFAULT_AS_OF,
+def build_silver(bronze: dict[str, DataFrame], as_of: str | None = None,
                  num_partitions: int | None = None) -> dict[str, DataFrame]:
     return {
         "crm_cust_info": silver_customers(bronze["crm_cust_info"]),

@@ -46,7 +46,7 @@ def integrity(layers: Layers) -> DataFrame:
     })
 
 
-def business_rules(layers: Layers, as_of: str) -> DataFrame:
+def business_rules(layers: Layers, as_of: str | None = None) -> DataFrame:
     g = layers.gold
     return Q.union_all([
         Q.sales_amount_check(g["fact_sales"]),
@@ -63,7 +63,7 @@ def ranges(layers: Layers) -> DataFrame:
     return Q.range_checks(layers.silver["crm_sales_details"], "crm_sales_details", RANGES)
 
 
-def all_checks(layers: Layers, as_of: str) -> DataFrame:
+def all_checks(layers: Layers, as_of: str | None = None) -> DataFrame:
     """Every check of one run, as rows."""
     return Q.union_all([
         Q.row_count_checks(layers.bronze, "Bronze"),

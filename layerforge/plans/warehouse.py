@@ -14,9 +14,10 @@ from dataclasses import dataclass
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from layerforge.plans.gold import build_gold, dim_customers, dim_products, fact_sales
-from layerforge.plans.silver import DEFAULT_AS_OF, build_silver
+from layerforge.plans.silver import build_silver
 from layerforge.session import write_through
 from layerforge.sources.standins import bronze_tables
 
@@ -28,7 +29,7 @@ class Layers:
     gold: dict[str, DataFrame]
 
 
-_CACHE: dict[tuple[str, str], Layers] = {}
+_CACHE: dict[tuple, Layers] = {}
 T = TypeVar("T")
 
 
@@ -58,7 +59,7 @@ def materialize_all(frames: dict[str, DataFrame], prefix: str) -> dict[str, Data
     return run_parallel({k: (lambda v=v, k=k: materialize(v, f"{prefix}-{k}")) for k, v in frames.items()})
 
 
-def build_layers(spark: SparkSession, sf_dir: str, as_of: str | None = DEFAULT_AS_OF,
+def build_layers(spark: SparkSession, sf_dir: str, as_of: str | None = None,
                  store: bool = True) -> Layers:
     """Bronze, silver and gold; with ``store`` every table is written once and read back.
 
@@ -87,11 +88,22 @@ def build_layers(spark: SparkSession, sf_dir: str, as_of: str | None = DEFAULT_A
     return Layers(bronze, silver, {"dim_customers": dc, "dim_products": dp, "fact_sales": fs})
 
 
+#: Reference date of the registered queries, which must give the same rows on any day.
+QUERY_AS_OF = "2001-01-01"
+
+
+def _state_of(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of the input files, so that new data under one path is built anew."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(sf_dir)
+    row = found.agg(F.count(F.lit(1)), F.sum("length"), F.max("modificationTime")).head()
+    return tuple(row)
+
+
 def layers(spark: SparkSession, sf_dir: str) -> Layers:
-    """Memoised per (application, folder): the layers are built and stored once."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    """Memoised per (application, folder, state of its files): the layers are built and stored once."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), *_state_of(spark, sf_dir))
     if key not in _CACHE:
-        _CACHE[key] = build_layers(spark, sf_dir)
+        _CACHE[key] = build_layers(spark, sf_dir, QUERY_AS_OF)
     return _CACHE[key]
 
 

@@ -2,7 +2,8 @@
 
 Bronze is typed at load (no inference).  Silver adds ``dwh_create_date`` and
 turns the integer / datetime dates into dates.  Gold surrogate keys are
-``bigint`` (a row number can exceed the int range on a large table).
+``bigint`` (a row number can exceed the int range on a large table), and so
+are all ids of the feeds.
 """
 
 from __future__ import annotations
@@ -20,15 +21,15 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
 
 BRONZE = {
     "crm_cust_info": _struct(
-        ("cst_id", I), ("cst_key", S), ("cst_firstname", S), ("cst_lastname", S),
+        ("cst_id", L), ("cst_key", S), ("cst_firstname", S), ("cst_lastname", S),
         ("cst_marital_status", S), ("cst_gndr", S), ("cst_create_date", D),
     ),
     "crm_prd_info": _struct(
-        ("prd_id", I), ("prd_key", S), ("prd_nm", S), ("prd_cost", I),
+        ("prd_id", L), ("prd_key", S), ("prd_nm", S), ("prd_cost", I),
         ("prd_line", S), ("prd_start_dt", TSN), ("prd_end_dt", TSN),
     ),
     "crm_sales_details": _struct(
-        ("sls_ord_num", S), ("sls_prd_key", S), ("sls_cust_id", I),
+        ("sls_ord_num", S), ("sls_prd_key", S), ("sls_cust_id", L),
         ("sls_order_dt", I), ("sls_ship_dt", I), ("sls_due_dt", I),
         ("sls_sales", I), ("sls_quantity", I), ("sls_price", I),
     ),
@@ -39,16 +40,16 @@ BRONZE = {
 
 SILVER = {
     "crm_cust_info": _struct(
-        ("cst_id", I), ("cst_key", S), ("cst_firstname", S), ("cst_lastname", S),
+        ("cst_id", L), ("cst_key", S), ("cst_firstname", S), ("cst_lastname", S),
         ("cst_marital_status", S), ("cst_gndr", S), ("cst_create_date", D),
         ("dwh_create_date", TS),
     ),
     "crm_prd_info": _struct(
-        ("prd_id", I), ("cat_id", S), ("prd_key", S), ("prd_nm", S), ("prd_cost", I),
+        ("prd_id", L), ("cat_id", S), ("prd_key", S), ("prd_nm", S), ("prd_cost", I),
         ("prd_line", S), ("prd_start_dt", D), ("prd_end_dt", D), ("dwh_create_date", TS),
     ),
     "crm_sales_details": _struct(
-        ("sls_ord_num", S), ("sls_prd_key", S), ("sls_cust_id", I),
+        ("sls_ord_num", S), ("sls_prd_key", S), ("sls_cust_id", L),
         ("sls_order_dt", D), ("sls_ship_dt", D), ("sls_due_dt", D),
         ("sls_sales", I), ("sls_quantity", I), ("sls_price", I), ("dwh_create_date", TS),
     ),
@@ -61,12 +62,12 @@ SILVER = {
 
 GOLD = {
     "dim_customers": _struct(
-        ("customer_key", L), ("customer_id", I), ("customer_number", S), ("first_name", S),
+        ("customer_key", L), ("customer_id", L), ("customer_number", S), ("first_name", S),
         ("last_name", S), ("country", S), ("marital_status", S), ("gender", S),
         ("birthdate", D), ("create_date", D),
     ),
     "dim_products": _struct(
-        ("product_key", L), ("product_id", I), ("product_number", S), ("product_name", S),
+        ("product_key", L), ("product_id", L), ("product_number", S), ("product_name", S),
         ("category_id", S), ("category", S), ("subcategory", S), ("maintenance", S),
         ("cost", I), ("product_line", S), ("start_date", D),
     ),

@@ -13,7 +13,6 @@ import os
 import shutil
 import tempfile
 import uuid
-from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -111,24 +110,3 @@ def write_through(df, name: str):
     df.write.mode("errorifexists").parquet(path)
     # The schema is known: reading it back needs no footer-inference job.
     return spark.read.schema(df.schema).parquet(path)
-
-
-@contextmanager
-def shuffle_partitions_for(df):
-    """Within the block, size shuffles from ``df``'s input instead of the session default.
-
-    Iterative operators (fixpoint rounds) run many small shuffles; with a
-    fixed high partition count each round pays for hundreds of near-empty
-    tasks.  The count used is the larger of the cluster's default parallelism
-    and ``df``'s input partition count (which grows with the data), and the
-    session value is restored afterwards.
-    """
-    spark = df.sparkSession
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    n = max(spark.sparkContext.defaultParallelism, df.rdd.getNumPartitions())
-    spark.conf.set(key, str(n))
-    try:
-        yield n
-    finally:
-        spark.conf.set(key, old)

@@ -37,14 +37,20 @@ def _m(c: str | Column, n: int) -> Column:
     return col % F.lit(n)
 
 
+def padded(key: Column, width: int) -> Column:
+    """Decimal key filled up to ``width`` digits; a longer one keeps all of its digits."""
+    text = key.cast("string")
+    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
+
+
 def customer_number(key: Column) -> Column:
-    """Business key of a customer: 'AW' + 8-digit id."""
-    return F.concat(F.lit("AW"), F.lpad(key.cast("string"), 8, "0"))
+    """Business key of a customer: 'AW' + id of at least 8 digits."""
+    return F.concat(F.lit("AW"), padded(key, 8))
 
 
 def product_number(key: Column) -> Column:
-    """Product key without category: 'P' + 6-digit part key."""
-    return F.concat(F.lit("P"), F.lpad(key.cast("string"), 6, "0"))
+    """Product key without category: 'P' + part key of at least 6 digits."""
+    return F.concat(F.lit("P"), padded(key, 6))
 
 
 def category_id_raw(p_type: Column, p_brand: Column) -> Column:
@@ -66,7 +72,7 @@ def bronze_cust_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = o.join(c, o.o_custkey == c.c_custkey, "inner")
     k = F.col("o_orderkey")
     return j.select(
-        F.when(_m(k, 53) == 0, F.lit(None)).otherwise(F.col("o_custkey")).cast("int").alias("cst_id"),
+        F.when(_m(k, 53) == 0, F.lit(None)).otherwise(F.col("o_custkey")).cast("long").alias("cst_id"),
         customer_number(F.col("o_custkey")).alias("cst_key"),
         F.when(_m(k, 41) == 0, F.lit(""))
         .when(_m(k, 43) == 0, F.lit(None))
@@ -91,7 +97,7 @@ def bronze_prd_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = F.date_add(F.lit("2010-01-01").cast("date"),
                        (_m("p_partkey", 400) + (F.col("v") - 1) * 365).cast("int"))
     return v.select(
-        (F.col("p_partkey") * 10 + F.col("v")).cast("int").alias("prd_id"),
+        (F.col("p_partkey") * 10 + F.col("v")).cast("long").alias("prd_id"),
         F.concat(category_id_raw(F.col("p_type"), F.col("p_brand")), F.lit("-"),
                  product_number(F.col("p_partkey"))).alias("prd_key"),
         F.col("p_name").alias("prd_nm"),
@@ -134,10 +140,11 @@ def bronze_sales_details(spark: SparkSession, sf_dir: str) -> DataFrame:
                F.concat(F.lit("ZZ"), F.col("l_partkey").cast("string")))
         .otherwise(product_number(F.col("l_partkey"))).alias("sls_prd_key"),
         F.when(_m(k, 31) == 0, -F.col("o_custkey") - 1).otherwise(F.col("o_custkey"))
-        .cast("int").alias("sls_cust_id"),
+        .cast("long").alias("sls_cust_id"),
         order_dt.alias("sls_order_dt"),
         ship_dt.alias("sls_ship_dt"),
-        ymd_int(F.date_add(F.to_date("l_shipdate"), 30)).alias("sls_due_dt"),
+        F.when(_m(k, 59) == 0, F.lit(0)).when(_m(k, 61) == 0, F.lit(20110231))
+        .otherwise(ymd_int(F.date_add(F.to_date("l_shipdate"), 30))).cast("int").alias("sls_due_dt"),
         sales.alias("sls_sales"),
         qq.alias("sls_quantity"),
         pp.alias("sls_price"),
@@ -164,7 +171,7 @@ def bronze_loc_a101(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left")
     k = F.col("c_custkey")
     return j.select(
-        F.concat(F.lit("AW-"), F.lpad(k.cast("string"), 8, "0")).alias("cid"),
+        F.concat(F.lit("AW-"), padded(k, 8)).alias("cid"),
         F.when(_m(k, 7) == 0, F.lit("DE")).when(_m(k, 7) == 1, F.lit("US"))
         .when(_m(k, 7) == 2, F.lit("USA"))
         .when(_m(k, 7) == 3, F.concat(F.lit(" "), F.col("n_name"), F.lit(" ")))
