@@ -1,21 +1,19 @@
-"""Lineage as an edge table: closure, paths, impact and report.
-
-Edges are rows (src, dst): data flows from ``src`` into ``dst``.  Closures are
-computed by semi-naive iteration: each round joins only the pairs found in the
-previous round (the frontier) with the edges -- or, by path doubling, with all
-known pairs -- and removes pairs already known (``left_anti``).  The loop ends
-when a round finds nothing, so cycles end too, and a node on a cycle reaches
-itself.  Round results are checkpointed to the shared checkpoint folder, which
-keeps plans short and lets a lost executor recompute only the last round.
+"""Lineage as an edge table: closure, reach, paths, impact and report.
+
+Edges are rows (src, dst): data flows from ``src`` into ``dst``.  All are
+computed by semi-naive iteration: each round joins only what the previous
+round found (the frontier) and removes what is already known (``left_anti``).
+The loop ends when a round finds nothing, so cycles end too, and a node on a
+cycle reaches itself.  Every round is written once below the shared checkpoint
+folder and never rewritten: what is known is the files of all rounds so far.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerforge.session import ensure_checkpoint_dir
+from layerforge.session import scratch_dir, write_through
 
 # Impact risk bands (affected assets, affected transformations).
 HIGH_ASSETS, HIGH_TRANSFORMS = 10, 5
@@ -29,83 +27,82 @@ def edges_from_transformations(transformations: DataFrame) -> DataFrame:
         F.col("transformation_type").alias("type"), F.col("transformation_logic").alias("logic"))
 
 
-def _fix(df: DataFrame) -> DataFrame:
-    """Checkpoint a round's result to the shared checkpoint folder (fixed input of the next round).
+class _Rounds:
+    """The rows of all rounds, each round its own folder of Parquet files."""
 
-    The rows are persisted first, so writing the checkpoint does not compute
-    the round a second time; a lost executor never recomputes an earlier round.
-    """
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
-
-
-def closure(edges: DataFrame, reverse: bool = False, checkpoint_every: int = 4,
-            method: str = "doubling") -> DataFrame:
-    """All (asset, reached) pairs: downstream (follow edges) or upstream (``reverse``).
-
-    ``doubling`` (default): round i finds exactly the pairs whose shortest
-    path has length in (2^i, 2^(i+1)] as (new pairs of the last round) joined
-    with (all known pairs) minus the known pairs, so a graph of depth d needs
-    about log2(d) + 1 rounds.  Each round may derive a pair more than once
-    (deduplicated before the anti join).
-    ``linear``: classic semi-naive rounds (frontier joined with the edges), d
-    rounds with the least work per round; known pairs are compacted every
-    ``checkpoint_every`` rounds.
-    Every round's result is checkpointed to the shared checkpoint folder.
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.base, self.paths, self.schema = spark, scratch_dir(spark, name), [], None
+
+    def add(self, df: DataFrame) -> DataFrame:
+        """Write a round; its rows as stored."""
+        path = f"{self.base}/round-{len(self.paths)}"
+        df.write.mode("errorifexists").parquet(path)
+        self.schema = self.schema or df.schema
+        self.paths.append(path)
+        return self.spark.read.schema(self.schema).parquet(path)
+
+    def all(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(*self.paths)
+
+
+def _directed(edges: DataFrame, reverse: bool) -> DataFrame:
+    a, b = ("dst", "src") if reverse else ("src", "dst")
+    # No NULL filter here: a NULL end never joins.
+    return write_through(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).distinct(), "edges")
+
+
+def closure(edges: DataFrame, reverse: bool = False, method: str = "doubling",
+            start: DataFrame | None = None) -> DataFrame:
+    """(asset, reached) pairs: downstream (follow edges) or upstream (``reverse``).
+
+    ``start`` (a column ``asset``) asks for the pairs of those assets alone;
+    without it every pair of the graph is made, which can be far more rows
+    than edges.  ``doubling`` (all pairs): round i finds the pairs whose
+    shortest path has length in (2^i, 2^(i+1)], so depth d takes about
+    log2(d) + 1 rounds.  ``linear``, and always with ``start``: the frontier
+    joined with the edges, d rounds with the least work per round.
     """
-    ensure_checkpoint_dir(edges.sparkSession)
-    e = edges.select(F.col("dst").alias("a"), F.col("src").alias("b")) if reverse else \
-        edges.select(F.col("src").alias("a"), F.col("dst").alias("b"))
-    # No NULL filter here: a NULL end never joins, and a filter's constraints
-    # would be carried into every checkpointed union below.
-    e = e.distinct().checkpoint()
-    known = e
-    frontier = e
-    rounds = 0
-    while True:
-        rounds += 1
-        right = known if method == "doubling" else e
+    e = _directed(edges, reverse)
+    first = e if start is None else e.join(start.select(F.col("asset").alias("a")).distinct(), "a", "left_semi")
+    rounds = _Rounds(edges.sparkSession, "closure")
+    frontier = rounds.add(first)
+    while not frontier.isEmpty():
+        right = rounds.all() if method == "doubling" and start is None else e
         step = (frontier.alias("f").join(right.alias("e"), F.col("f.b") == F.col("e.a"))
                 .select(F.col("f.a").alias("a"), F.col("e.b").alias("b")).distinct())
-        new = _fix(step.join(known, ["a", "b"], "left_anti"))
-        if new.isEmpty():
-            break
-        known = known.unionByName(new)
-        if method == "doubling" or rounds % checkpoint_every == 0:
-            known = _fix(known)
-        frontier = new
-    return known.select(F.col("a").alias("asset"), F.col("b").alias("reached"))
+        frontier = rounds.add(step.join(rounds.all(), ["a", "b"], "left_anti"))
+    return rounds.all().select(F.col("a").alias("asset"), F.col("b").alias("reached"))
+
+
+def reached_from(edges: DataFrame, start: DataFrame, reverse: bool = False) -> DataFrame:
+    """(reached): every asset that some asset of ``start`` reaches, once; no pairs are made."""
+    e = _directed(edges, reverse)
+    rounds = _Rounds(edges.sparkSession, "reach")
+    step = lambda nodes: (nodes.join(e, nodes["reached"] == e["a"])
+                          .select(F.col("b").alias("reached")).distinct())
+    frontier = rounds.add(step(start.select(F.col("asset").alias("reached")).distinct()))
+    while not frontier.isEmpty():
+        frontier = rounds.add(step(frontier).join(rounds.all(), "reached", "left_anti"))
+    return rounds.all()
 
 
-def shortest_paths_to(edges: DataFrame, target, checkpoint_every: int = 4) -> DataFrame:
+def shortest_paths_to(edges: DataFrame, target) -> DataFrame:
     """For every asset that reaches ``target``: the shortest path, ties -> lexically smallest.
 
     Breadth-first from the target against the edge direction; a node keeps the
     path of the round it was first reached, so each node is expanded once.
     """
     spark = edges.sparkSession
-    ensure_checkpoint_dir(spark)
-    e = edges.select("src", "dst").distinct().checkpoint()
+    e = write_through(edges.select("src", "dst").distinct(), "edges")
     t = e.schema["dst"].dataType
-    level = spark.range(1).select(F.lit(target).cast(t).alias("node"), F.array(F.lit(target).cast(t)).alias("path"))
-    found = level
-    rounds = 0
-    while True:
-        rounds += 1
+    rounds = _Rounds(spark, "paths")
+    level = rounds.add(spark.range(1).select(F.lit(target).cast(t).alias("node"), F.array(F.lit(target).cast(t)).alias("path")))
+    while not level.isEmpty():
         step = (level.join(e, level.node == e.dst)
                 .select(F.col("src").alias("node"), F.concat(F.array(F.col("src")), F.col("path")).alias("path")))
-        step = step.join(found.select("node"), "node", "left_anti")
-        step = _fix(step.groupBy("node").agg(F.min("path").alias("path")))
-        if step.isEmpty():
-            break
-        found = found.unionByName(step)
-        if rounds % checkpoint_every == 0:
-            found = _fix(found)
-        level = step
-    return found.select(
+        step = step.join(rounds.all().select("node"), "node", "left_anti")
+        level = rounds.add(step.groupBy("node").agg(F.min("path").alias("path")))
+    return rounds.all().select(
         F.col("node").alias("asset"),
         F.array_join(F.transform("path", lambda x: x.cast("string")), "->").alias("path"),
         (F.size("path") - 1).alias("hops"))
@@ -122,12 +119,37 @@ def impact(edges: DataFrame, downstream: DataFrame) -> DataFrame:
     assets = edges.select(F.col("src").alias("asset")).union(edges.select(F.col("dst").alias("asset"))).distinct()
     affected = downstream.groupBy("asset").agg(F.count(F.lit(1)).cast("long").alias("affected_assets"))
     direct = edges.groupBy(F.col("src").alias("asset")).agg(
-        F.countDistinct("dst").cast("long").alias("affected_transformations"))
+        F.count("dst").cast("long").alias("affected_transformations"))  # each edge is one use by one transformation
     out = assets.join(affected, "asset", "left").join(direct, "asset", "left").fillna(
         0, ["affected_assets", "affected_transformations"])
     return out.withColumn("risk_level", risk_level(F.col("affected_assets"), F.col("affected_transformations")))
 
 
+def impact_of(edges: DataFrame, changed: DataFrame) -> DataFrame:
+    """One row for a list of changed assets: assets reached, transformations that read them, risk band."""
+    changed = changed.select("asset").distinct()
+    assets = reached_from(edges, changed).agg(F.count(F.lit(1)).alias("affected_assets"))
+    reads = edges.join(changed, edges["src"] == changed["asset"], "left_semi").agg(
+        F.count("dst").alias("affected_transformations"))
+    out = changed.agg(F.count(F.lit(1)).alias("changed_assets")).join(assets, F.lit(True)).join(reads, F.lit(True))
+    return out.withColumn("risk_level", risk_level(F.col("affected_assets"), F.col("affected_transformations")))
+
+
+def assets_per_layer(assets: DataFrame, layer: str = "schema") -> DataFrame:
+    """(layer, n_assets): the head of the lineage report."""
+    return assets.groupBy(F.col(layer).alias("layer")).agg(F.count(F.lit(1)).alias("n_assets"))
+
+
+def dependency_lists(edges: DataFrame, start: DataFrame) -> DataFrame:
+    """(asset, depends_on, impacts): sorted lists of the assets of ``start``, for people to read.
+
+    A list is as long as what its asset reaches, so ask for few assets of a large graph.
+    """
+    lists = lambda up: closure(edges, up, start=start).groupBy("asset").agg(
+        F.array_sort(F.collect_set("reached")).alias("depends_on" if up else "impacts"))
+    return start.select("asset").distinct().join(lists(True), "asset", "left").join(lists(False), "asset", "left")
+
+
 def report(edges: DataFrame, downstream: DataFrame, layer_of: DataFrame | None = None) -> DataFrame:
     """Per asset: its layer, how many assets it depends on and how many it impacts."""
     assets = edges.select(F.col("src").alias("asset")).union(edges.select(F.col("dst").alias("asset"))).distinct()

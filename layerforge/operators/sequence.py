@@ -9,7 +9,7 @@ because the trailing order columns split it.
 
 ``ranged`` returns the rows range-partitioned and sorted, tagged with the
 partition index ``_pid`` and the position ``_pos`` inside the partition, and
-checkpoints them to the shared checkpoint folder.  The checkpoint fixes the
+writes them as Parquet below the shared checkpoint folder.  That fixes the
 partition bounds, so everything derived from it (partition counts, first
 rows) agrees with the rows, also when tasks are retried.
 
@@ -23,11 +23,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from layerforge.session import ensure_checkpoint_dir
+from layerforge.session import write_through
 
 PID, POS = "_pid", "_pos"
 
@@ -37,13 +36,11 @@ def _order_cols(order: Sequence[str | Column]) -> list[Column]:
 
 
 def ranged(df: DataFrame, order: Sequence[str | Column], num_partitions: int | None = None) -> DataFrame:
-    """Range-partition + sort on ``order`` (NULLs first), tag ``_pid``/``_pos``, checkpoint.
+    """Range-partition + sort on ``order`` (NULLs first), tag ``_pid``/``_pos``, store.
 
     ``order`` must be a total order over the rows (append a unique column as a
     tie-break), otherwise equal rows may swap places between recomputations.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     cols = _order_cols(order)
     shift = F.lit(1 << 33)
     # Without an explicit count AQE may coalesce neighbouring ranges; merged
@@ -56,12 +53,8 @@ def ranged(df: DataFrame, order: Sequence[str | Column], num_partitions: int | N
         # monotonically_increasing_id = (partition index << 33) + row index in partition
         .withColumn(POS, F.monotonically_increasing_id() - F.col(PID).cast("long") * shift)
     )
-    staged = staged.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        fixed = staged.checkpoint(eager=True)
-    finally:
-        staged.unpersist()
-    return fixed
+    # Written once; later reads take only the columns they need, with file statistics.
+    return write_through(staged, "sequence")
 
 
 def partition_offsets(seq: DataFrame) -> DataFrame:

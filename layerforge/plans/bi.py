@@ -4,7 +4,7 @@ Plans aggregate the fact table *before* joining a dimension wherever the
 query allows it: the fact is reduced to one row per dimension key with a
 two-phase (map-side partial) aggregate, so a customer or product that owns a
 third of all sales is combined in every map task before the shuffle, and the
-join that follows is one-to-one.  Small aggregated results come in report
+join that follows is one-to-one (only ``flat_sales`` joins sale by sale).  Small aggregated results come in report
 order (a range-partitioned sort of a few rows); the fact-sized ``flat_sales``
 is left unsorted -- a global sort of every sale serves no reader.
 """
@@ -25,31 +25,24 @@ def customer_name(first: str = "first_name", last: str = "last_name") -> Column:
     return F.concat(F.col(first), F.lit(" "), F.col(last))
 
 
+def spread_nulls(key: str, *by: str, ways: int = 1 << 20) -> Column:
+    """A join key whose NULLs are spread over negative values, which no surrogate key has.
+
+    In a shuffled join all NULL keys of the kept side would meet in one task.
+    """
+    return F.coalesce(F.col(key), -1 - F.pmod(F.xxhash64(*by), F.lit(ways)))
+
+
 def flat_sales(fact: DataFrame, dim_cust: DataFrame, dim_prod: DataFrame) -> DataFrame:
     """Denormalised sales rows with a known order date."""
-    f = fact.where(F.col("order_date").isNotNull()).alias("f")
-    c = dim_cust.select("customer_key", "first_name", "last_name", "country", "gender",
-                        "marital_status").alias("c")
-    p = dim_prod.select("product_key", "product_name", "category", "subcategory",
-                        "product_line").alias("p")
-    return (
-        f.join(c, F.col("f.customer_key") == F.col("c.customer_key"), "left")
-        .join(p, F.col("f.product_key") == F.col("p.product_key"), "left")
-        .select(
-            F.col("f.order_date").alias("order_date"),
-            F.col("f.sales_amount").alias("sales_amount"),
-            F.col("f.quantity").alias("quantity"),
-            F.col("f.price").alias("price"),
-            customer_name("c.first_name", "c.last_name").alias("customer_name"),
-            F.col("c.country").alias("country"),
-            F.col("c.gender").alias("gender"),
-            F.col("c.marital_status").alias("marital_status"),
-            F.col("p.product_name").alias("product_name"),
-            F.col("p.category").alias("category"),
-            F.col("p.subcategory").alias("subcategory"),
-            F.col("p.product_line").alias("product_line"),
-        )
-    )
+    by = ("order_number", "customer_key", "product_key", "order_date", "sales_amount")
+    sales = fact.where(F.col("order_date").isNotNull()).select(
+        "order_date", "sales_amount", "quantity", "price",
+        spread_nulls("customer_key", *by).alias("_c"), spread_nulls("product_key", *by).alias("_p"))
+    customer = dim_cust.select(F.col("customer_key").alias("_c"), customer_name().alias("customer_name"),
+                               "country", "gender", "marital_status")
+    product = dim_prod.select(F.col("product_key").alias("_p"), "product_name", "category", "subcategory", "product_line")
+    return sales.join(customer, "_c", "left").join(product, "_p", "left").drop("_c", "_p")
 
 
 def _fact_by(fact: DataFrame, key: str) -> DataFrame:
@@ -162,40 +155,49 @@ def monthly_trend(fact: DataFrame) -> DataFrame:
     ).orderBy(F.col("sales_year").asc_nulls_first(), F.col("sales_month").asc_nulls_first())
 
 
-def kpi_summary(flat: DataFrame) -> DataFrame:
-    """Headline numbers: total sales, rows, distinct customer names, mean sale."""
-    return flat.agg(
-        F.coalesce(F.sum("sales_amount"), F.lit(0)).cast("long").alias("total_sales"),
-        F.count(F.lit(1)).cast("long").alias("total_orders"),
+def kpi_summary(fact: DataFrame, dim_cust: DataFrame) -> DataFrame:
+    """Headline numbers of dated sales: total, rows, distinct customer names, mean sale.
+
+    The fact is reduced to one row per customer key before the one join.
+    """
+    per = _fact_by(fact.where(F.col("order_date").isNotNull()), "customer_key")
+    named = per.join(dim_cust.select("customer_key", customer_name().alias("customer_name")), "customer_key", "left")
+    return named.agg(
+        F.coalesce(F.sum("_sum_sales"), F.lit(0)).cast("long").alias("total_sales"),
+        F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias("total_orders"),
         F.countDistinct("customer_name").cast("long").alias("total_customers"),
-        _mean(F.sum("sales_amount"), F.count("sales_amount")).alias("avg_order"),
+        _mean(F.sum("_sum_sales"), F.sum("_n_sales")).alias("avg_order"),
     )
 
 
-def daily_sales(flat: DataFrame) -> DataFrame:
-    """Sales per order day (a day whose sales are all NULL sums to 0)."""
-    return flat.groupBy(F.to_date("order_date").alias("order_date")).agg(
+def daily_sales(fact: DataFrame) -> DataFrame:
+    """Sales per order day, from the fact alone (a day whose sales are all NULL sums to 0)."""
+    dated = fact.where(F.col("order_date").isNotNull())
+    return dated.groupBy(F.to_date("order_date").alias("order_date")).agg(
         F.coalesce(F.sum("sales_amount"), F.lit(0)).cast("long").alias("sales_amount")).orderBy("order_date")
 
 
-def country_sales(flat: DataFrame) -> DataFrame:
-    return flat.where(F.col("country").isNotNull()).groupBy("country").agg(
-        F.coalesce(F.sum("sales_amount"), F.lit(0)).cast("long").alias("sales_amount"))
+def country_sales(fact: DataFrame, dim_cust: DataFrame) -> DataFrame:
+    """Dated sales per country: summed per customer key, then one join."""
+    per = _fact_by(fact.where(F.col("order_date").isNotNull() & F.col("customer_key").isNotNull()), "customer_key")
+    known = dim_cust.where(F.col("country").isNotNull()).select("customer_key", "country")
+    return per.join(known, "customer_key").groupBy("country").agg(
+        F.coalesce(F.sum("_sum_sales"), F.lit(0)).cast("long").alias("sales_amount"))
 
 
-def sales_by_country(flat: DataFrame, n: int = 10) -> DataFrame:
+def sales_by_country(fact: DataFrame, dim_cust: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` countries with the highest sales (ties by name)."""
-    return country_sales(flat).orderBy(F.col("sales_amount").desc(), F.col("country").asc()).limit(n)
+    return country_sales(fact, dim_cust).orderBy(F.col("sales_amount").desc(), F.col("country").asc()).limit(n)
 
 
-def country_share(flat: DataFrame) -> DataFrame:
+def country_share(fact: DataFrame, dim_cust: DataFrame) -> DataFrame:
     """Every country with its sales and its share of all country sales.
 
     The total is a one-row aggregate of the (small) per-country frame; a
     window without partition over that frame is bounded by the number of
     countries.
     """
-    per = country_sales(flat)
+    per = country_sales(fact, dim_cust)
     total = F.sum("sales_amount").over(Window.partitionBy())
     return per.select("country", "sales_amount",
                       F.try_divide(F.col("sales_amount").cast("double"), total.cast("double")).alias("share"))

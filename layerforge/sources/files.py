@@ -148,7 +148,8 @@ def append_load(df: DataFrame, path: str) -> None:
 def write_partitioned(df: DataFrame, path: str, date_col: str) -> None:
     """Lay the table out by (year, month) of ``date_col`` for partition pruning on read."""
     (df.withColumn("order_year", F.year(date_col)).withColumn("order_month", F.month(date_col))
-     .repartition("order_year", "order_month")
+     # Rebalanced, not hashed to one task a month: a large month (or the undated one) is split at runtime.
+     .hint("rebalance", "order_year", "order_month")
      .write.mode("errorifexists").partitionBy("order_year", "order_month").parquet(path))
 
 
