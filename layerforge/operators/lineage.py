@@ -10,6 +10,8 @@ folder and never rewritten: what is known is the files of all rounds so far.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -128,10 +130,11 @@ def impact(edges: DataFrame, downstream: DataFrame) -> DataFrame:
 def impact_of(edges: DataFrame, changed: DataFrame) -> DataFrame:
     """One row for a list of changed assets: assets reached, transformations that read them, risk band."""
     changed = changed.select("asset").distinct()
-    assets = reached_from(edges, changed).agg(F.count(F.lit(1)).alias("affected_assets"))
-    reads = edges.join(changed, edges["src"] == changed["asset"], "left_semi").agg(
-        F.count("dst").alias("affected_transformations"))
-    out = changed.agg(F.count(F.lit(1)).alias("changed_assets")).join(assets, F.lit(True)).join(reads, F.lit(True))
+    parts = {"changed_assets": changed.agg(F.count(F.lit(1)).alias("n")),
+             "affected_assets": reached_from(edges, changed).agg(F.count(F.lit(1)).alias("n")),
+             "affected_transformations": edges.join(changed, edges["src"] == changed["asset"], "left_semi").agg(F.count("dst").alias("n"))}
+    rows = reduce(DataFrame.unionByName, [df.select(F.lit(name).alias("name"), "n") for name, df in parts.items()])
+    out = rows.agg(*[F.max(F.when(F.col("name") == name, F.col("n"))).alias(name) for name in parts])
     return out.withColumn("risk_level", risk_level(F.col("affected_assets"), F.col("affected_transformations")))
 
 

@@ -10,16 +10,20 @@ history tables.
 from __future__ import annotations
 
 import time
+from collections.abc import Mapping
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from layerforge import schemas as SCH
 from layerforge.operators import quality as Q
 from layerforge.plans.gold import build_gold, fact_sales
 from layerforge.plans.silver import build_silver, stamp
 from layerforge.plans.validation import all_checks
 from layerforge.plans.warehouse import Layers, run_parallel
+from layerforge.sources.feeds import load_feeds
 from layerforge.sources.files import (
     create_layer_schemas, publish, publish_bucketed, read_current, replace_partitions,
 )
@@ -29,31 +33,55 @@ from layerforge.sources.standins import bronze_tables
 @dataclass
 class RunResult:
     run_id: int
-    layers: Layers
+    layers: Layers | None
     table_rows: dict[tuple[str, str], int] = field(default_factory=dict)
+    table_seconds: dict[tuple[str, str], float] = field(default_factory=dict)
     layer_seconds: dict[str, float] = field(default_factory=dict)
     checks: DataFrame | None = None
+    started: datetime | None = None
+
+
+class TableRows(dict):
+    """Row counts by (layer, table), with the seconds that each table's write took."""
+
+    def __init__(self):
+        super().__init__()
+        self.seconds: dict[tuple[str, str], float] = {}
 
 
 def _write_layer(spark: SparkSession, frames: dict[str, DataFrame], root: str, layer: str,
                  rows: dict[tuple[str, str], int]) -> dict[str, DataFrame]:
     """Publish every table of a layer (concurrently); row counts observed during the writes."""
     def write(name: str, df: DataFrame):
+        began = time.time()
         obs = Observation(f"{layer}.{name}")
         publish(df.observe(obs, F.count(F.lit(1)).alias("rows")), f"{root}/{layer}/{name}")
-        return int(obs.get["rows"]), read_current(spark, f"{root}/{layer}/{name}")
+        return int(obs.get["rows"]), time.time() - began, read_current(spark, f"{root}/{layer}/{name}")
 
     done = run_parallel({name: (lambda n=name, d=df: write(n, d)) for name, df in frames.items()})
     out = {}
-    for name, (n, df) in done.items():
+    for name, (n, seconds, df) in done.items():
         rows[(layer, name)] = n
+        if isinstance(rows, TableRows):
+            rows.seconds[(layer, name)] = seconds
         out[name] = df
     return out
 
 
-def load_bronze(spark: SparkSession, sf_dir: str, root: str, rows: dict) -> dict[str, DataFrame]:
-    """Full refresh of the six bronze tables from the raw feeds."""
-    return _write_layer(spark, bronze_tables(spark, sf_dir), root, "bronze", rows)
+def load_bronze(spark: SparkSession, source: str | Mapping[str, str], root: str, rows: dict) -> dict[str, DataFrame]:
+    """Full refresh of the six bronze tables.
+
+    ``source``: the paths of the CSV feeds by table name (see ``feeds.feed_paths``), whose headers are
+    checked and whose bad lines go to ``bronze/rejected_lines``; or a folder of the driver's tables,
+    from which stand-ins are derived.
+    """
+    if isinstance(source, str):
+        return _write_layer(spark, bronze_tables(spark, source), root, "bronze", rows)
+    loaded = load_feeds(spark, source)
+    out = _write_layer(spark, {name: f.rows for name, f in loaded.items()}, root, "bronze", rows)
+    rejected = Q.union_all([f.rejected for f in loaded.values()])
+    out["rejected_lines"] = _write_layer(spark, {"rejected_lines": rejected}, root, "bronze", rows)["rejected_lines"]
+    return out
 
 
 def load_silver(spark: SparkSession, bronze: dict[str, DataFrame], root: str, rows: dict,
@@ -101,30 +129,33 @@ def run_load(name: str, *args, **kwargs) -> dict[str, DataFrame]:
     return LOADS[name](*args, **kwargs)
 
 
-def run_pipeline(spark: SparkSession, sf_dir: str, root: str, run_id: int,
+def run_pipeline(spark: SparkSession, source: str | Mapping[str, str], root: str, run_id: int,
                  as_of: str | None = None, run_ts: str | None = None,
                  buckets: int | None = None) -> RunResult:
-    """Load all layers under ``root`` (a shared folder) and record the run."""
-    rows: dict[tuple[str, str], int] = {}
-    secs: dict[str, float] = {}
-
-    t0 = time.time()
-    bronze = run_load("bronze.load_bronze", spark, sf_dir, root, rows)
-    secs["bronze"] = time.time() - t0
-
-    t0 = time.time()
-    silver = run_load("silver.load_silver", spark, bronze, root, rows, as_of, run_ts)
-    secs["silver"] = time.time() - t0
-
-    t0 = time.time()
-    gold = run_load("gold.load_gold", spark, silver, root, rows, buckets)
-    secs["gold"] = time.time() - t0
-
-    clean = {k: v.drop("dwh_create_date") for k, v in silver.items()}
-    layers = Layers(bronze, clean, gold)
-    checks = all_checks(layers, as_of)
-    result = RunResult(run_id, layers, rows, secs, checks)
-    record_run(spark, result, f"{root}/history")
+    """Load all layers under ``root`` (a shared folder) and record the run, also when it fails."""
+    rows = TableRows()
+    result = RunResult(run_id, None, rows, rows.seconds)
+    result.started = datetime.now(timezone.utc).replace(tzinfo=None)
+
+    def timed(layer: str, load, *args):
+        began = time.time()
+        try:
+            return load(*args)
+        finally:
+            result.layer_seconds[layer] = time.time() - began
+
+    try:
+        bronze = timed("bronze", run_load, "bronze.load_bronze", spark, source, root, rows)
+        silver = timed("silver", run_load, "silver.load_silver", spark, bronze, root, rows, as_of, run_ts)
+        gold = timed("gold", run_load, "gold.load_gold", spark, silver, root, rows, buckets)
+        clean = {k: v.drop("dwh_create_date") for k, v in silver.items()}
+        bronze = {k: v for k, v in bronze.items() if k in clean}
+        result.layers = Layers(bronze, clean, gold)
+        result.checks = all_checks(result.layers, as_of)
+        record_run(spark, result, f"{root}/history")
+    except Exception as e:
+        record_run(spark, result, f"{root}/history", failure=e)
+        raise
     return result
 
 
@@ -135,30 +166,52 @@ def validate_only(layers: Layers, as_of: str | None = None) -> int:
 
 
 def layer_metrics(spark: SparkSession, result: RunResult) -> DataFrame:
-    """(layer, table_name, row_count, layer_seconds) of one run."""
-    data = [(layer, name, n, float(result.layer_seconds[layer])) for (layer, name), n in result.table_rows.items()]
-    return spark.createDataFrame(data, "layer string, table_name string, row_count long, layer_seconds double")
+    """(layer, table_name, row_count, table_seconds, layer_seconds) of one run."""
+    data = [(layer, name, n, float(result.table_seconds.get((layer, name), 0.0)), float(result.layer_seconds[layer]))
+            for (layer, name), n in result.table_rows.items()]
+    return spark.createDataFrame(
+        data, "layer string, table_name string, row_count long, table_seconds double, layer_seconds double")
 
 
-def record_run(spark: SparkSession, result: RunResult, history_root: str) -> None:
-    """Append the run, its check results and its table counts to the history tables."""
-    checks = result.checks
-    summary = Q.quality_score(checks).first()
-    total_rows = sum(result.table_rows.values())
-    status = "COMPLETED" if summary["n_failed"] == 0 else "COMPLETED_WITH_WARNINGS"
+def record_run(spark: SparkSession, result: RunResult, history_root: str, failure: Exception | None = None) -> None:
+    """Add the run, its check results and its table counts to the history tables.
+
+    The checks run once: their rows are stored first and the run's score is read from the stored
+    rows.  A run that failed has status FAILED and one error.  Tables are partitioned by run, so a
+    retried run replaces its own rows; columns as in ``schemas``.
+    """
+    own = F.lit(result.run_id).cast("long")
+    numbered = lambda *by: own * 10_000 + F.row_number().over(Window.orderBy(*by))  # noqa: E731  (a few rows)
+    score, errors = None, 0
+    if failure is None and result.checks is not None:
+        checks = result.checks.select(
+            numbered("check_name").alias("id"), own.alias("run_id"), "check_name", F.col("category").alias("check_category"),
+            "passed", "score", "details", F.localtimestamp().alias("created_at"))
+        path = f"{history_root}/data_quality_checks"
+        replace_partitions(_typed(checks, SCH.DATA_QUALITY_CHECKS), path, "run_id")
+        stored = spark.read.schema(SCH.DATA_QUALITY_CHECKS).parquet(path).where(F.col("run_id") == result.run_id)
+        score, errors = stored.agg(F.avg("score"), F.count_if(~F.col("passed"))).head()
     run = spark.createDataFrame(
-        [(result.run_id, status, float(sum(result.layer_seconds.values())), int(total_rows),
-          float(summary["overall_score"] or 0.0), int(summary["n_failed"]))],
-        "id long, status string, duration_seconds double, total_records long, "
-        "data_quality_score double, error_count long",
-    ).withColumn("run_timestamp", F.localtimestamp()).withColumn("created_at", F.localtimestamp())
-    # Partitioned by run: a retried run replaces its own rows instead of adding copies.
-    replace_partitions(run.withColumn("run_id", F.col("id")), f"{history_root}/pipeline_runs", "run_id")
-    replace_partitions(checks.select(F.lit(result.run_id).cast("long").alias("run_id"), "*",
-                                     F.localtimestamp().alias("created_at")),
-                       f"{history_root}/data_quality_checks", "run_id")
-    metrics = spark.createDataFrame(
-        [(result.run_id, layer, name, int(n)) for (layer, name), n in result.table_rows.items()],
-        "run_id long, schema_name string, table_name string, row_count long",
-    ).withColumn("created_at", F.localtimestamp())
-    replace_partitions(metrics, f"{history_root}/table_metrics", "run_id")
+        [(result.run_id, result.started, "COMPLETED" if failure is None else "FAILED",
+          float(sum(result.layer_seconds.values())), sum(result.table_rows.values()), score, int(errors) if failure is None else 1)],
+        "id long, run_timestamp timestamp_ntz, status string, duration_seconds double, total_records long, "
+        "data_quality_score double, error_count long").withColumn("created_at", F.localtimestamp())
+    replace_partitions(_typed(run, SCH.PIPELINE_RUNS).withColumn("run_id", F.col("id")), f"{history_root}/pipeline_runs", "run_id")
+    if result.table_rows:
+        metrics = spark.createDataFrame(
+            [(result.run_id, layer, name, int(n)) for (layer, name), n in result.table_rows.items()],
+            "run_id long, schema_name string, table_name string, row_count long").select(
+            numbered("schema_name", "table_name").alias("id"), "*", F.localtimestamp().alias("created_at"))
+        replace_partitions(_typed(metrics, SCH.TABLE_METRICS), f"{history_root}/table_metrics", "run_id")
+
+
+def _typed(df: DataFrame, schema) -> DataFrame:
+    """The declared columns in their order and types."""
+    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def read_history(spark: SparkSession, history_root: str) -> dict[str, DataFrame]:
+    """The three history tables with their declared columns, as the readers in ``operators.history`` take them."""
+    return {name: spark.read.schema(schema).parquet(f"{history_root}/{name}").select(schema.names)
+            for name, schema in (("pipeline_runs", SCH.PIPELINE_RUNS), ("data_quality_checks", SCH.DATA_QUALITY_CHECKS),
+                                 ("table_metrics", SCH.TABLE_METRICS))}

@@ -4,12 +4,11 @@ Readers
 -------
 read_bronze_csv   typed CSV load (header row, comma, no quoting), bad rows kept aside
 read_csv_infer    exploratory load with schema inference; a missing file gives None
-schema_check      expected vs actual columns (case-insensitive), as a DataFrame row
 file_inventory    path, size and modification time of files, contents never read
 
 Writers
 -------
-publish / read_current  full refresh as a new version folder plus a pointer, so a
+publish / read_current  full refresh as a new version folder plus a numbered pointer, so a
                         failed load leaves the previous version readable
 append_load             append one batch to a table folder
 replace_partitions      idempotent append by dynamic partition overwrite
@@ -26,7 +25,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 CORRUPT = "_corrupt_record"
 # No quoting: a NUL quote character never occurs in the data.
@@ -43,6 +41,7 @@ def read_bronze_csv(spark: SparkSession, path: str, schema: T.StructType,
     """Typed, positional CSV load; a row that does not fit the schema keeps its text in ``_corrupt_record``."""
     full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
     df = (spark.read.schema(full).options(**_CSV_OPTS)
+          .option("columnPruning", "false")  # a line is judged by all of its fields, whatever is read of it
           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(path))
     return df if keep_corrupt else df.drop(CORRUPT)
 
@@ -53,26 +52,11 @@ def write_bronze_csv(df: DataFrame, path: str) -> None:
 
 
 def read_csv_infer(spark: SparkSession, path: str, encoding: str = "utf-8") -> DataFrame | None:
-    try:
-        return (spark.read.option("header", "true").option("inferSchema", "true")
-                .option("encoding", encoding).csv(path))
-    except AnalysisException:
+    """Inferred schema; None for a missing file (any other fault is raised)."""
+    if not exists(spark, path):
         return None
-
-
-def schema_check(spark: SparkSession, name: str, actual: Sequence[str], expected: Sequence[str]) -> DataFrame:
-    """(file, missing, extra, ok): case-insensitive column-set differences both ways."""
-    row = spark.createDataFrame(
-        [(name, [c.lower() for c in actual], [c.lower() for c in expected])],
-        "file string, actual array<string>, expected array<string>")
-    missing = F.array_sort(F.array_except("expected", "actual"))
-    extra = F.array_sort(F.array_except("actual", "expected"))
-    return row.select(
-        "file",
-        F.array_join(missing, ",").alias("missing"),
-        F.array_join(extra, ",").alias("extra"),
-        (F.size(missing) == 0).alias("ok"),
-    )
+    return (spark.read.option("header", "true").option("inferSchema", "true")
+            .option("encoding", encoding).csv(path))
 
 
 def file_inventory(spark: SparkSession, path_glob: str) -> DataFrame:
@@ -91,27 +75,50 @@ def file_inventory(spark: SparkSession, path_glob: str) -> DataFrame:
 # Layer writes
 # ---------------------------------------------------------------------------
 
-_POINTER = "_current"
+_POINTERS = "_versions"
+_POINTER_SCHEMA = "n long, version string, published timestamp"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path is there, in whatever file system it names."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+def _newest(spark: SparkSession, base: str):
+    path = f"{base.rstrip('/')}/{_POINTERS}"
+    if not exists(spark, path):
+        return None
+    return spark.read.schema(_POINTER_SCHEMA).parquet(path).orderBy(F.col("n").desc()).head()
+
+
+def has_version(spark: SparkSession, base: str) -> bool:
+    return _newest(spark, base) is not None
 
 
 def publish(df: DataFrame, base: str) -> str:
-    """Full refresh: write a new version folder, then point ``_current`` at it.
+    """Full refresh: write a new version folder, then append a numbered pointer to it.
 
-    The old version stays untouched until the new one is complete, so a
-    failed load never leaves the table empty.  Returns the version path.
+    Nothing is overwritten: the pointer is one small file that appears as a whole when its write is
+    committed, and readers take the highest number.  A load that fails at any point leaves the
+    version before it.  Returns the version path.
     """
     spark = df.sparkSession
     version = f"v-{uuid.uuid4().hex}"
     target = f"{base.rstrip('/')}/{version}"
     df.write.mode("errorifexists").parquet(target)
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").text(
-        f"{base.rstrip('/')}/{_POINTER}")
+    newest = _newest(spark, base)
+    n = 1 if newest is None else newest["n"] + 1
+    (spark.range(1).select(F.lit(n).cast("long").alias("n"), F.lit(version).alias("version"), F.current_timestamp().alias("published"))
+     .coalesce(1).write.mode("append").parquet(f"{base.rstrip('/')}/{_POINTERS}"))
     return target
 
 
 def read_current(spark: SparkSession, base: str) -> DataFrame:
-    version = spark.read.text(f"{base.rstrip('/')}/{_POINTER}").first()[0]
-    return spark.read.parquet(f"{base.rstrip('/')}/{version}")
+    newest = _newest(spark, base)
+    if newest is None:
+        raise FileNotFoundError(f"no version at {base}")
+    return spark.read.parquet(f"{base.rstrip('/')}/{newest['version']}")
 
 
 def write_counted(df: DataFrame, path: str, mode: str = "append") -> int:
@@ -125,9 +132,11 @@ def write_counted(df: DataFrame, path: str, mode: str = "append") -> int:
     return int(obs.get["rows"])
 
 
-def export_json(df: DataFrame, path: str) -> None:
-    """Metric rows (name, value, timestamp, type) as JSON lines."""
-    df.write.mode("errorifexists").json(path)
+def export_json(metrics: DataFrame, path: str) -> None:
+    """Metric rows as JSON lines: name, value, timestamp (when exported) and type (of the value)."""
+    kind = metrics.schema["value"].dataType.simpleString()
+    (metrics.select("name", "value", F.current_timestamp().alias("timestamp"), F.lit(kind).alias("type"))
+     .write.mode("errorifexists").json(path))
 
 
 def replace_partitions(df: DataFrame, path: str, partition_col: str) -> None:

@@ -36,11 +36,18 @@ def test_mask_columns(spark):
 
 
 def test_reject_reasons(spark):
+    day = 20101229
     sales = spark.createDataFrame([
-        ("A", 20101399, 20101229, 10, 2, 5),    # invalid order date
-        ("B", 0, 20101229, 10, 0, None),        # missing date, quantity 0, price unrepairable
-        ("C", 20101229, 20101229, 10, 2, 5),    # clean
-    ], "sls_ord_num string, sls_order_dt int, sls_ship_dt int, sls_sales int, sls_quantity int, sls_price int")
+        ("A", 20101399, day, day, 10, 2, 5),    # invalid order date
+        ("B", 0, day, day, 10, 0, None),        # missing date, quantity 0, price unrepairable
+        ("C", day, day, day, 10, 2, 5),         # clean
+        ("D", day, 0, 20110231, 10, 2, 5),      # no ship date, invalid due date
+        ("E", day, day, None, None, 2, None),   # no due date, amounts beyond repair
+        ("F", day, day, day, 0, 2, 0),          # would load with a price of 0
+    ], "sls_ord_num string, sls_order_dt int, sls_ship_dt int, sls_due_dt int, sls_sales int, sls_quantity int, sls_price int")
     got = {r.sls_ord_num: r.reject_reason for r in X.reject_rows(sales).collect()}
     assert got == {"A": "order_date_invalid",
-                   "B": "order_date_missing;quantity_not_positive;price_unrepairable"}
+                   "B": "order_date_missing;quantity_not_positive;price_unrepairable",
+                   "D": "ship_date_missing;due_date_invalid",
+                   "E": "due_date_missing;price_unrepairable;sales_unrepairable",
+                   "F": "price_not_positive"}

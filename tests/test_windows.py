@@ -87,4 +87,6 @@ def test_no_single_partition_window_in_key_plan(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     # the only un-partitioned window runs over the per-partition offsets table
-    assert "SinglePartition" not in plan or "_offset" in plan
+    lines = plan.splitlines()
+    single = [k for k, line in enumerate(lines) if "Exchange SinglePartition" in line]
+    assert single and all("HashAggregate(keys=[_pid" in lines[k + 1] for k in single)
