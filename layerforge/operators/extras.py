@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layerforge.functions import cleanse as C
+from layerforge.session import write_through
 
 # Fixed value: |z| above this marks an outlier; IQR fences at 1.5 x IQR.
 Z_LIMIT = 3.0
@@ -37,39 +38,31 @@ def group_stats(df: DataFrame, group: str, value: str, exact: bool = True,
                 accuracy: int = 100_000) -> DataFrame:
     """Per group: n, mean, sample standard deviation, quartiles, outlier counts.
 
-    Mean and variance come from exact integer sums (n, sum x, sum x^2) in one
-    partial aggregate, so they are reproducible in any engine and any order.
-    Exact quartiles (``percentile``) keep one count per distinct value of a
-    group -- bounded by the value domain (integer amounts here), not by the
-    rows.  For a wide domain pass ``exact=False``: ``percentile_approx`` keeps
-    a sketch of bounded size per group.  The per-group statistics are then
-    joined back to count z-score and IQR outliers.
+    The rows are read once, into counts per (group, value), which are stored; mean and variance
+    (exact integer sums), quartiles and outliers all come from those counts.  Exact quartiles keep a
+    count per distinct value of a group; for a wide value domain pass ``exact=False``, which keeps
+    a sketch of bounded size per group over the rows.
     """
-    x = F.col(value).cast("long")
-    if exact:
-        q1, q3 = F.percentile(x, 0.25), F.percentile(x, 0.75)
-    else:
-        q1 = F.percentile_approx(x, 0.25, accuracy).cast("double")
-        q3 = F.percentile_approx(x, 0.75, accuracy).cast("double")
-    stats = df.where(F.col(value).isNotNull()).groupBy(group).agg(
-        F.count(x).alias("n"), F.sum(x).alias("s1"), F.sum(x.cast("decimal(19,0)") * x).alias("s2"),
-        q1.alias("q1"), q3.alias("q3"),
-    )
+    counts = write_through(df.where(F.col(value).isNotNull()).groupBy(
+        F.col(group).alias("_g"), F.col(value).cast("long").alias("_x")).agg(F.count(F.lit(1)).alias("_n")), "value-counts")
+    x, k = F.col("_x"), F.col("_n").cast("decimal(19,0)")
+    quartiles = [F.percentile(x, q, F.col("_n")) for q in (0.25, 0.75)] if exact else [F.lit(None).cast("double")] * 2
+    stats = counts.groupBy("_g").agg(F.sum("_n").alias("n"), F.sum(k * x).alias("s1"), F.sum(k * x * x).alias("s2"),
+                                     quartiles[0].alias("q1"), quartiles[1].alias("q3"))
+    if not exact:
+        sketch = df.where(F.col(value).isNotNull()).groupBy(F.col(group).alias("_s")).agg(
+            *[F.percentile_approx(F.col(value).cast("long"), q, accuracy).cast("double").alias(c) for q, c in ((0.25, "q1"), (0.75, "q3"))])
+        stats = stats.drop("q1", "q3").join(sketch, F.col("_g").eqNullSafe(F.col("_s"))).drop("_s")
     n, s1, s2 = F.col("n").cast("double"), F.col("s1").cast("double"), F.col("s2").cast("double")
-    mean = s1 / n
     var = F.when(F.col("n") > 1, (s2 - s1 * s1 / n) / (n - F.lit(1.0)))
-    stats = stats.select(group, "n", mean.alias("mean"), F.sqrt(var).alias("stddev"), "q1", "q3")
+    stats = stats.select(F.col("_g").alias(group), "n", (s1 / n).alias("mean"), F.sqrt(var).alias("stddev"), "q1", "q3")
     # Null-safe: rows without a group value form their own group.
-    rows = df.where(F.col(value).isNotNull()).select(F.col(group).alias("_g"), value)
-    j = rows.join(stats, rows["_g"].eqNullSafe(stats[group]))
-    z = (F.col(value).cast("double") - F.col("mean")) / F.col("stddev")
+    z = (x.cast("double") - F.col("mean")) / F.col("stddev")
     iqr = F.col("q3") - F.col("q1")
     low, high = F.col("q1") - IQR_FACTOR * iqr, F.col("q3") + IQR_FACTOR * iqr
-    flags = j.groupBy(F.col("_g").alias(group)).agg(
-        F.count_if((F.col("stddev") > 0) & (F.abs(z) > Z_LIMIT)).cast("long").alias("z_outliers"),
-        F.count_if((F.col(value) < low) | (F.col(value) > high)).cast("long").alias("iqr_outliers"),
-    )
-    out = stats.join(flags, stats[group].eqNullSafe(flags[group]), "left").drop(flags[group])
+    out = counts.join(stats, F.col("_g").eqNullSafe(F.col(group))).groupBy(group, "n", "mean", "stddev", "q1", "q3").agg(
+        F.sum(F.when((F.col("stddev") > 0) & (F.abs(z) > Z_LIMIT), F.col("_n"))).alias("z_outliers"),
+        F.sum(F.when((x < low) | (x > high), F.col("_n"))).alias("iqr_outliers"))
     return out.select(
         group, F.col("n").cast("long").alias("n"),
         F.round("mean", 6).alias("mean"), F.round("stddev", 6).alias("stddev"),

@@ -9,11 +9,13 @@ event stream of the driver data: a run = one user's events of one day.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from layerforge.sources.files import replace_partitions
+
 # Monitoring thresholds and health rules.
 THRESHOLDS = {"pipeline_duration": 600.0, "error_rate": 0.05, "data_volume_change": 0.2}
 CRITICAL_FACTOR = 1.2
@@ -105,10 +107,9 @@ def table_trends(metrics: DataFrame, runs: DataFrame, n: int = 100) -> DataFrame
 
 
 def latest_run_checks(checks: DataFrame, runs: DataFrame) -> DataFrame:
-    """Checks of the run with the highest id (one-row aggregate joined by equality)."""
-    last = runs.agg(F.max("id").alias("run_id"))
-    rt = runs.select(F.col("id").alias("run_id"), "run_timestamp")
-    return checks.join(F.broadcast(last), "run_id").join(rt, "run_id")
+    """Checks of the run with the highest id: the id and its time come from one aggregate (one row)."""
+    last = runs.agg(F.max(F.struct(F.col("id").alias("run_id"), "run_timestamp")).alias("l")).select("l.*")
+    return checks.join(F.broadcast(last), "run_id")
 
 
 def history_summary(runs: DataFrame, as_of: str, days: int = SUMMARY_DAYS) -> DataFrame:
@@ -159,18 +160,19 @@ def volume_change_alerts(runs: DataFrame, pipeline: Column, threshold: float = T
 # Metrics
 # ---------------------------------------------------------------------------
 
-def metrics_from_runs(runs: DataFrame) -> DataFrame:
-    """Long metric rows (run_id, metric_name, value) of every run."""
-    m = F.explode(F.array(
-        F.struct(F.lit("pipeline_duration").alias("metric_name"), F.col("duration_seconds").alias("value")),
-        F.struct(F.lit("bronze_rows_loaded").alias("metric_name"), F.col("total_records").cast("double").alias("value")),
-        F.struct(F.lit("silver_rows_processed").alias("metric_name"),
-                 (F.col("total_records") - F.col("error_count")).cast("double").alias("value")),
-        F.struct(F.lit("data_quality_score").alias("metric_name"), F.col("data_quality_score").alias("value")),
-        F.struct(F.lit("load_errors").alias("metric_name"), F.col("error_count").cast("double").alias("value")),
-        F.struct(F.lit("error_rate").alias("metric_name"),
-                 (F.col("error_count").cast("double") / F.col("total_records").cast("double")).alias("value")),
-    ))
+def metrics_from_runs(runs: DataFrame, names: Iterable[str] | None = None) -> DataFrame:
+    """Long metric rows (run_id, metric_name, value) of every run; ``names`` makes only those."""
+    total, errors = F.col("total_records").cast("double"), F.col("error_count").cast("double")
+    values = {
+        "pipeline_duration": F.col("duration_seconds"),
+        "bronze_rows_loaded": total,
+        "silver_rows_processed": (F.col("total_records") - F.col("error_count")).cast("double"),
+        "data_quality_score": F.col("data_quality_score"),
+        "load_errors": errors,
+        "error_rate": errors / total,
+    }
+    wanted = list(values) if names is None else [n for n in values if n in set(names)]
+    m = F.explode(F.array(*[F.struct(F.lit(n).alias("metric_name"), values[n].alias("value")) for n in wanted]))
     return runs.select(F.col("id").alias("run_id"), m.alias("_m")).select("run_id", "_m.metric_name", "_m.value")
 
 
@@ -189,22 +191,26 @@ def error_counts(events: DataFrame) -> DataFrame:
         F.count(F.lit(1)).cast("long").alias("error_count"))
 
 
-def threshold_table(spark: SparkSession, thresholds: Mapping[str, float] = THRESHOLDS) -> DataFrame:
-    return spark.createDataFrame([(k, float(v)) for k, v in thresholds.items()], "metric_name string, threshold double")
-
-
-def threshold_alerts(metrics: DataFrame, thresholds: DataFrame, severity: str | None = None) -> DataFrame:
+def threshold_alerts(metrics: DataFrame, thresholds: Mapping[str, float] = THRESHOLDS,
+                     severity: str | None = None) -> DataFrame:
     """Metrics above their threshold; WARNING below 1.2 x threshold, else CRITICAL.
 
-    The threshold table has one row per configured metric, so broadcasting it
-    is size-safe.
+    The configured thresholds are a literal map: no join, no scan of metrics without one.
     """
-    j = metrics.join(F.broadcast(thresholds), "metric_name").where(F.col("value") > F.col("threshold"))
+    limits = F.create_map(*[F.lit(x) for k, v in thresholds.items() for x in (k, float(v))])
+    over = (metrics.where(F.col("metric_name").isin(list(thresholds)))
+            .withColumn("threshold", F.try_element_at(limits, F.col("metric_name"))).where(F.col("value") > F.col("threshold")))
     sev = F.when(F.col("value") < F.col("threshold") * CRITICAL_FACTOR, F.lit("WARNING")).otherwise(F.lit("CRITICAL"))
-    out = j.select("run_id", "metric_name", "value", "threshold", sev.alias("severity"))
+    out = over.select("run_id", "metric_name", "value", "threshold", sev.alias("severity"))
     return out.where(F.col("severity") == severity) if severity else out
 
 
+def store_alerts(alerts: DataFrame, history_root: str, run_id: int) -> None:
+    """Keep a run's alerts beside its other history; a retried run replaces its own."""
+    own = alerts.where(F.col("run_id") == run_id).withColumn("created_at", F.localtimestamp())
+    replace_partitions(own, f"{history_root}/alerts", "run_id")
+
+
 def pipeline_health(runs: DataFrame) -> DataFrame:
     """HEALTHY / WARNING / UNHEALTHY per run from completion, quality and errors.
 
@@ -229,8 +235,11 @@ def pipeline_health(runs: DataFrame) -> DataFrame:
     )
 
 
-def metric_categories(metric_names: DataFrame) -> DataFrame:
-    """Report groups of each metric name by substring; a name may fall in several."""
+def metric_categories(metrics: DataFrame) -> DataFrame:
+    """(category, metric_name, n, least, most) of metric values, grouped by words in the name.
+
+    A name may fall in several groups.  Values are aggregated per name before the groups are made.
+    """
     n = F.lower(F.col("metric_name"))
     has = lambda s: n.contains(s)
     cats = F.array(
@@ -242,4 +251,5 @@ def metric_categories(metric_names: DataFrame) -> DataFrame:
         F.when(~(has("duration") | has("rows") | has("per_second") | has("throughput") | has("quality")
                  | has("score") | has("error")), F.lit("Other")),
     )
-    return metric_names.select("metric_name", F.explode(F.filter(cats, lambda c: c.isNotNull())).alias("category"))
+    per = metrics.groupBy("metric_name").agg(F.count("value").alias("n"), F.min("value").alias("least"), F.max("value").alias("most"))
+    return per.select(F.explode(F.array_compact(cats)).alias("category"), "metric_name", "n", "least", "most")

@@ -88,6 +88,19 @@ def dtypes() -> list[str]:
     return out
 
 
+def dtypes_of_text() -> list[str]:
+    """The rules on the text of two feeds: an absent id is written 'none', an absent day 1999-02-30, an absent quantity 'few'."""
+    out = []
+    for f, rule in (("cst_id", "bigint"), ("cst_create_date", "date")):
+        out.append(_dt(f"crm_cust_info.{f}", rule, f"SELECT count(*) AS present, count(*) - count({f}) AS bad FROM b_cust"))
+    for f in ("sls_order_dt", "sls_ship_dt", "sls_due_dt"):
+        out.append(_dt(f"crm_sales_details.{f}", "yyyyMMdd", f"""
+            SELECT count(*) FILTER (WHERE {f} <> 0) AS present, count(*) FILTER (WHERE {f} <> 0 AND
+              (length(CAST({f} AS VARCHAR)) <> 8 OR try_strptime(CAST({f} AS VARCHAR), '%Y%m%d') IS NULL)) AS bad FROM b_sales"""))
+    out.append(_dt("crm_sales_details.sls_quantity", "int", "SELECT count(*) AS present, count(*) - count(sls_quantity) AS bad FROM b_sales"))
+    return out
+
+
 def _dt(field: str, rule: str, src: str) -> str:
     return _res(f"'Bronze {field} - Data Types'", "bad = 0", _ratio("present - bad", "present", 1.0),
                 f"{_n('bad')} || ' of ' || {_n('present')} || ' values are not {rule}'", src)

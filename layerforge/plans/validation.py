@@ -27,6 +27,11 @@ TYPE_RULES = {
     "crm_cust_info": {"cst_id": "int", "cst_create_date": "date"},
     "crm_sales_details": {"sls_order_dt": "yyyyMMdd", "sls_ship_dt": "yyyyMMdd", "sls_due_dt": "yyyyMMdd"},
 }
+TEXT_RULES = {
+    "crm_cust_info": {"cst_id": "bigint", "cst_create_date": "date"},
+    "crm_sales_details": {"sls_order_dt": "yyyyMMdd", "sls_ship_dt": "yyyyMMdd", "sls_due_dt": "yyyyMMdd", "sls_quantity": "int"},
+}
+TEXT_MISSING = {"crm_sales_details": {"sls_order_dt": "0", "sls_ship_dt": "0", "sls_due_dt": "0"}}
 TYPE_MISSING = {"crm_sales_details": {"sls_order_dt": 0, "sls_ship_dt": 0, "sls_due_dt": 0}}
 UNIQUE_FIELDS = {"crm_cust_info": ["cst_id"], "crm_prd_info": ["prd_id"]}
 RANGES = {"sls_quantity": (1, 1000), "sls_price": (0, 100000)}

@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from layerforge import schemas as SCH
 from layerforge.sources import files as FS
@@ -95,3 +96,9 @@ def write_feeds(tables: Mapping[str, DataFrame], folder: str) -> dict[str, str]:
     for name, df in tables.items():
         FS.write_bronze_csv(df, paths[name])
     return {name: paths[name] for name in tables}
+
+
+def read_text(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """A feed with every field as the text in the file, for rules on what has not been typed yet."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in SCH.EXPECTED_COLUMNS[name]])
+    return FS.read_bronze_csv(spark, path, schema)

@@ -4,7 +4,7 @@ Readers
 -------
 read_bronze_csv   typed CSV load (header row, comma, no quoting), bad rows kept aside
 read_csv_infer    exploratory load with schema inference; a missing file gives None
-file_inventory    path, size and modification time of files, contents never read
+file_inventory    presence, size, modification time and columns of files, rows never read
 
 Writers
 -------
@@ -20,7 +20,7 @@ write_partitioned       layout by a derived month column for partition pruning
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -59,16 +59,23 @@ def read_csv_infer(spark: SparkSession, path: str, encoding: str = "utf-8") -> D
             .option("encoding", encoding).csv(path))
 
 
-def file_inventory(spark: SparkSession, path_glob: str) -> DataFrame:
-    """One row per file; only metadata columns are selected, so contents are pruned."""
-    df = spark.read.format("binaryFile").load(path_glob)
-    return df.select(
-        F.element_at(F.split("path", "/"), -1).alias("file_name"),
-        F.col("path"),
-        F.col("length").alias("size_bytes"),
-        F.round(F.col("length") / F.lit(1024 * 1024), 2).alias("size_mb"),
-        F.col("modificationTime").alias("modified"),
-    )
+def file_inventory(spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet") -> DataFrame:
+    """(file, found, size_bytes, size_mb, modified, column_count, columns) of each named file or folder.
+
+    Sizes and times come from the listing and columns from the footers or headers; no rows are read.
+    """
+    rows = []
+    for name, path in paths.items():
+        if not exists(spark, path):
+            rows.append((name, False, None, None, None, None))
+            continue
+        listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+                  .agg(F.sum("length"), F.max("modificationTime")).head())
+        columns = spark.read.format(fmt).option("header", "true").load(path).columns
+        rows.append((name, True, *listed, len(columns), columns))
+    out = spark.createDataFrame(rows, "file string, found boolean, size_bytes long, modified timestamp, column_count int, columns array<string>")
+    return out.select("file", "found", "size_bytes", F.round(F.col("size_bytes") / F.lit(1024 * 1024), 2).alias("size_mb"),
+                      "modified", "column_count", "columns")
 
 
 # ---------------------------------------------------------------------------

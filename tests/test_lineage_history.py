@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from layerforge.session import scratch_dir
 from layerforge.operators import history as H
 from layerforge.operators import lineage as LN
 
@@ -55,9 +56,9 @@ def test_shortest_path_prefers_fewer_hops(spark):
 def test_threshold_alert_severity(spark):
     m = spark.createDataFrame([(1, "pipeline_duration", 650.0), (2, "pipeline_duration", 800.0),
                                (3, "pipeline_duration", 100.0)], "run_id long, metric_name string, value double")
-    got = {r.run_id: r.severity for r in H.threshold_alerts(m, H.threshold_table(spark)).collect()}
+    got = {r.run_id: r.severity for r in H.threshold_alerts(m).collect()}
     assert got == {1: "WARNING", 2: "CRITICAL"}
-    crit = H.threshold_alerts(m, H.threshold_table(spark), severity="CRITICAL").collect()
+    crit = H.threshold_alerts(m, severity="CRITICAL").collect()
     assert [r.run_id for r in crit] == [2]
 
 
@@ -70,8 +71,9 @@ def test_health_rule_order(spark):
 
 
 def test_metric_categories_overlap(spark):
-    names = spark.createDataFrame([("bronze_rows_per_second",), ("quality_score",), ("load_errors",), ("x",)],
-                                  "metric_name string")
+    names = spark.createDataFrame([("bronze_rows_per_second", 1.0), ("quality_score", 2.0), ("load_errors", 3.0), ("x", 4.0), ("x", 6.0)],
+                                  "metric_name string, value double")
+    assert {(r.n, r.least, r.most) for r in H.metric_categories(names).where("metric_name = 'x'").collect()} == {(2, 4.0, 6.0)}
     got = {(r.metric_name, r.category) for r in H.metric_categories(names).collect()}
     assert got == {("bronze_rows_per_second", "Throughput"), ("quality_score", "Quality"),
                    ("load_errors", "Errors"), ("x", "Other")}
@@ -86,3 +88,40 @@ def test_runs_from_events(spark):
     runs = {r.total_records: r for r in H.runs_from_events(ev).collect()}
     assert runs[2].status == "FAILED" and runs[2].duration_seconds == 3.75
     assert runs[1].status == "COMPLETED" and runs[1].data_quality_score == 1.0
+
+
+def test_closure_and_impact_of_given_assets(spark):
+    chain = [(f"n{i}", f"n{i + 1}") for i in range(20)] + [("b", "n3"), ("b", "n3"), ("loop", "loop")]
+    edges = spark.createDataFrame(chain, "src string, dst string")
+    start = spark.createDataFrame([("n17",), ("b",), ("loop",)], "asset string")
+    got = {(r.asset, r.reached) for r in LN.closure(edges, start=start).collect()}
+    assert got == {("n17", "n18"), ("n17", "n19"), ("n17", "n20"), ("loop", "loop")} | {("b", f"n{i}") for i in range(3, 21)}
+    row = LN.impact_of(edges, start).first()  # both transformations that read b count, though they have one target
+    assert (row.changed_assets, row.affected_assets, row.affected_transformations, row.risk_level) == (3, 19, 4, "HIGH")
+    lists = {r.asset: r for r in LN.dependency_lists(edges, start).collect()}
+    assert lists["n17"].impacts == ["n18", "n19", "n20"] and len(lists["n17"].depends_on) == 18 and lists["b"].depends_on is None
+    assert LN.closure(edges).where("asset = 'n0'").count() == 20  # a chain of 20 in full
+
+
+def test_stored_alerts_replace_their_run(spark):
+    root = scratch_dir(spark, "alerts")
+    m = spark.createDataFrame([(1, "error_rate", 0.5), (2, "error_rate", 0.9)], "run_id long, metric_name string, value double")
+    for _ in range(2):
+        H.store_alerts(H.threshold_alerts(m), root, 1)
+    H.store_alerts(H.threshold_alerts(m), root, 2)
+    assert sorted(r.run_id for r in spark.read.parquet(f"{root}/alerts").collect()) == [1, 2]
+
+
+def test_layers_of_the_warehouse(spark):
+    got = {r.layer: r.n_assets for r in LN.assets_per_layer(LN.warehouse_assets(spark)).collect()}
+    assert got == {"bronze": 6, "silver": 6, "gold": 3}
+
+
+def test_unreadable_table_is_a_failed_check(spark):
+    from layerforge.operators import quality as Q
+    from layerforge.plans.validation import open_layer
+
+    gone = open_layer(spark, scratch_dir(spark, "nothing"), "bronze", ["t"])
+    there = Q.measured(spark.range(2), "bronze", "u", [])
+    rows = {r.check_name: r for r in Q.checks_of(Q.measured(gone["t"], "bronze", "t", []).unionByName(there)).collect()}
+    assert not rows["Bronze t - Accessibility"].passed and rows["Bronze u - Row Count"].passed
