@@ -10,25 +10,30 @@ from pyspark.sql import DataFrame, SparkSession
 
 from layerforge.llm import crf_quality, curve_pack, simhash_cover, suffix_dedup
 from layerforge.llm.common import read_table, stage, tokenizer_path
+from layerforge.session import ship_package
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line field accepts; it is fitted on the labelled ones outside fold 0."""
+    ship_package(spark)
     return crf_quality.keep_good(docs, crf_quality.train(docs, read_table(spark, sf_dir, "labels")))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group."""
+    ship_package(spark)
     return simhash_cover.keep_one(docs)
 
 
 def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the byte strings that start elsewhere too."""
+    ship_package(spark)
     return suffix_dedup.remove_repeats(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the packed sequences."""
+    ship_package(spark)
     return curve_pack.pack_documents(docs, tokenizer_path("word_bpe_49k.json"))
 
 
