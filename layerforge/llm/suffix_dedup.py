@@ -41,7 +41,7 @@ SHARD = 1 << 20
 HOT = 8192
 FILTER_BITS = 1 << 27  # 16 MB, whatever the input
 SEGMENT = 1 << 19
-WINDOWS = "t long, key binary, s int, m int, h long, w binary, body binary"
+WINDOWS = "t long, key binary, s array<int>, m int, h long, w binary, body binary"
 RANGES = "w binary, a array<int>, z array<int>"
 
 _BYTE = np.random.default_rng(31).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -149,22 +149,25 @@ def _window_step(length: int, shared):
         table, press = shared.value, zstandard.ZstdCompressor(level=1)
         seen, sent = _Seen(), _Seen()
         names = ["t", "key", "s", "m", "h", "w", "body"]
-        kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+        kinds = [pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
         t = row_base()
         for b in small(batches):
             rows = []
             for key, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if not seen.new(key):
                     continue
-                t, named = t + 1, False
+                t, own = t + 1, {}
                 for first, many, h in windows_of(raw, length):
                     hit = _in_filter(table, h)
                     for s, m, x in zip(first[hit].tolist(), many[hit].tolist(), h[hit].view(np.int64).tolist()):
                         body = raw[s:s + m + length - 1]
                         w = xxhash.xxh3_128_digest(body)
-                        # the digest of the text stands in its first row; the others have its number
-                        rows.append((t, None if named else key, s, m, x, w, press.compress(body) if sent.new(w) else None))
-                        named = True
+                        if w in own:  # a text that repeats itself: one row with all the places
+                            own[w][2].append(s)
+                        else:
+                            # the digest of the text stands in its first row; the others have its number
+                            own[w] = (t, None if own else key, [s], m, x, w, press.compress(body) if sent.new(w) else None)
+                rows += own.values()
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
 
     return run
@@ -256,7 +259,7 @@ def _gather_step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_spans(texts: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
-    """(key, s, z): per text digest, sorted starts and ends of byte spans (they may overlap).
+    """(key, r): per text digest, its marks (see ``merged``).
 
     ``texts``: key (digest), text (binary).  A text of several rows is one span.
     """
@@ -264,7 +267,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, hot: int = HOT) -> Da
     shared = spark.sparkContext.broadcast(anchor_filter(texts, length))  # FILTER_BITS, whatever the input
     windows = stage(texts.where(F.length("text") >= length).select("key", "text")
                     .mapInArrow(_window_step(length, shared), WINDOWS), "windows")
-    counts = stage(windows.groupBy("w").agg(F.count(F.lit(1)).alias("n"), F.first("m").alias("m"), F.first("h").alias("h")), "window-counts")
+    counts = stage(windows.groupBy("w").agg(F.sum(F.size("s")).alias("n"), F.first("m").alias("m"), F.first("h").alias("h")), "window-counts")
     hot_groups = stage(counts.groupBy("h").agg(F.count(F.lit(1)).alias("d")).where(F.col("d") > hot).select("h"), "hot-groups")
     whole = counts.where("n > 1").select("w", F.array(F.lit(0)).alias("a"), F.array("m").alias("z"))
     bodies = windows.where("body IS NOT NULL").select("h", "w", "body")
@@ -282,20 +285,23 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, hot: int = HOT) -> Da
         found = found.unionByName(starts.join(again, "g").groupBy("w").agg(F.collect_list("i").alias("places"))
                                   .mapInArrow(_gather_step, RANGES))
     found = stage(found, "window-ranges")
-    by_text = (windows.select("t", "s", "w").join(found, "w")
-               .select("t", "s", F.explode(F.arrays_zip("a", "z")).alias("r"))
-               .select("t", (F.col("s") + F.col("r.a")).alias("s"), (F.col("s") + F.col("r.z") + (length - 1)).alias("z")))
-    spans = by_text.join(windows.where("key IS NOT NULL").select("t", "key"), "t").select("key", "s", "z")
+    marks = windows.select("t", "s", "w").join(found, "w").select("t", F.struct("s", "a", "z").alias("r"))
+    spans = marks.join(windows.where("key IS NOT NULL").select("t", "key"), "t").select("key", "r")
+    nought = F.array(F.lit(0))
     copies = (texts.where(F.length("text") >= length).groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.length("text")).alias("z"))
-              .where("n > 1").select("key", F.lit(0).alias("s"), F.col("z").cast("int")))
-    return (spans.unionByName(copies).groupBy("key").agg(F.sort_array(F.collect_set(F.struct("s", "z"))).alias("r"))
-            .select("key", F.col("r.s").alias("s"), F.col("r.z").alias("z")))
+              .where("n > 1").select("key", F.struct(nought.alias("s"), nought.alias("a"),
+                                                     F.array((F.col("z") - (length - 1)).cast("int")).alias("z")).alias("r")))
+    return spans.unionByName(copies).groupBy("key").agg(F.collect_set("r").alias("r"))
 
 
-def merged(starts: list[int] | None, ends: list[int] | None) -> list[tuple[int, int]]:
-    """Maximal runs of the union of spans sorted by start."""
+def merged(marks: list[dict] | None, length: int) -> list[tuple[int, int]]:
+    """Maximal runs of the bytes covered by a text's repeated starts.
+
+    A mark has places ``s`` of one window and its ranges [a, z) of repeated starts.
+    """
+    spans = sorted((s + a, s + z - 1 + length) for m in marks or () for s in m["s"] for a, z in zip(m["a"], m["z"]))
     out: list[tuple[int, int]] = []
-    for s, z in zip(starts or (), ends or ()):
+    for s, z in spans:
         if out and s <= out[-1][1]:
             out[-1] = (out[-1][0], max(z, out[-1][1]))
         else:
@@ -313,12 +319,12 @@ def kept_bytes(raw: bytes, runs: list[tuple[int, int]]) -> bytes:
 
 
 def _with_spans(docs: DataFrame, length: int, hot: int) -> tuple[DataFrame, list[str]]:
-    """All columns of ``docs``, with the text as bytes and its spans' starts and ends; their names."""
-    raw, key, s, z = free_names(docs, "raw", "key", "s", "z")
+    """All columns of ``docs``, with the text as bytes and the marks of its repeats; their names."""
+    raw, key, r = free_names(docs, "raw", "key", "r")
     keyed = docs.withColumn(raw, F.coalesce(F.col("text").cast("binary"), F.lit(b""))).withColumn(key, F.unhex(F.md5(raw)))
     texts = keyed.select(F.col(key).alias("key"), F.col(raw).alias("text"))
-    spans = stage(repeated_spans(texts, length, hot).select(F.col("key").alias(key), F.col("s").alias(s), F.col("z").alias(z)), "spans")
-    return keyed.join(spans.hint("shuffle_hash"), key, "left").drop(key), [raw, s, z]
+    spans = stage(repeated_spans(texts, length, hot).select(F.col("key").alias(key), F.col("r").alias(r)), "spans")
+    return keyed.join(spans.hint("shuffle_hash"), key, "left").drop(key), [raw, r]
 
 
 def repeats_report(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
@@ -327,8 +333,8 @@ def repeats_report(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
             out = []
-            for doc, raw, s, z in zip(*(c.to_pylist() for c in b.columns)):
-                runs = merged(s, z)
+            for doc, raw, marks in zip(*(c.to_pylist() for c in b.columns)):
+                runs = merged(marks, length)
                 out.append((doc, len(raw), sum(q - p for p, q in runs), len(runs), hashlib.sha256(kept_bytes(raw, runs)).hexdigest()))
             kinds = [*[pa.int64()] * 4, pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)],
@@ -350,8 +356,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
         for b in small(batches):
             had, columns = b.column("text"), [b.column(c) for c in names]
             texts = []
-            for none, raw, s, z in zip(had.is_null().to_pylist(), *(b.column(c).to_pylist() for c in found)):
-                runs = merged(s, z)
+            for none, raw, marks in zip(had.is_null().to_pylist(), *(b.column(c).to_pylist() for c in found)):
+                runs = merged(marks, length)
                 texts.append(None if none else (kept_bytes(raw, runs) if runs else raw).decode("utf-8", "ignore"))
             columns[names.index("text")] = pa.array(texts, had.type)
             if "n_chars" in names:
