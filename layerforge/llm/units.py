@@ -22,7 +22,8 @@ import numpy as np
 # The characters that the tokenizers' patterns count as white space (fixed values).
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 _UNIT = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
-_ODD = re.compile("[\t\x0b\x0c\r\x85\xa0  -     　]|  | \n|\n |\n\n")
+# A text without these is lines of words with one space between them.
+_ODD = ["  ", " \n", "\n ", "\n\n", *(c for c in SPACE if c not in " \n")]
 _PLAIN = re.compile("( ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-/:-@\\[-`{-~]*)")
 MAX_UNITS = 1_000_000
 _LOADED: dict[tuple | str, object] = {}
@@ -79,7 +80,7 @@ class _Units:
     def __init__(self, tok, max_units: int = MAX_UNITS):
         self.tok, self.max_units = tok, max_units
         self.dtype = np.dtype("<u2" if tok.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
-        self.format = "<%d" + ("H" if self.dtype.itemsize == 2 else "I")
+        self.formats = [f"<{n}{'H' if self.dtype.itemsize == 2 else 'I'}" for n in range(64)]
         self.table = dict(enumerate(byte_letters()))
         self.caches: list[_Known] = []
 
@@ -97,7 +98,9 @@ class _Units:
             ids = [t.id for t in tokens]
         else:
             ids = self.tok.encode(text, add_special_tokens=False).ids
-        return pack(self.format % len(ids), *ids)
+        if len(ids) < len(self.formats):
+            return pack(self.formats[len(ids)], *ids)
+        return np.array(ids, dtype=self.dtype).tobytes()
 
     def encode(self, texts) -> list[bytes]:
         """Ids of every text as little-endian unsigned integers of ``dtype``."""
@@ -124,7 +127,7 @@ class ByteUnits(_Units):
         self.caches = [self.known, self.spaced]
 
     def one(self, text: str) -> bytes:
-        if not text or text[0] in " \n" or text[-1] in " \n" or _ODD.search(text):
+        if not text or text[0] in " \n" or text[-1] in " \n" or any(map(text.__contains__, _ODD)):
             return b"".join(map(self.known.__getitem__, _UNIT.findall(text)))
         some = self.spaced.__getitem__
         lines = []
