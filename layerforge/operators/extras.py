@@ -89,10 +89,11 @@ def outlier_rows(df: DataFrame, group: str, value: str, key_cols: Sequence[str])
 _NUMERIC = (T.IntegerType, T.LongType, T.DoubleType, T.FloatType, T.ShortType, T.ByteType, T.DecimalType)
 
 
-def profile(df: DataFrame) -> DataFrame:
+def profile(df: DataFrame, exact: bool = True) -> DataFrame:
     """One row per column: rows, nulls, distinct values, min, max (as text), mean (numeric).
 
-    Two single-pass aggregates over the table: counts, min, max and sums in
+    Exact distinct counts expand every row once per column.  ``exact=False`` counts them by a
+    sketch of fixed size in the one pass over the table.  Exact: two single-pass aggregates over the table: counts, min, max and sums in
     one, the exact distinct counts in the other (mixing both in one aggregate
     makes Spark expand every row once per distinct column *and* carry all the
     other aggregates through each copy).  Each result is unpivoted to one row
@@ -104,6 +105,8 @@ def profile(df: DataFrame) -> DataFrame:
         c = F.col(f.name)
         plain += [F.count(c).alias(f"_nn{i}"), F.min(c).cast("string").alias(f"_mn{i}"),
                   F.max(c).cast("string").alias(f"_mx{i}")]
+        if not exact:
+            plain.append(F.approx_count_distinct(c, 0.02).alias(f"_nd{i}"))
         if isinstance(f.dataType, _NUMERIC):
             plain.append(F.try_divide(F.sum(c).cast("double"), F.count(c).cast("double")).alias(f"_avg{i}"))
         else:
@@ -111,13 +114,20 @@ def profile(df: DataFrame) -> DataFrame:
     a = df.agg(*plain).select(F.col("_rows").cast("long").alias("row_count"), F.explode(F.array(*[F.struct(
         F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
         F.col(f"_nn{i}").cast("long").alias("non_null"), F.col(f"_mn{i}").alias("min_value"),
-        F.col(f"_mx{i}").alias("max_value"), F.col(f"_avg{i}").alias("mean")) for i, f in enumerate(fields)]))
+        F.col(f"_mx{i}").alias("max_value"), F.col(f"_avg{i}").alias("mean"),
+        (F.lit(None) if exact else F.col(f"_nd{i}")).cast("long").alias("distinct_values")) for i, f in enumerate(fields)]))
         .alias("_p")).select("row_count", "_p.*")
+    if not exact:
+        return _profile_columns(a)
     d = df.agg(*[F.countDistinct(F.col(f.name)).alias(f"_nd{i}") for i, f in enumerate(fields)]).select(
         F.explode(F.array(*[F.struct(F.lit(f.name).alias("column_name"),
                                      F.col(f"_nd{i}").cast("long").alias("distinct_values"))
                             for i, f in enumerate(fields)])).alias("_d")).select("_d.*")
-    return a.join(d, "column_name").select(
+    return _profile_columns(a.drop("distinct_values").join(d, "column_name"))
+
+
+def _profile_columns(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "column_name", "data_type", "row_count", (F.col("row_count") - F.col("non_null")).alias("null_count"),
         "distinct_values", "min_value", "max_value", F.round("mean", 6).alias("mean"))
 

@@ -51,3 +51,11 @@ def test_reject_reasons(spark):
                    "D": "ship_date_missing;due_date_invalid",
                    "E": "due_date_missing;price_unrepairable;sales_unrepairable",
                    "F": "price_not_positive"}
+
+
+def test_profile_by_sketch(spark):
+    df = spark.range(1000).selectExpr("id", "id % 7 AS k", "CASE WHEN id % 2 = 0 THEN 'x' END AS s")
+    exact, sketch = ({r.column_name: r for r in X.profile(df, exact=e).collect()} for e in (True, False))
+    for c in df.columns:
+        assert exact[c].asDict() | {"distinct_values": 0} == sketch[c].asDict() | {"distinct_values": 0}
+        assert abs(exact[c].distinct_values - sketch[c].distinct_values) <= 0.1 * exact[c].distinct_values
