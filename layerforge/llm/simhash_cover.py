@@ -36,20 +36,17 @@ def fingerprint(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
     """64-bit SimHash of the ASCII-lower-cased words' shingles, repeats counted."""
     import xxhash
 
-    words = text.encode("utf-8").lower().split()
-    if not words:
+    line = b" ".join(text.encode("utf-8").lower().split())
+    if not line:
         return 0
-    line = b" ".join(words)
-    view = memoryview(line)
-    ends = np.cumsum([len(w) + 1 for w in words])
-    starts = [0, *ends.tolist()]
-    ends = (ends - 1).tolist()
-    n = max(1, len(words) - shingle + 1)
-    last = min(shingle, len(words)) - 1
+    view, gaps = memoryview(line), np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
+    starts, ends = np.append(0, gaps + 1), np.append(gaps, len(line))  # of the words
+    n = max(1, len(starts) - shingle + 1)
+    last = min(shingle, len(starts)) - 1
     digest, ones = xxhash.xxh64_digest, np.zeros(64, np.int64)
     for at in range(0, n, 1 << 16):  # bounded memory for very long texts
         upto = min(n, at + (1 << 16))
-        raw = b"".join([digest(view[a:z], seed) for a, z in zip(starts[at:upto], ends[at + last:upto + last])])
+        raw = b"".join([digest(view[a:z], seed) for a, z in zip(starts[at:upto].tolist(), ends[at + last:upto + last].tolist())])
         bits = np.unpackbits(np.frombuffer(raw, np.uint8).reshape(-1, 8), axis=1)
         ones += np.add.reduce(bits, axis=0, dtype=np.int32)
     return int.from_bytes(np.packbits(ones * 2 > n).tobytes(), "big")
