@@ -78,6 +78,15 @@ def file_inventory(spark: SparkSession, paths: Mapping[str, str], fmt: str = "pa
                       "modified", "column_count", "columns")
 
 
+def stored_mb(df: DataFrame) -> float:
+    """Size in MB of the files that ``df`` reads, from their listing."""
+    files = df.inputFiles()
+    if not files:
+        return 0.0
+    total = df.sparkSession.read.format("binaryFile").load(files).agg(F.sum("length")).head()[0]
+    return round((total or 0) / (1024 * 1024), 3)
+
+
 # ---------------------------------------------------------------------------
 # Layer writes
 # ---------------------------------------------------------------------------
@@ -211,7 +220,8 @@ def publish_bucketed(df: DataFrame, layer: str, name: str, key: str, buckets: in
     spark = df.sparkSession
     version = uuid.uuid4().hex[:12]
     versioned = f"{layer}.{name}__v{version}"
-    (df.write.bucketBy(buckets, key).sortBy(key)
+    # Dealt out by the key first: one file a bucket, not one from every task.
+    (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
      .option("path", f"{base.rstrip('/')}/v-{version}").saveAsTable(versioned))
     spark.sql(f"CREATE OR REPLACE VIEW {layer}.{name} AS SELECT * FROM {versioned}")
     return versioned
