@@ -139,7 +139,8 @@ def exact_topk(vectors: DataFrame, is_query: Column, k: int = 5, scale: float =
     held = (clean.mapInArrow(_pack(block), PACKED)
             .withColumn("g", F.pmod(F.xxhash64("ids"), F.lit(groups)).cast("int"))
             .join(placed.select("qb", "g").distinct(), "g"))
-    found = held.join(placed, ["qb", "g"]).select(
+    # A query block has a row per group here, which the planner does not see: no broadcast.
+    found = held.join(placed.hint("merge"), ["qb", "g"]).select(
         "q_ids", "q_width", "q_weights", "ids", "width", "weights").mapInArrow(_search(k), FOUND)
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -112,12 +112,13 @@ def simhash_links(marks: DataFrame, radius: int = RADIUS, block: int = BLOCK) ->
     keyed = (marks.select("mark", F.posexplode(masks).alias("table", "mask"))
              .select("mark", F.xxhash64("table", F.col("mark").bitwiseAND(F.col("mask"))).alias("bucket")))
     sizes = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    held = keyed.join(sizes, "bucket").select(
+    # The planner does not see that each fingerprint has a row per table; the hints keep it from broadcasting.
+    held = keyed.join(sizes.hint("merge"), "bucket").select(
         "mark", "bucket", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     held = held.withColumn("own", F.pmod(F.xxhash64("mark"), F.col("blocks")).cast("int"))
     # Each pair of blocks is a group; a row goes to the pairs that name its block.
-    placed = held.select("mark", "bucket", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    placed = placed.select("mark", "bucket", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    placed = held.select("mark", "bucket", "blocks", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    placed = placed.select("mark", "bucket", "blocks", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         i, j = group["i"].iat[0], group["j"].iat[0]
@@ -127,7 +128,7 @@ def simhash_links(marks: DataFrame, radius: int = RADIUS, block: int = BLOCK) ->
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     small = held.where("blocks = 1").groupBy("bucket").agg(F.collect_list("mark").alias("marks"))
-    large = placed.join(held.where("blocks > 1").select("bucket").distinct(), "bucket", "left_semi")
+    large = placed.where("blocks > 1")
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
