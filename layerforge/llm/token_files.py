@@ -2,8 +2,8 @@
 
 A dataset below one path has two Parquet tables: ``dictionary`` (one row: hash, bytes) and
 ``blocks``.  A block row holds the frames of consecutive documents in ``payload``, and an index:
-``doc_ids``, ``counts`` (ids of each document) and ``offsets`` (where each frame starts, and the
-end).  Blocks ascend by ``block``, documents inside and across them by doc_id (nulls first).  A
+``doc_ids``, ``counts`` (ids of each document), ``offsets`` (where each frame starts, and the end)
+and ``inside`` (ids before the block in what its task wrote).  Blocks ascend by ``block``, documents inside and across them by doc_id (nulls first).  A
 short document is read by slicing one payload and decompressing one frame.  Spark writes the
 files, so any shared store will do and a lost executor's block is written again.
 
@@ -32,7 +32,7 @@ END_ID = 2
 DICT_BYTES = 1 << 16
 BLOCK_BYTES = 4 << 20
 FRAME_SCHEMA = "doc_id long, row long, n_tokens long, frame binary"
-BLOCK_SCHEMA = ("block long, dict_hash string, doc_ids array<long>, counts array<long>, "
+BLOCK_SCHEMA = ("block long, inside long, dict_hash string, doc_ids array<long>, counts array<long>, "
                 "offsets array<long>, payload binary")
 DOC_SCHEMA = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
@@ -93,13 +93,13 @@ def _blocks(dict_hash: str):
     """mapInArrow over ordered frames: consecutive frames -> block rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, docs, counts, offsets, parts = row_base(), [], [], [0], []
+        block, inside, docs, counts, offsets, parts = row_base(), 0, [], [], [0], []
 
         def made():
-            cols = [[block], [dict_hash], [docs], [counts], [offsets], [b"".join(parts)]]
-            kinds = [pa.int64(), pa.string(), *[pa.list_(pa.int64())] * 3, pa.binary()]
+            cols = [[block], [inside], [dict_hash], [docs], [counts], [offsets], [b"".join(parts)]]
+            kinds = [pa.int64(), pa.int64(), pa.string(), *[pa.list_(pa.int64())] * 3, pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                              ["block", "dict_hash", "doc_ids", "counts", "offsets", "payload"])
+                                              ["block", "inside", "dict_hash", "doc_ids", "counts", "offsets", "payload"])
 
         for b in small(batches):
             for doc, n, frame in zip(*(b.column(c).to_pylist() for c in ("doc_id", "n_tokens", "frame"))):
@@ -109,7 +109,7 @@ def _blocks(dict_hash: str):
                 offsets.append(offsets[-1] + len(frame))
                 if offsets[-1] >= BLOCK_BYTES:
                     yield made()
-                    block, docs, counts, offsets, parts = block + 1, [], [], [0], []
+                    block, inside, docs, counts, offsets, parts = block + 1, inside + sum(counts), [], [], [0], []
         if docs:
             yield made()
 
@@ -146,7 +146,7 @@ def _opened(dict_hash: str, raw: bytes, id_bytes: int, with_ids: bool):
 
         plain = zstandard.ZstdDecompressor(dict_data=_zdict(raw))
         dtype = np.dtype(f"<u{id_bytes}")
-        for b in batches:
+        for b in small(batches, 1):  # one block at a time
             for r in b.to_pylist():
                 if r["dict_hash"] != dict_hash:
                     raise ValueError(f"block {r['block']} was written with another dictionary")
@@ -175,18 +175,15 @@ def read_token_files(spark: SparkSession, path: str, tokenizer: str, doc_ids: li
     """
     dict_hash, raw = _load_dictionary(spark, path)
     blocks = spark.read.schema(BLOCK_SCHEMA).parquet(f"{path}/blocks")
-    # Starts: sums inside a writing task's blocks, plus the sums of the tasks before (a row per task).
-    sizes = blocks.select("block", F.shiftright("block", 40).alias("part"),
-                          F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x).alias("n"))
-    parts = sizes.groupBy("part").agg(F.sum("n").alias("n")).select(
-        "part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)),
-                           F.lit(0)).alias("before"))
-    inside = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (sizes.withColumn("inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-              .join(parts, "part").select("block", (F.col("before") + F.col("inside")).alias("start")))
+    # A block knows the ids before it in its writing task; those of the tasks before are one row per task.
+    part = F.shiftright("block", 40).alias("part")
+    totals = blocks.groupBy(part).agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)).alias("n"))
+    before = totals.select("part", F.coalesce(
+        F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     if doc_ids is not None:
         blocks = blocks.where(F.arrays_overlap("doc_ids", F.array(*[F.lit(int(d)) for d in doc_ids])))
-    opened = blocks.join(starts, "block")
+    opened = (blocks.withColumn("part", part).join(F.broadcast(before), "part")
+              .withColumn("start", F.col("before") + F.col("inside")).drop("part", "before", "inside"))
     id_bytes = unit_encoder(tokenizer, "byte").dtype.itemsize
     out = opened.mapInArrow(_opened(dict_hash, raw, id_bytes, with_ids),
                             DOC_SCHEMA + (", ids array<long>" if with_ids else ""))
