@@ -1,7 +1,10 @@
 """Licence recognition by sentences and ordered rules.
 
-A text is cut into sentences (at line ends, and at . ! ? : followed by white space), each sentence is
-normalised to lower-case ASCII words, and known sentences become identifiers.  The document's
+A text is normalised to lower-case ASCII words with marks at line ends and at stops (. ! ? : followed
+by white space).  A known sentence is found where its words follow one another from one mark to
+another without a stop between; line ends between its words, and comment leaders behind them, count
+as spaces, so wrapped and commented notices are known as well as short lines without a stop.  Of
+sentences that begin at one mark the longest is taken.  Found sentences become identifiers.  The document's
 sequence of identifiers is then matched against the licence rules in order: a rule whose
 identifiers stand in the sequence one after the other names its licence and takes them away, so a
 longer rule goes before the shorter ones it holds.  Identifiers no rule took are reported too.
@@ -81,6 +84,8 @@ RULES = [
 ]
 
 CUT = "[.!?:]+[ \\t\\r]+|\\n"
+STOP = "\x01"  # mark of a stop in a normalised text
+LEADERS = ["dnl", "rem"]  # words that begin a comment line; marks such as # or * are no words anyway
 
 
 def normalise(sentence: str) -> str:
@@ -101,8 +106,13 @@ def sentence_ids(text: Column, sentences: list[tuple[str, str]] = SENTENCES) ->
     """Identifiers of the known sentences of a text, in their order."""
     known = _known_parts(sentences)
     table = F.create_map(*[F.lit(x) for kv in known.items() for x in kv])
-    words = F.transform(F.split(text, CUT), lambda s: F.lower(F.trim(F.regexp_replace(s, "[^A-Za-z0-9]+", " "))))
-    return F.array_compact(F.transform(words, lambda w: F.try_element_at(table, w)))
+    plain = F.concat(F.lit("\n"), F.replace(text, F.lit(STOP), F.lit(" ")), F.lit("\n"))
+    marked = F.regexp_replace(plain, "[.!?:][ \\t\\r\\n]+", STOP)
+    words = F.lower(F.regexp_replace(marked, f"[^A-Za-z0-9\\n{STOP}]+", " "))
+    words = F.regexp_replace(words, f"([\\n{STOP}]) ?(?:{'|'.join(LEADERS)})(?![a-z0-9])", "$1")
+    either = "|".join(w.replace(" ", "[ \\n]+") for w in sorted(known, key=lambda w: (-len(w), w)))
+    found = F.regexp_extract_all(words, F.lit(f"[\\n{STOP}] ?({either})(?= ?[\\n{STOP}])"), 1)
+    return F.transform(found, lambda w: F.element_at(table, F.regexp_replace(w, "[ \\n]+", " ")))
 
 
 def matched_rules(ids: Column, rules: list[tuple[str, list[str]]] = RULES) -> Column:

@@ -5,6 +5,7 @@ import itertools
 import random
 import re
 import struct
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -450,3 +451,29 @@ def test_licences(spark, docs, empty):
         (1, "MIT", ""), (2, "MIT", ""), (3, "BSD-2-Clause", ""), (4, "", "BSDSource,BSDCondition"), (5, "GPL-3.0,Proprietary", ""), (6, "", ""),
         (None, "", ""), (7, "BSD-3-Clause", ""), (7, "", ""), (8, "MPL-2.0", "")])
     assert license_rules.scan_licences(docs).count() == len(ROWS) and license_rules.scan_licences(empty).collect() == []
+
+
+def test_wrapped_licences(spark):
+    say = dict(license_rules.SENTENCES)
+    wrap = lambda names, lead="", by="\n": by.join(
+        "\n".join(lead + x for x in textwrap.wrap(say[n], 70)) for n in names.split())
+    apache = textwrap.indent("""Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.""", "# ", lambda line: True)
+    mit, bsd = "MITGrant MITNotice MITWarranty", "BSDCondition BSDSource BSDBinary BSDNames"
+    texts = [(1, apache), (2, "Copyright 2020 A B\n" + apache.replace("# ", "")), (3, "/*\n" + apache.replace("#", " *") + "\n */\nint x;"),
+             (4, apache.replace("# ", "dnl ").replace("\n", "\r\n")), (5, wrap(mit, "// ", "\n//\n")), (6, wrap(bsd, " * ")),
+             (7, wrap("GPLFree GPLHope GPLSee", "REM ")), (8, "Released under\nthe MIT License\nRELEASED under the MIT License\nend"),
+             (9, "Released under. \nThe MIT License."), (10, "Released under\nan MIT License"), (11, "x\n\x01Released\x01under the MIT License")]
+    found = {r.doc_id: (r.licences, r.n_known, r.unmatched) for r in license_rules.scan_licences(
+        spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert found == {**{i: ("Apache-2.0", 4, "") for i in (1, 2, 3, 4)}, 5: ("MIT", 3, ""), 6: ("BSD-3-Clause", 4, ""),
+                     7: ("GPL-3.0-or-later", 3, ""), 8: ("MIT", 2, ""), 9: ("", 0, ""), 10: ("", 0, ""), 11: ("MIT", 1, "")}
