@@ -8,9 +8,10 @@ the k best of the block, and a window merges the blocks' winners.  Every block i
 and no table is broadcast.
 
 Defined cases: null vectors and vectors with null or non-finite components take no part; a missing
-component is 0, so lengths may differ; rows of one vec_id count as one (the smallest vector), rows
-with a null vec_id take no part; scores beyond a long end at its limits; an empty table gives no
-rows; other columns are ignored.
+component is 0, so lengths may differ; rows of one vec_id count once if their weights are the same,
+otherwise each is a candidate and, as a query, is compared with all rows of other ids (a query_id has
+its k best scores over all its rows); rows with a null vec_id take no part; scores beyond a long end
+at its limits; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -87,8 +88,9 @@ def scores(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
 
 def best_of(acc: np.ndarray, query_ids: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[int, int, int]]:
     """(query_id, vec_id, score) of each query's k best in a block whose ids ascend."""
-    if len(ids) > k + 1:
-        least = np.partition(acc, len(ids) - k - 1, axis=1)[:, len(ids) - k - 1]  # one more: its own row
+    more = int(np.unique(ids, return_counts=True)[1].max())  # as many more: the rows of its own id
+    if len(ids) > k + more:
+        least = np.partition(acc, len(ids) - k - more, axis=1)[:, len(ids) - k - more]
     else:
         least = [None] * len(acc)
     out = []
@@ -118,17 +120,16 @@ def _search(k: int):
 
 def exact_topk(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0,
                block: int = BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
-    """query_id, rank, vec_id, score of each query's k best other rows; ties to the smaller vec_id.
+    """query_id, rank, vec_id, score of each query's k best rows of other ids; ties to the smaller vec_id.
 
     Components are floor(scale * x).  ``is_query`` is a condition on vec_id.
     """
     weights = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale))
     clean = stage(vectors.where(F.col("vec_id").isNotNull() & finite("embedding"))
-                  .select(F.col("vec_id").cast("long"), weights.alias("weights"))
-                  .groupBy("vec_id").agg(F.min("weights").alias("weights")), "topk-weights")
+                  .select(F.col("vec_id").cast("long"), weights.alias("weights")).distinct(), "topk-weights")
     n, n_queries = clean.agg(F.count(F.lit(1)), F.count(F.when(is_query, 1))).head()
     q_parts, groups = max(1, math.ceil(n_queries / query_block)), max(1, math.ceil(n / (8 * block)))
-    part = F.pmod(F.xxhash64("vec_id"), F.lit(q_parts)).cast("int")
+    part = F.pmod(F.xxhash64("vec_id", "weights"), F.lit(q_parts)).cast("int")
     # Each part of the queries is gathered and packed on its own; parts are of bounded size.
     asked = (clean.where(is_query).repartition(q_parts, part).sortWithinPartitions("vec_id")
              .mapInArrow(_pack(query_block), PACKED).withColumn("qb", F.monotonically_increasing_id()))

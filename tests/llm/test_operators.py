@@ -9,6 +9,7 @@ import textwrap
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from layerforge.llm import (chat_tools, chunk_bpe, crf_quality, curve_pack, exact_topk, license_rules, pca_near,
                             simhash_cover, suffix_dedup, token_files)
 from layerforge.llm.common import new_path, tokenizer_path
+from layerforge.llm.queries import ORACLE, QUERIES
 from layerforge.llm.units import load_tokenizer, unit_encoder
 from layerforge.session import ship_package
 
@@ -477,3 +479,15 @@ limitations under the License.""", "# ", lambda line: True)
         spark.createDataFrame(texts, "doc_id long, text string")).collect()}
     assert found == {**{i: ("Apache-2.0", 4, "") for i in (1, 2, 3, 4)}, 5: ("MIT", 3, ""), 6: ("BSD-3-Clause", 4, ""),
                      7: ("GPL-3.0-or-later", 3, ""), 8: ("MIT", 2, ""), 9: ("", 0, ""), 10: ("", 0, ""), 11: ("MIT", 1, "")}
+
+
+def test_topk_keeps_different_vectors_of_one_id(spark, tmp_path):
+    rng = np.random.default_rng(12)
+    rows = [(int(i), rng.normal(size=4).tolist()) for i in [*range(1, 60), 50, 50, 100, 100, *[7] * 40, 8, 8]]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3).write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    wanted = con.execute(ORACLE["op4_exact_topk"]).fetchall()
+    vectors = spark.read.parquet(f"{tmp_path}/embeddings.parquet")
+    for sizes in ({}, {"block": 16, "query_block": 2}, {"block": 60}):
+        _same(exact_topk.exact_topk(vectors, F.col("vec_id") % 50 == 0, **sizes).collect(), wanted)
