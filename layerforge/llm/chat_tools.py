@@ -7,8 +7,8 @@ task holds a conversation).  Arguments are parsed and checked against the tool's
 has sorted keys, no white space and every field, nulls included.  All of it is DataFrame functions.
 
 Defined cases: calls or results without conv_id or call_id are never linked (status "unnamed");
-repeated rows of one call or result count once, of several results the smallest text stands; a
-missing followed call is an error and counts as none; calls in a cycle have no level and an error;
+identical rows of one call or result count once, of several that differ the smallest stands and the
+others are the rows of ``duplicates`` (status "duplicate", no level); a missing followed call is an error and counts as none; calls in a cycle have no level and an error;
 arguments that are null, not JSON, not an object or have a repeated key are errors; results without
 a call are "orphan"; empty tables give no rows; other columns are ignored.
 """
@@ -83,18 +83,37 @@ def call_levels(calls: DataFrame) -> DataFrame:
     return state.select("conv_id", "call_id", "lost", F.when(F.col("up").isNull(), F.col("level")).alias("level"))
 
 
+CALL = ("turn", "after", "name", "arguments")
+
+
+def _named() -> Column:
+    return F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
+
+
+def _first_calls(calls: DataFrame) -> DataFrame:
+    return calls.where(_named()).groupBy("conv_id", "call_id").agg(F.min(F.struct(*CALL)).alias("c")).select("conv_id", "call_id", "c.*")
+
+
+def _first_results(results: DataFrame) -> DataFrame:
+    return results.where(_named()).groupBy("conv_id", "call_id").agg(F.min("content").alias("content"))
+
+
+def _with_json(rows: DataFrame) -> DataFrame:
+    line = F.to_json(F.struct(  # keys in ascending order
+        "after", F.try_parse_json("arguments").alias("arguments"), "content", "errors", F.col("call_id").alias("id"),
+        "level", "name", "status"), {"ignoreNullFields": "false"})
+    return rows.select("conv_id", "call_id", "level", "status", line.alias("json"))
+
+
 def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
-    """conv_id, call_id, level, status, json of every call, and of results without a call.
+    """conv_id, call_id, level, status, json of every call, and of results without a call; one row an id.
 
     ``calls``: conv_id, turn, call_id, after, name, arguments (JSON text).
     ``results``: conv_id, call_id, content.  Order a conversation by level, then call_id.
     """
-    named = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
-    once = stage(calls.where(named).groupBy("conv_id", "call_id").agg(
-        F.min(F.struct("turn", "after", "name", "arguments")).alias("c"))
-        .select("conv_id", "call_id", "c.*"), "calls")
-    answers = results.where(named).groupBy("conv_id", "call_id").agg(
-        F.min("content").alias("content"), F.lit(True).alias("answered"))
+    named = _named()
+    once = stage(_first_calls(calls), "calls")
+    answers = _first_results(results).withColumn("answered", F.lit(True))
     linked = once.join(call_levels(once), ["conv_id", "call_id"]).join(answers, ["conv_id", "call_id"], "full")
     nowhere = calls.where(~named).select(
         "conv_id", "call_id", "turn", "after", "name", "arguments", F.lit(False).alias("lost"),
@@ -114,10 +133,21 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Schemas) -> D
         F.size("errors") > 0, "invalid").when(F.col("answered"), "ok").otherwise("unanswered")
     rows = (linked.withColumn("status", F.lit("")).unionByName(nowhere).unionByName(lone)
             .withColumn("errors", wrong).withColumn("status", status))
-    line = F.to_json(F.struct(  # keys in ascending order
-        "after", F.try_parse_json("arguments").alias("arguments"), "content", "errors", F.col("call_id").alias("id"),
-        "level", "name", "status"), {"ignoreNullFields": "false"})
-    return rows.select("conv_id", "call_id", "level", "status", line.alias("json"))
+    return _with_json(rows)
+
+
+def duplicates(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
+    """The calls and results that ``link_tool_calls`` leaves for another one of their id, in its columns.
+
+    Every distinct row but the one that stands there; together they hold all that the tables hold.
+    """
+    call, result = ("conv_id", "call_id", *CALL), ("conv_id", "call_id", "content")
+    others = calls.where(_named()).select(*call).subtract(_first_calls(calls).select(*call)).withColumn(
+        "errors", argument_errors(F.col("name"), F.col("arguments"), schemas))
+    answers = results.where(_named()).select(*result).subtract(_first_results(results).select(*result)).withColumn(
+        "errors", F.array().cast("array<string>"))
+    return _with_json(others.unionByName(answers, allowMissingColumns=True)
+                      .withColumn("level", F.lit(None).cast("long")).withColumn("status", F.lit("duplicate")))
 
 
 #: The tools of the derived calls: a user's turn asks for a reply, a system's turn configures.

@@ -72,7 +72,8 @@ def op5_pca_near(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     calls, results = chat_tools.calls_of_turns(read_table(spark, sf_dir, "conversations"))
-    return chat_tools.link_tool_calls(calls, results, chat_tools.CHAT_SCHEMAS)
+    return chat_tools.link_tool_calls(calls, results, chat_tools.CHAT_SCHEMAS).unionByName(
+        chat_tools.duplicates(calls, results, chat_tools.CHAT_SCHEMAS))
 
 
 ORACLE["op8_tool_calls"] = chat_tools.ORACLE

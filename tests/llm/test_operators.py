@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import json
 import random
 import re
 import struct
@@ -491,3 +492,15 @@ def test_topk_keeps_different_vectors_of_one_id(spark, tmp_path):
     vectors = spark.read.parquet(f"{tmp_path}/embeddings.parquet")
     for sizes in ({}, {"block": 16, "query_block": 2}, {"block": 60}):
         _same(exact_topk.exact_topk(vectors, F.col("vec_id") % 50 == 0, **sizes).collect(), wanted)
+
+
+def test_differing_calls_and_results_of_one_id_are_kept(spark, tmp_path):
+    turns = [(1, 0, "user", "one"), (1, 0, "user", "two"), (1, 0, "user", "two"), (1, 1, "assistant", "yes"), (1, 1, "assistant", "no"),
+             (1, 1, "assistant", None), (2, 0, "system", "set"), (2, 1, "user", "three"), (3, 1, "assistant", "b"), (3, 1, "assistant", "a")]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    found = [(r.conv_id, r.call_id, r.level, r.status, json.loads(r.json)) for r in QUERIES["op8_tool_calls"](spark, str(tmp_path)).collect()]
+    text = lambda j: (j["arguments"] or {}).get("query") or (j["arguments"] or {}).get("text")
+    _same([(c, i, level, s, text(j), j["content"]) for c, i, level, s, j in found], [
+        (1, "1-0", 0, "ok", "one", "no"), (1, "1-0", None, "duplicate", "two", None), (1, "1-0", None, "duplicate", None, "yes"),
+        (1, "1-0", None, "duplicate", None, None), (2, "2-0", 0, "unanswered", "set", None), (2, "2-1", 1, "unanswered", "three", None),
+        (3, "3-0", None, "orphan", None, "a"), (3, "3-0", None, "duplicate", None, "b")])
