@@ -11,9 +11,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from layerforge.operators.sequence import lead_in_group
 from layerforge.sources.files import replace_partitions
 
 # Monitoring thresholds and health rules.
@@ -145,10 +146,13 @@ def latest_table_counts(metrics: DataFrame, runs: DataFrame) -> DataFrame:
 
 def volume_change_alerts(runs: DataFrame, pipeline: Column, threshold: float = THRESHOLDS["data_volume_change"]
                          ) -> DataFrame:
-    """Runs whose record count moved more than ``threshold`` against the previous run of the pipeline."""
-    w = Window.partitionBy("pipeline").orderBy("created_at", "id")
-    prev = F.lag("total_records").over(w)
-    r = runs.withColumn("pipeline", pipeline).withColumn("previous_records", prev)
+    """Runs whose record count moved more than ``threshold`` against the previous run of the pipeline.
+
+    The previous run is the next one backwards in time; a pipeline with many runs is cut over many partitions.
+    """
+    counts = runs.select("id", "created_at", "total_records", pipeline.alias("pipeline"))
+    r = lead_in_group(counts, ["pipeline"], [F.col(c).desc_nulls_last() for c in ("created_at", "id")],
+                      "total_records", "previous_records")
     change = F.try_divide((F.col("total_records") - F.col("previous_records")).cast("double"),
                           F.col("previous_records").cast("double"))
     return (r.withColumn("change", change)

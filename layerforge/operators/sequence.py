@@ -77,9 +77,9 @@ def global_row_number(df: DataFrame, order: Sequence[str | Column], name: str,
     return out.withColumn(name, (F.col("_offset") + F.col(POS) + 1).cast("long")).drop(PID, POS, "_offset")
 
 
-def lead_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
+def lead_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], value: str,
                   name: str, num_partitions: int | None = None) -> DataFrame:
-    """Add ``name`` = ``value`` of the next row of the same ``keys`` group in ``order``.
+    """Add ``name`` = ``value`` of the next row of the same ``keys`` group in ``order`` (of the previous one if it descends).
 
     The rows are range-partitioned on (keys, order); inside a partition the
     next row is found by a window over that partition (bounded size); the

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from layerforge.session import scratch_dir
@@ -125,3 +126,16 @@ def test_unreadable_table_is_a_failed_check(spark):
     there = Q.measured(spark.range(2), "bronze", "u", [])
     rows = {r.check_name: r for r in Q.checks_of(Q.measured(gone["t"], "bronze", "t", []).unionByName(there)).collect()}
     assert not rows["Bronze t - Accessibility"].passed and rows["Bronze u - Row Count"].passed
+
+
+def test_volume_changes_split_a_hot_pipeline(spark):
+    rows = [(i, 1 if i % 3 else i, dt.datetime(2024, 1, 1) + dt.timedelta(hours=i // 2), i * 37 % 11) for i in range(600)]
+    runs = spark.createDataFrame([(i, p, t, None if i % 50 == 7 else n) for i, p, t, n in rows],
+                                 "id long, p long, created_at timestamp_ntz, total_records long").repartition(7)
+    w = Window.partitionBy("p").orderBy("created_at", "id")
+    wanted = runs.withColumn("before", F.lag("total_records").over(w)).where(
+        F.try_divide(F.abs(F.col("total_records") - F.col("before")), F.col("before")) > 0.2)
+    found = H.volume_change_alerts(runs, F.col("p"))
+    assert sorted(map(tuple, found.select("id", "pipeline", "previous_records", "total_records").collect())) == \
+        sorted(map(tuple, wanted.select("id", "p", "before", "total_records").collect()))
+    assert found.count() > 300 and "hashpartitioning(pipeline" not in found._jdf.queryExecution().toString()
