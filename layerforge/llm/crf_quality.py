@@ -6,8 +6,9 @@ each line's probability of being good, and a document's score is their mean weig
 length.  The field is fitted by gradient ascent on its log-likelihood, each line of a training
 document bearing the document's label.
 
-Only the training sample is bounded: ``sample_docs`` labelled documents of smallest hash.  Features
-are made where the rows lie; the driver receives a few numbers for each sampled line.
+Only the training sample is bounded: of ``sample_docs`` labelled documents of smallest hash, the
+``sample_chains`` chains of ``TRAIN_LINES`` lines of smallest hash, from anywhere in a document.  Features
+are made where the rows lie; the driver receives a few numbers for each line of these chains.
 
 Defined cases: null or empty text -> one empty line, scored like any; rows with a null doc_id are
 scored (their remainder is that of the empty text, 0); repeated rows are scored each; labels with a
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from layerforge.llm.common import small, texts_of
 
 THRESHOLD, SAMPLE_DOCS, FOLDS = 0.3, 4000, 5
+SAMPLE_CHAINS = 16384  # at most 50 MB of features of lines
 TRAIN_LINES = 48  # longer training documents are cut into chains of this many lines
 #: Classes of bytes: upper case, lower case, digits, space, stops, other ASCII marks, the rest.
 _CLASS = bytes(
@@ -134,14 +136,11 @@ def _padded(full: list[np.ndarray], group: np.ndarray, weights: np.ndarray) -> t
     return emit, lengths
 
 
-def fit(features: list[np.ndarray], labels: np.ndarray, rounds: int = 150, rate: float = 0.2,
+def fit(full: list[np.ndarray], labels: np.ndarray, rounds: int = 150, rate: float = 0.2,
         ridge: float = 1e-4) -> Field:
-    """Adam ascent on the mean log-likelihood of the lines, less a ridge."""
+    """Adam ascent on the mean log-likelihood of the lines of labelled chains, less a ridge."""
     if len(labels) == 0 or labels.min() == labels.max():
         return Field(np.zeros(WIDTH), np.zeros((2, 2)), float(labels.mean()) if len(labels) else 0.5)
-    full = [with_neighbours(x) for x in features]
-    labels = np.repeat(labels, [-(-len(x) // TRAIN_LINES) for x in full])
-    full = [x[at:at + TRAIN_LINES] for x in full for at in range(0, len(x), TRAIN_LINES)]
     lengths = np.array([len(x) for x in full])
     total = lengths.sum()
     groups = [(g, np.concatenate([full[i] for i in g])) for g in _groups(lengths)]
@@ -189,26 +188,49 @@ def remainder(doc_id: str = "doc_id"):
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Field:
+def cut_chain(own: np.ndarray, nth: int) -> bytes:
+    """The lines of a document's chain ``nth``, with the line before and the line after it if there are any."""
+    at = nth * TRAIN_LINES
+    return own[max(0, at - 1):at + TRAIN_LINES + 1].astype(np.float32).tobytes()
+
+
+def chain_features(cut: bytes, nth: int) -> np.ndarray:
+    """Features with neighbours of the lines of a chain that ``cut_chain`` cut."""
+    own = np.frombuffer(cut, np.float32).reshape(-1, OWN).astype(float)
+    at = int(nth > 0)
+    full = with_neighbours(own)
+    return full[at:at + TRAIN_LINES]
+
+
+def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chains: int = SAMPLE_CHAINS) -> Field:
     """Field fitted on labelled rows outside fold 0."""
     chosen = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & (remainder() != 0))
               .select(F.col("doc_id").cast("long"), F.col("quality").cast("int")).distinct()
               .orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample_docs))
+    # At most ``sample_docs`` rows of two numbers are broadcast.
+    texts = texts_of(docs).join(F.broadcast(chosen), "doc_id")
+    lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    # Chains are chosen by numbers alone; at most ``sample_chains`` rows of three numbers are broadcast.
+    chains = (texts.select("doc_id", "quality", F.explode(F.sequence(F.lit(0), F.floor((lines - 1) / TRAIN_LINES).cast("int"))).alias("nth"))
+              .distinct().orderBy(F.xxhash64("doc_id", "nth"), "doc_id", "nth", "quality").limit(sample_chains)
+              .groupBy("doc_id", "quality").agg(F.collect_list("nth").alias("chains")))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, kinds = ["doc_id", "quality", "nth", "lines"], [pa.int64(), pa.int32(), pa.int32(), pa.binary()]
         for b in small(batches):
-            made = [line_features(t)[0].astype(np.float32) for t in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in made], pa.binary()), b.column(1), b.column(2)],
-                                             ["features", "quality", "doc_id"])
-
-    # At most ``sample_docs`` rows of two numbers are broadcast.
-    rows = (texts_of(docs).join(F.broadcast(chosen), "doc_id").select("text", "quality", "doc_id")
-            .mapInArrow(features, "features binary, quality int, doc_id long")
-            .groupBy("doc_id", "quality").agg(F.min("features").alias("features"))  # repeated rows of a document
+            rows = []
+            for doc, quality, text, wanted in zip(*(c.to_pylist() for c in b.columns)):
+                own = line_features(text)[0]
+                # a repeated id may have a shorter text
+                rows += [(doc, quality, k, cut_chain(own, k)) for k in wanted if k * TRAIN_LINES < len(own)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
+
+    rows = (texts_of(docs).join(F.broadcast(chains), "doc_id").select("doc_id", "quality", "text", "chains")
+            .mapInArrow(features, "doc_id long, quality int, nth int, lines binary")
+            .groupBy("doc_id", "quality", "nth").agg(F.min("lines").alias("lines"))  # repeated rows of a document
             .collect())
-    rows.sort(key=lambda r: (r["doc_id"], r["quality"]))
-    return fit([np.frombuffer(r["features"], np.float32).reshape(-1, OWN).astype(float) for r in rows],
-               np.array([r["quality"] for r in rows], dtype=float))
+    rows.sort(key=lambda r: (r["doc_id"], r["quality"], r["nth"]))
+    return fit([chain_features(r["lines"], r["nth"]) for r in rows], np.array([r["quality"] for r in rows], dtype=float))
 
 
 def score_documents(docs: DataFrame, field: Field, threshold: float = THRESHOLD, carry: tuple = ()) -> DataFrame:

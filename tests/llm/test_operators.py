@@ -504,3 +504,23 @@ def test_differing_calls_and_results_of_one_id_are_kept(spark, tmp_path):
         (1, "1-0", 0, "ok", "one", "no"), (1, "1-0", None, "duplicate", "two", None), (1, "1-0", None, "duplicate", None, "yes"),
         (1, "1-0", None, "duplicate", None, None), (2, "2-0", 0, "unanswered", "set", None), (2, "2-1", 1, "unanswered", "three", None),
         (3, "3-0", None, "orphan", None, "a"), (3, "3-0", None, "duplicate", None, "b")])
+
+
+def test_training_sample_is_bounded_in_chains(spark, monkeypatch):
+    rng = random.Random(3)
+    long = "\n".join(_words(rng, 3) for _ in range(48 * 40 + 5))
+    rows = [(1, long), (1, long), (2, "### BAD\n### BAD"), (3, long[:4000]), (4, "### BAD")]
+    assert all(zlib.crc32(str(i).encode()) % 5 for i, _ in rows)
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (4, 0)], "doc_id long, quality int")
+    given = []
+    monkeypatch.setattr(crf_quality, "fit", lambda full, labels: given.append((full, labels)))
+    for most in (10_000, 9):
+        crf_quality.train(table, labels, sample_chains=most)
+    (whole, marks), (few, _) = given
+    wanted = [crf_quality.with_neighbours(crf_quality.line_features(t)[0].astype(np.float32).astype(float)) for _, t in dict(rows).items()]
+    cut = [x[at:at + 48] for x in wanted for at in range(0, len(x), 48)]
+    assert len(cut) == len(whole) and all(np.array_equal(a, b) for a, b in zip(cut, whole)) and marks.sum() == len(cut) - 2
+    assert len(few) == 9 and max(map(len, few)) <= 48
+    places = [k for k, x in enumerate(cut[:41]) for y in few if x.shape == y.shape and np.array_equal(x, y)]
+    assert len(places) > 4 and max(places) > 12  # not the first ones of the long document
