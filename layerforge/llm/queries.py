@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerforge.llm import (chat_tools, chunk_bpe, crf_quality, curve_pack, exact_topk, license_rules, pca_near, simhash_cover,
-                            suffix_dedup, token_files)
+from layerforge.llm import (chat_tools, chunk_bpe, crf_quality, curve_pack, exact_topk, hard_negatives, host_rules, license_rules,
+                            pca_near, simhash_cover, suffix_dedup, token_files, whitening)
 from layerforge.llm.common import new_path, read_table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,28 @@ def op10_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op10_license_rules"] = license_rules.oracle_sql()
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; the label of every seventh vector is moved on by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_hard_negatives(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+ORACLE["op11_hard_negatives"] = hard_negatives.ORACLE
+
+
+@query
+def op12_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdicts of all documents; the source is the host."""
+    return host_rules.judge_documents(read_table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_host_rules"] = host_rules.oracle_sql()
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to 16 whitened coordinates of every usable vector."""
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
