@@ -25,10 +25,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash_cover.keep_one(docs)
 
 
+#: Bytes of a passage that the suffix stage removes: some fifty words, where op2's contract says 400.
+PASSAGE = 256
+
+
 def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the byte strings that start elsewhere too."""
+    """All documents, without the passages (strings of PASSAGE bytes) that start elsewhere too."""
     ship_package(spark)
-    return suffix_dedup.remove_repeats(docs)
+    return suffix_dedup.remove_repeats(docs, PASSAGE)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
