@@ -31,7 +31,7 @@ def test_query_equals_its_sql(spark, key):
 
 @pytest.mark.parametrize("key", sorted(set(QUERIES) - set(ORACLE)))
 def test_query_covers_its_table(spark, key):
-    table, column = ("embeddings", "vec_id") if key.startswith("op5") else ("documents", "doc_id")
+    table, column = ("embeddings", "vec_id") if key.startswith(("op5", "op13")) else ("documents", "doc_id")
     ids = {r[0] for r in spark.read.parquet(f"{SF_SMALL}/{table}.parquet").select(column).collect()}
     df = E.queries()[key](spark, SF_SMALL)
     assert {r[0] for r in df.select(column).collect()} == ids
