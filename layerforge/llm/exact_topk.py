@@ -8,8 +8,8 @@ the k best of the block, and a window merges the blocks' winners.  Every block i
 and no table is broadcast.
 
 Defined cases: null vectors and vectors with null or non-finite components take no part; a missing
-component is 0, so lengths may differ; rows of one vec_id count once if their weights are the same,
-otherwise each is a candidate and, as a query, is compared with all rows of other ids (a query_id has
+component is 0, so lengths may differ; rows of one vec_id count each, also if their vectors are the same:
+each is a candidate and, as a query, is compared with all rows of other ids (a query_id has
 its k best scores over all its rows); rows with a null vec_id take no part; scores beyond a long end
 at its limits; an empty table gives no rows; other columns are ignored.
 """
@@ -126,19 +126,20 @@ def exact_topk(vectors: DataFrame, is_query: Column, k: int = 5, scale: float =
     """
     weights = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale))
     clean = stage(vectors.where(F.col("vec_id").isNotNull() & finite("embedding"))
-                  .select(F.col("vec_id").cast("long"), weights.alias("weights")).distinct(), "topk-weights")
+                  .select(F.col("vec_id").cast("long"), weights.alias("weights"),
+                          F.monotonically_increasing_id().alias("row")), "topk-weights")
     n, n_queries = clean.agg(F.count(F.lit(1)), F.count(F.when(is_query, 1))).head()
     q_parts, groups = max(1, math.ceil(n_queries / query_block)), max(1, math.ceil(n / (8 * block)))
-    part = F.pmod(F.xxhash64("vec_id", "weights"), F.lit(q_parts)).cast("int")
+    part = F.pmod(F.xxhash64("row"), F.lit(q_parts)).cast("int")
     # Each part of the queries is gathered and packed on its own; parts are of bounded size.
-    asked = (clean.where(is_query).repartition(q_parts, part).sortWithinPartitions("vec_id")
+    asked = (clean.where(is_query).repartition(q_parts, part).sortWithinPartitions("vec_id").select("vec_id", "weights")
              .mapInArrow(_pack(query_block), PACKED).withColumn("qb", F.monotonically_increasing_id()))
     asked = stage(asked, "topk-queries")
     placed = (asked.select("qb", F.col("ids").alias("q_ids"), F.col("width").alias("q_width"),
                            F.col("weights").alias("q_weights"))
               .withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))))
-    held = (clean.mapInArrow(_pack(block), PACKED)
-            .withColumn("g", F.pmod(F.xxhash64("ids"), F.lit(groups)).cast("int"))
+    held = (clean.select("vec_id", "weights").mapInArrow(_pack(block), PACKED)
+            .withColumn("g", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)).cast("int"))
             .join(placed.select("qb", "g").distinct(), "g"))
     # A query block has a row per group here, which the planner does not see: no broadcast.
     found = held.join(placed.hint("merge"), ["qb", "g"]).select(
