@@ -11,6 +11,7 @@ reject_rows     rows that fail load rules, with the reasons
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -143,21 +144,20 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFr
     """Changed rows between two snapshots: INSERT, UPDATE or DELETE per key (full outer join).
 
     Rows are compared as whole structs with null-safe equality, so a change
-    from or to NULL counts.
+    from or to NULL counts; a NULL in a key is a value like any other.
     """
     keys = list(keys)
     vals = [c for c in new.columns if c not in keys]
-    o = old.select(*keys, F.struct(*vals).alias("_old"))
-    n = new.select(*keys, F.struct(*vals).alias("_new"))
-    j = o.join(n, keys, "full_outer")
-    change = (F.when(F.col("_old").isNull(), F.lit("INSERT"))
-              .when(F.col("_new").isNull(), F.lit("DELETE"))
+    o = old.select(F.struct(*keys).alias("_ok"), F.struct(*vals).alias("_old"))
+    n = new.select(F.struct(*keys).alias("_nk"), F.struct(*vals).alias("_new"))
+    j = o.join(n, reduce(Column.__and__, [F.col(f"_ok.{k}").eqNullSafe(F.col(f"_nk.{k}")) for k in keys]), "full_outer")
+    change = (F.when(F.col("_ok").isNull(), F.lit("INSERT"))
+              .when(F.col("_nk").isNull(), F.lit("DELETE"))
               .when(~F.col("_old").eqNullSafe(F.col("_new")), F.lit("UPDATE")))
     out = j.withColumn("change_type", change).where(F.col("change_type").isNotNull())
     # Values of the new snapshot; a deleted row shows its last known values.
-    return out.select(*keys, "change_type", *[
-        F.when(F.col("_new").isNotNull(), F.col(f"_new.{v}")).otherwise(F.col(f"_old.{v}")).alias(v)
-        for v in vals])
+    pick = lambda a, b, c: F.when(F.col("_nk").isNotNull(), F.col(f"{b}.{c}")).otherwise(F.col(f"{a}.{c}")).alias(c)
+    return out.select(*[pick("_ok", "_nk", k) for k in keys], "change_type", *[pick("_old", "_new", v) for v in vals])
 
 
 def reject_reasons(reasons: Sequence[tuple[str, Column]]) -> Column:
@@ -168,19 +168,23 @@ def reject_reasons(reasons: Sequence[tuple[str, Column]]) -> Column:
 def reject_rows(sales: DataFrame) -> DataFrame:
     """Bronze sales rows that cannot load cleanly, with every reason that applies.
 
-    All three dates, the quantity, and what the amounts would load as.
+    All three dates, the quantity, and what the amounts would load as.  The conditions are computed once, as
+    flags, before the reasons are written out: as one expression they are too large a method to be compiled.
     """
-    reasons = []
+    conditions = []
     for day in ("order", "ship", "due"):
         c = F.col(f"sls_{day}_dt")
         absent = (c == 0) | (F.length(c.cast("string")) != 8)
-        reasons += [(f"{day}_date_invalid", C.int_date_rejected(c)), (f"{day}_date_missing", F.coalesce(absent, F.lit(True)))]
+        conditions += [(f"{day}_date_invalid", C.int_date_rejected(c)), (f"{day}_date_missing", F.coalesce(absent, F.lit(True)))]
     new_sales, new_price = C.repair_amounts("sls_sales", "sls_quantity", "sls_price")
-    reasons += [
+    conditions += [
         ("quantity_not_positive", F.coalesce(F.col("sls_quantity") <= 0, F.lit(True))),
         ("price_unrepairable", new_price.isNull()),
         ("price_not_positive", new_price <= 0),
         ("sales_unrepairable", new_sales.isNull()),
     ]
-    r = reject_reasons(reasons)
-    return sales.withColumn("reject_reason", r).where(F.col("reject_reason") != "")
+    # One bit a condition: a number, so that the filter and the text read it instead of the conditions.
+    bits = reduce(Column.__add__, [F.coalesce(cond, F.lit(False)).cast("int") * (1 << i) for i, (_, cond) in enumerate(conditions)])
+    flagged = sales.withColumn("_reasons", bits).where(F.col("_reasons") != 0)
+    text = reject_reasons([(label, F.col("_reasons").bitwiseAND(1 << i) != 0) for i, (label, _) in enumerate(conditions)])
+    return flagged.withColumn("reject_reason", text).drop("_reasons")

@@ -8,7 +8,7 @@ file_inventory    presence, size, modification time and columns of files, rows n
 
 Writers
 -------
-publish / read_current  full refresh as a new version folder plus a numbered pointer, so a
+publish / read_current  full refresh as a new version folder plus a numbered commit, so a
                         failed load leaves the previous version readable
 append_load             append one batch to a table folder
 replace_partitions      idempotent append by dynamic partition overwrite
@@ -26,6 +26,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from layerforge.sources import versions as V
+from layerforge.sources.versions import exists
+
 CORRUPT = "_corrupt_record"
 # No quoting: a NUL quote character never occurs in the data.
 _NO_QUOTE = "\u0000"
@@ -91,50 +94,39 @@ def stored_mb(df: DataFrame) -> float:
 # Layer writes
 # ---------------------------------------------------------------------------
 
-_POINTERS = "_versions"
-_POINTER_SCHEMA = "n long, version string, published timestamp"
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether the path is there, in whatever file system it names."""
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
-
-
-def _newest(spark: SparkSession, base: str):
-    path = f"{base.rstrip('/')}/{_POINTERS}"
-    if not exists(spark, path):
-        return None
-    return spark.read.schema(_POINTER_SCHEMA).parquet(path).orderBy(F.col("n").desc()).head()
-
-
 def has_version(spark: SparkSession, base: str) -> bool:
-    return _newest(spark, base) is not None
+    return V.newest(spark, base) is not None
 
 
-def publish(df: DataFrame, base: str) -> str:
-    """Full refresh: write a new version folder, then append a numbered pointer to it.
+def publish(df: DataFrame, base: str, parent: int | None = None) -> str:
+    """Full refresh: write a new version folder, then commit it as the next version (``versions``).
 
-    Nothing is overwritten: the pointer is one small file that appears as a whole when its write is
-    committed, and readers take the highest number.  A load that fails at any point leaves the
-    version before it.  Returns the version path.
+    Nothing is overwritten, so a load that fails at any point leaves the version before it.  Two refreshes at
+    once are both committed, one after the other.  For a load that depends on what it read, ``parent`` is the
+    number it read (0: none): a later commit raises ``CommitConflict`` and the new folder is dropped.
+    Returns the version path.
     """
     spark = df.sparkSession
-    version = f"v-{uuid.uuid4().hex}"
-    target = f"{base.rstrip('/')}/{version}"
+    folder = f"v-{uuid.uuid4().hex}"
+    target = f"{base.rstrip('/')}/{folder}"
     df.write.mode("errorifexists").parquet(target)
-    newest = _newest(spark, base)
-    n = 1 if newest is None else newest["n"] + 1
-    (spark.range(1).select(F.lit(n).cast("long").alias("n"), F.lit(version).alias("version"), F.current_timestamp().alias("published"))
-     .coalesce(1).write.mode("append").parquet(f"{base.rstrip('/')}/{_POINTERS}"))
+    try:
+        V.commit(spark, base, {"paths": [folder]}, parent)
+    except V.CommitConflict:
+        V.delete(spark, target)
+        raise
     return target
 
 
+def read_version(spark: SparkSession, base: str, version: V.Version) -> DataFrame:
+    return spark.read.parquet(*[f"{base.rstrip('/')}/{p}" for p in version.paths])
+
+
 def read_current(spark: SparkSession, base: str) -> DataFrame:
-    newest = _newest(spark, base)
+    newest = V.newest(spark, base)
     if newest is None:
         raise FileNotFoundError(f"no version at {base}")
-    return spark.read.parquet(f"{base.rstrip('/')}/{newest['version']}")
+    return read_version(spark, base, newest)
 
 
 def write_counted(df: DataFrame, path: str, mode: str = "append") -> int:

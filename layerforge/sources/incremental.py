@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from layerforge.operators.sequence import global_row_number
 from layerforge.operators.windows import dedup_latest
 from layerforge.sources import files as FS
+from layerforge.sources import versions as V
+from layerforge.sources.merge_table import same
 
 
 def watermark(spark: SparkSession, base: str, column: str):
@@ -24,40 +26,57 @@ def watermark(spark: SparkSession, base: str, column: str):
 
 
 def load_increment(source: DataFrame, base: str, keys: Sequence[str], column: str, overlap_days: int = 0) -> DataFrame:
-    """Merge what ``source`` holds beyond the stored watermark into the stored newest row per key.
+    """Merge what ``source`` holds from the stored watermark on into the stored newest row per key.
 
-    Rows without a ``column`` value have no place in time and are always read.  ``overlap_days`` reads
-    late rows again; as newest-per-key of a union is the newest of the newest, reading rows twice
-    changes nothing.  Returns the new state as stored.
+    The watermark's own day is read again, as more of its rows may have come.  Rows without a ``column`` value
+    have no place in time and are always read.  ``overlap_days`` reads late rows again; as newest-per-key of a
+    union is the newest of the newest, reading rows twice changes nothing.  A load that meets another one's
+    commit starts again from the new state.  Returns the new state as stored.  The whole state is written
+    each time; ``merge_table`` writes the increment alone.
     """
     spark = source.sparkSession
-    last = watermark(spark, base, column)
-    if last is None:
-        fresh, state = source, None
-    else:
-        fresh = source.where(F.col(column).isNull() | (F.col(column) > F.date_sub(F.lit(last), overlap_days)))
-        state = FS.read_current(spark, base)
-    merged = dedup_latest(fresh if state is None else state.unionByName(fresh), keys, column)
-    FS.publish(merged, base)
-    return FS.read_current(spark, base)
+    while True:
+        seen = V.newest(spark, base)
+        merged = source
+        if seen is not None:
+            state = FS.read_version(spark, base, seen)
+            last = state.agg(F.max(column)).head()[0]
+            if last is not None:
+                since = F.date_sub(F.lit(last), overlap_days) if overlap_days else F.lit(last)
+                merged = source.where(F.col(column).isNull() | (F.col(column) >= since))
+            merged = state.unionByName(merged)
+        try:
+            FS.publish(dedup_latest(merged, keys, column), base, seen.n if seen else 0)
+            return FS.read_current(spark, base)
+        except V.CommitConflict:
+            continue
 
 
 def assign_keys(rows: DataFrame, base: str, natural: Sequence[str], order: Sequence[str], key: str) -> DataFrame:
     """``rows`` with a surrogate key that never changes: known natural keys keep theirs, new ones follow on.
 
     The map (natural key, surrogate key) is stored at ``base``.  New natural keys are numbered in
-    ``order`` after the greatest key given out.
+    ``order`` after the greatest key given out.  A NULL in a natural key is a value like any other.  Of two
+    loads at once the second numbers its keys again, after the first one's.
     """
     spark = rows.sparkSession
     natural = list(natural)
-    known = FS.read_current(spark, base) if FS.has_version(spark, base) else None
-    least = [F.min(c).alias(c) for c in order if c not in natural]
-    new = rows.groupBy(*natural).agg(*least) if least else rows.select(*natural).distinct()
-    first = 0
-    if known is not None:
-        new = new.join(known.select(*natural), natural, "left_anti")
-        first = known.agg(F.max(key)).head()[0] or 0
-    numbered = global_row_number(new, [*order, *[n for n in natural if n not in order]], key)
-    numbered = numbered.select(*natural, (F.col(key) + F.lit(first)).alias(key))
-    FS.publish(numbered if known is None else known.unionByName(numbered), base)
-    return rows.join(FS.read_current(spark, base), natural)
+    while True:
+        seen = V.newest(spark, base)
+        known = FS.read_version(spark, base, seen) if seen else None
+        least = [F.min(c).alias(c) for c in order if c not in natural]
+        new = rows.groupBy(*natural).agg(*least) if least else rows.select(*natural).distinct()
+        first = 0
+        if known is not None:
+            have = known.select(*natural)
+            new = new.join(have, same(new, have, natural), "left_anti")
+            first = known.agg(F.max(key)).head()[0] or 0
+        numbered = global_row_number(new, [*order, *[n for n in natural if n not in order]], key)
+        numbered = numbered.select(*natural, (F.col(key) + F.lit(first)).alias(key))
+        try:
+            FS.publish(numbered if known is None else known.unionByName(numbered), base, seen.n if seen else 0)
+            break
+        except V.CommitConflict:
+            continue
+    given = FS.read_current(spark, base)
+    return rows.join(given, same(rows, given, natural)).select(*[rows[c] for c in rows.columns], given[key])
