@@ -121,12 +121,19 @@ def parse_int_date(c: ColumnOrName) -> Column:
     return F.when(valid, date).otherwise(F.lit(None).cast("date"))
 
 
+#: Bit m is set if month m has 31 days.
+LONG_MONTHS = sum(1 << m for m in (1, 3, 5, 7, 8, 10, 12))
+
+
 def int_date_rejected(c: ColumnOrName) -> Column:
     """True when the value has 8 characters but is no valid yyyymmdd date."""
     n = _col(c).cast("int")
-    _, valid = _int_date_parts(n)
-    eight_chars = n.between(10000000, 99999999) | n.between(-9999999, -1000000)
-    return eight_chars & ~valid
+    m, d, y = F.call_function("div", n, F.lit(100)) % 100, n % 100, F.call_function("div", n, F.lit(10000))
+    # Days of the month from its number alone: no date is built, which keeps the generated code small.
+    long_month = F.call_function("shiftright", F.lit(LONG_MONTHS), m.cast("int")).bitwiseAND(1)
+    leap = (y % 4 == 0) & ((y % 100 != 0) | (y % 400 == 0))
+    days = F.when(m != 2, 30 + long_month).when(leap, 29).otherwise(28)
+    return F.when(n.between(10000000, 99999999), ~(m.between(1, 12) & d.between(1, days))).otherwise(n.between(-9999999, -1000000))
 
 
 def null_future_dates(c: ColumnOrName, as_of: Column | str | None = None) -> Column:

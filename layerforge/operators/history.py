@@ -138,9 +138,10 @@ def history_summary(runs: DataFrame, as_of: str, days: int = SUMMARY_DAYS) -> Da
 
 def latest_table_counts(metrics: DataFrame, runs: DataFrame) -> DataFrame:
     """Table counts of the run(s) with the latest run timestamp."""
-    j = metrics.join(runs.select(F.col("id").alias("run_id"), "run_timestamp"), "run_id")
-    last = j.agg(F.max("run_timestamp").alias("run_timestamp"))
-    return j.join(F.broadcast(last), "run_timestamp").select(
+    times = runs.select(F.col("id").alias("run_id"), "run_timestamp")
+    last = times.join(metrics.select("run_id"), "run_id", "left_semi").agg(F.max("run_timestamp").alias("run_timestamp"))
+    # Few runs are left before the metrics are joined, once.
+    return metrics.join(times.join(F.broadcast(last), "run_timestamp"), "run_id").select(
         "run_id", "schema_name", "table_name", "row_count", "run_timestamp")
 
 

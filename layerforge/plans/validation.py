@@ -7,14 +7,15 @@ fact-to-dimension integrity, and three business rules.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerforge.operators import quality as Q
-from layerforge.plans.warehouse import Layers
+from layerforge.plans.warehouse import Layers, run_parallel
+from layerforge.sources import check_states as CS
 from layerforge.sources.files import read_current
 
 # Fields and rules of the quality suite.
@@ -73,36 +74,63 @@ def ranges(layers: Layers) -> DataFrame:
     return Q.range_checks(layers.silver["crm_sales_details"], "crm_sales_details", RANGES)
 
 
-def all_checks(layers: Layers, as_of: str | None = None) -> DataFrame:
-    """Every check of one run, as rows: one aggregate per table, and one join per dimension.
-
-    A table given as ``quality.Unreadable`` gives one failed row.
-    """
+def table_measures(layer: str, table: str, as_of: str | None = None) -> list[Q.Measure]:
+    """What the suite counts in one table."""
+    if layer == "bronze":
+        absent = TYPE_MISSING.get(table, {})
+        return [Q.typed(f, r, absent.get(f)) for f, r in TYPE_RULES.get(table, {}).items()]
+    if layer == "silver":
+        return [Q.complete(f) for f in CRITICAL_FIELDS.get(table, [])]
     last = F.current_date() if as_of is None else F.lit(as_of).cast("date")
     day = F.col("order_date")
-    gold = {
+    return {
         "fact_sales": [
             Q.rule("Valid Sales Amounts", F.col("sales_amount") <= 0, " amounts at or below zero among "),
             Q.rule("Valid Date Ranges", (day > last) | (day < F.lit(Q.OLDEST_ORDER_DATE).cast("date")), " dates out of range among "),
         ],
         "dim_customers": [Q.rule("Customer Name Completeness", F.col("first_name").isNull() | (F.col("first_name") == ""),
                                  " customers without a first name among ")],
-    }
-    parts = []
-    for table, df in layers.bronze.items():
-        rules, absent = TYPE_RULES.get(table, {}), TYPE_MISSING.get(table, {})
-        parts.append(Q.measured(df, "bronze", table, [Q.typed(f, r, absent.get(f)) for f, r in rules.items()]))
-    for table, df in layers.silver.items():
-        parts.append(Q.measured(df, "silver", table, [Q.complete(f) for f in CRITICAL_FIELDS.get(table, [])]))
-    for table, df in layers.gold.items():
-        parts.append(Q.measured(df, "gold", table, gold.get(table, [])))
+    }.get(table, [])
+
+
+#: Integrity rules of the fact (fixed values): label, dimension, key.
+INTEGRITY = (("Customer", "dim_customers", "customer_key"), ("Product", "dim_products", "product_key"))
+
+
+def all_checks(layers: Layers, as_of: str | None = None) -> DataFrame:
+    """Every check of one run, as rows: one aggregate per table, and one join per dimension.
+
+    A table given as ``quality.Unreadable`` gives one failed row.
+    """
+    parts = [Q.measured(df, layer, table, table_measures(layer, table, as_of))
+             for layer in ("bronze", "silver", "gold") for table, df in getattr(layers, layer).items()]
     fact = layers.gold["fact_sales"]
-    for label, dim, key in (("Customer", "dim_customers", "customer_key"), ("Product", "dim_products", "product_key")):
+    for label, dim, key in INTEGRITY:
         if not isinstance(fact, Q.Unreadable) and not isinstance(layers.gold[dim], Q.Unreadable):
             parts.append(Q.matched(fact, layers.gold[dim], key, label))
     return Q.checks_of(Q.union_all(parts))
 
 
+def store_with_states(spark: SparkSession, layers: Layers, base: str, parts: int = 1, as_of: str | None = None) -> dict[tuple[str, str], CS.CheckedTable]:
+    """Every table of the layers stored in parts with its check states; tables that do not depend on each other at once."""
+    out, loads = {}, {}
+    for layer in ("bronze", "silver", "gold"):
+        for table, df in getattr(layers, layer).items():
+            out[layer, table] = CS.CheckedTable(f"{base}/{layer}/{table}", layer, table, tuple(table_measures(layer, table, as_of)),
+                                                keys=tuple(key for _, _, key in INTEGRITY) if table == "fact_sales" else ())
+            loads[f"{layer}.{table}"] = lambda t=out[layer, table], d=df: [
+                CS.append_part(spark, t, d.where(F.pmod(F.xxhash64(*d.columns), F.lit(parts)) == i) if parts > 1 else d) for i in range(parts)]
+    run_parallel(loads)
+    return out
+
+
+def report_from_states(spark: SparkSession, tables: Mapping[tuple[str, str], CS.CheckedTable]) -> DataFrame:
+    """The rows of ``all_checks`` from stored states."""
+    fact = tables["gold", "fact_sales"]
+    return CS.report(spark, list(tables.values()), {
+        label: (fact, key, CS.read_rows(spark, tables["gold", dim])) for label, dim, key in INTEGRITY})
+
+
 def open_layer(spark: SparkSession, root: str, layer: str, tables: Iterable[str]) -> dict[str, DataFrame | Q.Unreadable]:
     """The current version of each stored table; what cannot be opened is ``Unreadable``."""
     out = {}

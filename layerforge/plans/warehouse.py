@@ -14,12 +14,12 @@ from dataclasses import dataclass
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from layerforge.plans.gold import build_gold, dim_customers, dim_products, fact_sales
 from layerforge.plans.silver import build_silver
 from layerforge.session import write_through
 from layerforge.sources.standins import bronze_tables
+from layerforge.sources.versions import folder_state
 
 
 @dataclass
@@ -93,10 +93,8 @@ QUERY_AS_OF = "2001-01-01"
 
 
 def _state_of(spark: SparkSession, sf_dir: str) -> tuple:
-    """Names, sizes and times of the input files, so that new data under one path is built anew."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(sf_dir)
-    row = found.agg(F.count(F.lit(1)), F.sum("length"), F.max("modificationTime")).head()
-    return tuple(row)
+    """Names, sizes and times of the input tables, so that new data under one path is built anew; no Spark job."""
+    return tuple(sorted(folder_state(spark, sf_dir)))
 
 
 def layers(spark: SparkSession, sf_dir: str) -> Layers:

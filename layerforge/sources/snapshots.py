@@ -9,6 +9,7 @@ digests with a chance of about 2^-128.)
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 
@@ -48,7 +49,8 @@ def publish_snapshot(df: DataFrame, base: str, keys: Sequence[str], leaves: int
         height, wide = height + 1, -(-wide // fan)
         level = below.groupBy(F.floor(F.col("node") / fan).cast("int").alias("node")).agg(
             F.sha2(F.concat_ws("|", F.array_sort(F.collect_list(F.concat_ws(":", "node", "digest")))), 256).alias("digest"))
-    return V.commit(spark, base, {"paths": [folder], "keys": list(keys), "leaves": leaves, "fan": fan, "height": height, "schema": df.schema.json()})
+    return V.commit(spark, base, {"paths": [folder], "keys": list(keys), "leaves": leaves, "fan": fan, "height": height,
+                                    "schema": df.schema.json(), "columns": [list(c) for c in df.dtypes]})
 
 
 def _snapshot(spark: SparkSession, base: str, n: int) -> V.Version:
@@ -59,8 +61,6 @@ def _snapshot(spark: SparkSession, base: str, n: int) -> V.Version:
 
 
 def _rows(spark: SparkSession, base: str, v: V.Version) -> DataFrame:
-    import json
-
     fields = T.StructType.fromJson(json.loads(v.entry["schema"])).fields
     return spark.read.schema(T.StructType(fields + [T.StructField(LEAF, T.IntegerType())])).parquet(f"{base.rstrip('/')}/{v.paths[0]}")
 
@@ -71,7 +71,7 @@ def read_snapshot(spark: SparkSession, base: str, n: int) -> DataFrame:
 
 def changed_leaves(spark: SparkSession, base: str, old: V.Version, new: V.Version) -> list[int]:
     """Leaves whose digests differ; per level only the children of differing nodes are looked at."""
-    shape = ("leaves", "fan", "height", "keys", "schema")
+    shape = ("leaves", "fan", "height", "keys", "columns")
     if any(old.entry[c] != new.entry[c] for c in shape):
         raise ValueError("the snapshots have different trees or columns")
     nodes = [0]

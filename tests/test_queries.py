@@ -43,7 +43,8 @@ def test_entry_smoke(spark):
 
 
 def test_every_key_has_an_oracle_or_is_documented():
-    assert set(QUERIES) == set(catalog.QUERIES) <= set(ORACLE)
+    beyond_sql = {"file_inventory_sizes"}  # sizes and times of files; tests/test_versions_tables.py compares them with the file system
+    assert set(QUERIES) == set(catalog.QUERIES) and set(catalog.QUERIES) - set(ORACLE) == beyond_sql
 
 
 @pytest.mark.parametrize("key", sorted(QUERIES))

@@ -10,8 +10,12 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from layerforge.operators import quality as Q
 from layerforge.operators.extras import snapshot_diff
 from layerforge.operators.windows import dedup_latest, scd2_intervals
+from layerforge.plans import bi
+from layerforge.sources import check_states as CS
+from layerforge.sources import dead_letter as DL
 from layerforge.sources import files as FS
 from layerforge.sources import incremental as INC
 from layerforge.sources import interval_table as IT
@@ -355,3 +359,112 @@ def test_moved_nulls_are_a_change(spark, tmp_path):
     for r in ([(1, None, "x")], [(1, "x", None)]):
         SN.publish_snapshot(spark.createDataFrame(r, "id int, a string, b string"), base, ["id"], leaves=4, fan=2)
     assert [r.change_type for r in SN.snapshot_changes(spark, base, 1, 2).collect()] == ["UPDATE"]
+
+
+# -- check states -------------------------------------------------------------
+
+def test_reports_read_states_not_old_rows(spark, tmp_path):
+    rng = random.Random(1)
+    rows = [(rng.choice([None, *range(30)]), rng.choice([None, "a", "b", " "]), rng.choice([None, -1.5, 0.0, 3.0])) for _ in range(300)]
+    df = lambda r: spark.createDataFrame(r, "customer_key int, name string, amount double")
+    measures = (Q.complete("name"), Q.rule("Amounts", F.col("amount") <= 0, " bad among "))
+    table = CS.CheckedTable(str(tmp_path / "c"), "gold", "fact_sales", measures, ("customer_key", "name", "amount"), ("customer_key",))
+    dim = spark.createDataFrame([(i,) for i in range(0, 30, 2)], "customer_key int")
+    for part in (rows[:100], rows[100:250], rows[250:250]):
+        CS.append_part(spark, table, df(part))
+    for v in V.newest(spark, table.base).paths:
+        for d, _, names in os.walk(f"{table.base}/{v}/rows"):
+            for f in names:
+                with open(os.path.join(d, f), "wb") as out:  # not a table any more
+                    out.write(b"gone")
+    CS.append_part(spark, table, df(rows[250:]))  # reads none of the old parts
+    report = CS.report(spark, [table], {"Customer": (table, "customer_key", dim)})
+    wanted = Q.checks_of(Q.union_all([Q.measured(df(rows), "gold", "fact_sales", measures), Q.matched(df(rows), dim, "customer_key", "Customer")]))
+    drop = lambda frame: Counter(tuple(r[c] for c in r.asDict() if c != "created_at") for r in frame.collect())
+    assert drop(report) == drop(wanted) and report.count() == 4
+    more = spark.createDataFrame([(i,) for i in range(30)], "customer_key int")  # the dimension grows: old rows find their key
+    share = {r.check_name: r.score for r in CS.report(spark, [table], {"Customer": (table, "customer_key", more)}).collect()}
+    assert share["Gold - Sales-Customer Integrity"] == sum(r[0] is not None for r in rows) / 300
+    profile = {r.column: r for r in CS.column_profile(spark, table).collect()}
+    assert (profile["amount"].least, profile["amount"].greatest, profile["amount"].distinct_values) == ("-1.5", "3.0", 3)
+    assert profile["customer_key"].distinct_values == 30 and profile["customer_key"].greatest == "29"
+    assert profile["name"].non_null == sum(r[1] is not None for r in rows)
+    with pytest.raises(ValueError):
+        CS.append_part(spark, table, df(rows).withColumn("more", F.lit(1)))
+    never = CS.CheckedTable(str(tmp_path / "none"), "gold", "dim", ())
+    assert [r.passed for r in CS.report(spark, [never], {}).collect()] == [False]
+
+
+def test_sketches_of_days_roll_up(spark):
+    fact = spark.range(60_000).select((F.col("id") % 9973).alias("customer_key"), F.lit(1).alias("sales_amount"),
+                                      F.date_add(F.lit(D(0)), (F.col("id") % 90).cast("int")).alias("order_date"))
+    days = bi.daily_customer_sketches(fact)
+    assert days.count() == 90
+    whole = bi.distinct_from_sketches(days).head()
+    assert whole.orders == whole.total_sales == 60_000
+    assert abs(whole.distinct_customers - 9973) <= bi.DISTINCT_BOUND * 9973
+    assert bi.distinct_from_sketches(days.limit(0)).head().distinct_customers in (0, None)
+
+
+# -- dead letters -------------------------------------------------------------
+
+def test_rejects_are_replayed_once(spark, tmp_path):
+    base = str(tmp_path / "d")
+    rows = [(i, None if i % 5 == 0 else i) for i in range(100)]
+    reason = F.when(F.col("x").isNull(), "x missing")
+    DL.split_load(spark, base, spark.createDataFrame(rows, "id int, x int"), reason, "run-1")
+    waiting = DL.rejects(spark, base)
+    assert DL.good_rows(spark, base).count() == 80 and waiting.count() == 20
+    assert {(r[DL.REASON], r[DL.RUN]) for r in waiting.collect()} == {("x missing", "run-1")}
+    ids = [r[DL.REJECT] for r in waiting.collect()]
+    assert len(set(ids)) == 20
+    mended = spark.createDataFrame([(r.id, None if r.id == 50 else -r.id, r[DL.REJECT]) for r in waiting.collect() if r.id > 20]
+                                   + [(7, 7, "no such reject")], f"id int, x int, {DL.REJECT} string")
+    DL.replay(spark, base, mended.union(mended), reason, "run-2")
+    DL.replay(spark, base, mended, reason, "run-3")  # nothing of it waits any more
+    good = DL.good_rows(spark, base)
+    wanted = Counter([r for r in rows if r[1] is not None] + [(i, -i) for i in range(25, 100, 5) if i != 50])
+    assert _rows(good) == wanted and good.columns == ["id", "x"]
+    left = {r.id: r[DL.RUN] for r in DL.rejects(spark, base).collect()}
+    assert left == {0: "run-1", 5: "run-1", 10: "run-1", 15: "run-1", 20: "run-1", 50: "run-2"}  # 50 failed again, as a new reject
+    assert good.count() + len(left) == 100
+    assert {p.split(f"{DL.SIDE}=")[1][0] for p in good.inputFiles()} == {"0"}
+
+
+def test_replays_at_once(spark, tmp_path):
+    base, gate = str(tmp_path / "d"), threading.Barrier(3)
+    DL.split_load(spark, base, spark.createDataFrame([(i, None) for i in range(30)], "id int, x int"), F.when(F.col("x").isNull(), "x"), "r")
+    mended = spark.createDataFrame([(r.id, 1, r[DL.REJECT]) for r in DL.rejects(spark, base).collect()], f"id int, x int, {DL.REJECT} string")
+
+    def run(i):
+        gate.wait()
+        DL.replay(spark, base, mended.where(F.col("id") >= 5 * i), F.when(F.col("x").isNull(), "x"), f"r{i}")
+
+    threads = [threading.Thread(target=run, args=(i,)) for i in range(3)]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    assert sorted(r.id for r in DL.good_rows(spark, base).collect()) == list(range(30)) and DL.rejects(spark, base).count() == 0
+
+
+# -- inventory ----------------------------------------------------------------
+
+def test_inventory_names_every_file(spark, tmp_path):
+    import __spark_entry__ as E
+
+    for name in ("a", "new one"):
+        spark.range(5).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    found = {r.file: r for r in E.queries()["file_inventory_sizes"](spark, str(tmp_path)).collect()}
+    assert set(found) == {"a.parquet", "new one.parquet"}
+    for name, r in found.items():
+        size = _size(f"{tmp_path}/{name}")
+        assert r.size_bytes >= size > 0 and r.size_mb == round(r.size_bytes / 1024 / 1024, 2) and r.columns == ["id"] and r.modified is not None
+
+
+def test_layers_are_built_anew_for_new_files(spark, tmp_path):
+    from layerforge.plans.warehouse import _state_of
+
+    spark.range(5).write.parquet(f"{tmp_path}/t.parquet")
+    before = _state_of(spark, str(tmp_path))
+    assert _state_of(spark, str(tmp_path)) == before
+    spark.range(9).write.mode("append").parquet(f"{tmp_path}/t.parquet")
+    assert _state_of(spark, str(tmp_path)) != before
