@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layerforge.functions import cleanse as C
+from layerforge.operators.sequence import quantiles_in_group
 from layerforge.session import write_through
 
 # Fixed value: |z| above this marks an outlier; IQR fences at 1.5 x IQR.
@@ -40,20 +41,21 @@ def group_stats(df: DataFrame, group: str, value: str, exact: bool = True,
     """Per group: n, mean, sample standard deviation, quartiles, outlier counts.
 
     The rows are read once, into counts per (group, value), which are stored; mean and variance
-    (exact integer sums), quartiles and outliers all come from those counts.  Exact quartiles keep a
-    count per distinct value of a group; for a wide value domain pass ``exact=False``, which keeps
-    a sketch of bounded size per group over the rows.
+    (exact integer sums), quartiles and outliers all come from those counts.  Exact quartiles are
+    selected by rank over range partitions, so a group may have any number of distinct values;
+    ``exact=False`` takes them from a sketch of bounded size per group over the rows instead.
     """
     counts = write_through(df.where(F.col(value).isNotNull()).groupBy(
         F.col(group).alias("_g"), F.col(value).cast("long").alias("_x")).agg(F.count(F.lit(1)).alias("_n")), "value-counts")
     x, k = F.col("_x"), F.col("_n").cast("decimal(19,0)")
-    quartiles = [F.percentile(x, q, F.col("_n")) for q in (0.25, 0.75)] if exact else [F.lit(None).cast("double")] * 2
-    stats = counts.groupBy("_g").agg(F.sum("_n").alias("n"), F.sum(k * x).alias("s1"), F.sum(k * x * x).alias("s2"),
-                                     quartiles[0].alias("q1"), quartiles[1].alias("q3"))
-    if not exact:
-        sketch = df.where(F.col(value).isNotNull()).groupBy(F.col(group).alias("_s")).agg(
-            *[F.percentile_approx(F.col(value).cast("long"), q, accuracy).cast("double").alias(c) for q, c in ((0.25, "q1"), (0.75, "q3"))])
-        stats = stats.drop("q1", "q3").join(sketch, F.col("_g").eqNullSafe(F.col("_s"))).drop("_s")
+    stats = counts.groupBy("_g").agg(F.sum("_n").alias("n"), F.sum(k * x).alias("s1"), F.sum(k * x * x).alias("s2"))
+    shares = {"q1": 0.25, "q3": 0.75}
+    if exact:
+        quartiles = quantiles_in_group(counts, "_g", "_x", "_n", shares).withColumnRenamed("_g", "_s")
+    else:
+        quartiles = df.where(F.col(value).isNotNull()).groupBy(F.col(group).alias("_s")).agg(
+            *[F.percentile_approx(F.col(value).cast("long"), q, accuracy).cast("double").alias(c) for c, q in shares.items()])
+    stats = stats.join(quartiles, F.col("_g").eqNullSafe(F.col("_s"))).drop("_s")
     n, s1, s2 = F.col("n").cast("double"), F.col("s1").cast("double"), F.col("s2").cast("double")
     var = F.when(F.col("n") > 1, (s2 - s1 * s1 / n) / (n - F.lit(1.0)))
     stats = stats.select(F.col("_g").alias(group), "n", (s1 / n).alias("mean"), F.sqrt(var).alias("stddev"), "q1", "q3")

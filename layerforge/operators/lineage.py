@@ -88,26 +88,43 @@ def reached_from(edges: DataFrame, start: DataFrame, reverse: bool = False) -> D
     return rounds.all()
 
 
-def shortest_paths_to(edges: DataFrame, target) -> DataFrame:
+#: Hops that one stored round of the path search goes.
+HOPS = 4
+
+
+def shortest_paths_to(edges: DataFrame, target, hops: int = HOPS) -> DataFrame:
     """For every asset that reaches ``target``: the shortest path, ties -> lexically smallest.
 
-    Breadth-first from the target against the edge direction; a node keeps the
-    path of the round it was first reached, so each node is expanded once.
+    Breadth-first from the target against the edge direction, ``hops`` levels to a stored round.  A node keeps the
+    hop at which it was first reached and the smallest node one hop nearer: the smallest path goes through it, so
+    no path is carried along.  What a later level of a round finds again is dropped at its end, and changes nothing
+    before: whatever leads to a known node was reached no later than one hop after it.  The paths are put together
+    at the end, by joins that double their length.
     """
     spark = edges.sparkSession
     e = write_through(edges.select("src", "dst").distinct(), "edges")
     t = e.schema["dst"].dataType
     rounds = _Rounds(spark, "paths")
-    level = rounds.add(spark.range(1).select(F.lit(target).cast(t).alias("node"), F.array(F.lit(target).cast(t)).alias("path")))
-    while not level.isEmpty():
-        step = (level.join(e, level.node == e.dst)
-                .select(F.col("src").alias("node"), F.concat(F.array(F.col("src")), F.col("path")).alias("path")))
-        step = step.join(rounds.all().select("node"), "node", "left_anti")
-        level = rounds.add(step.groupBy("node").agg(F.min("path").alias("path")))
-    return rounds.all().select(
-        F.col("node").alias("asset"),
-        F.array_join(F.transform("path", lambda x: x.cast("string")), "->").alias("path"),
-        (F.size("path") - 1).alias("hops"))
+    start = rounds.add(spark.range(1).select(F.lit(target).cast(t).alias("node"), F.lit(None).cast(t).alias("next"), F.lit(0).alias("hops")))
+    done = 0
+    while not start.isEmpty():
+        levels = [start]
+        for hop in range(done + 1, done + hops + 1):
+            nearer = levels[-1].select("node")
+            levels.append(nearer.join(e, nearer["node"] == e["dst"]).groupBy(F.col("src").alias("node")).agg(
+                F.min("dst").alias("next")).withColumn("hops", F.lit(hop)))
+        found = reduce(DataFrame.unionByName, levels[1:]).groupBy("node").agg(F.min(F.struct("hops", "next")).alias("best"))
+        new = rounds.add(found.join(rounds.all().select("node"), "node", "left_anti").select("node", "best.next", "best.hops"))
+        done += hops
+        start = new.where(F.col("hops") == done)
+    paths = rounds.all().select("node", "next", F.col("node").cast("string").alias("path"), "hops")
+    longest, reach = paths.agg(F.max("hops")).head()[0], 1
+    while reach <= longest:
+        tails = paths.select(F.col("node").alias("_n"), F.col("next").alias("_next"), F.col("path").alias("_path"))
+        paths = paths.join(tails, paths["next"] == tails["_n"], "left").select(
+            "node", F.col("_next").alias("next"), F.concat_ws("->", "path", "_path").alias("path"), "hops")
+        paths, reach = write_through(paths, "paths"), 2 * reach
+    return paths.select(F.col("node").alias("asset"), "path", "hops")
 
 
 def risk_level(affected: Column, transforms: Column) -> Column:

@@ -17,11 +17,13 @@ Derived operators
 -----------------
 global_row_number  ROW_NUMBER() OVER (ORDER BY ...) without a single-task window
 lead_in_group      LEAD(v) OVER (PARTITION BY k ORDER BY ...) without a per-key task
+quantiles_in_group exact interpolated quantiles per group by rank selection, without a buffer per group
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -107,3 +109,37 @@ def lead_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
         same = eq if same is None else same & eq
     out = joined.withColumn(name, F.when(cand.isNotNull() & same, cand["_v"]))
     return out.drop(PID, POS, "_next", "_last", "_after")
+
+
+def quantiles_in_group(counts: DataFrame, group: str, value: str, n: str, shares: Mapping[str, float],
+                       num_partitions: int | None = None) -> DataFrame:
+    """(group, one column per share): exact interpolated quantiles of ``value`` that occurs ``n`` times per row.
+
+    ``counts`` has one row per (group, value).  The values are range-partitioned by (group, value); the ranks before
+    a row are the counts before it in its partition and those of its group in earlier partitions, a table with a row
+    per group and partition it lies in.  The two values around each quantile's rank are picked by that rank, so a
+    group may have any number of distinct values: no task and no buffer holds it whole.
+    """
+    seq = ranged(counts.select(F.col(group).alias("_g"), F.col(value).alias("_x"), F.col(n).alias("_n")), ["_g", "_x"], num_partitions)
+    pieces = seq.groupBy("_g", PID).agg(F.sum("_n").alias("_here"))
+    earlier = Window.partitionBy("_g").orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("_g")
+    pieces = pieces.select(F.col("_g").alias("_pg"), F.col(PID).alias("_pp"),
+                           F.coalesce(F.sum("_here").over(earlier), F.lit(0)).alias("_before"), F.sum("_here").over(whole).alias("_all"))
+    inside = Window.partitionBy(PID, "_g").orderBy(POS).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = (seq.withColumn("_skip", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+             .join(pieces, (F.col(PID) == F.col("_pp")) & F.col("_g").eqNullSafe(F.col("_pg")))
+             .withColumn("_first", F.col("_before") + F.col("_skip")))
+    low, high = F.col("_first"), F.col("_first") + F.col("_n")
+    at = {name: (F.col("_all") - 1).cast("double") * F.lit(q) for name, q in shares.items()}
+    holds = lambda rank: (rank >= low) & (rank < high)
+    picked = ranks.where(reduce(Column.__or__, [holds(F.floor(p)) | holds(F.ceil(p)) for p in at.values()]))
+    aggs = []
+    for i, p in enumerate(at.values()):
+        aggs += [F.max(F.when(holds(F.floor(p)), F.col("_x"))).cast("double").alias(f"_lo{i}"),
+                 F.max(F.when(holds(F.ceil(p)), F.col("_x"))).cast("double").alias(f"_hi{i}"), F.max(p).alias(f"_at{i}")]
+    ends = picked.groupBy("_g").agg(*aggs)
+    return ends.select(F.col("_g").alias(group), *[
+        F.when(F.floor(f"_at{i}") == F.ceil(f"_at{i}"), F.col(f"_lo{i}")).otherwise(
+            (F.ceil(f"_at{i}") - F.col(f"_at{i}")) * F.col(f"_lo{i}") + (F.col(f"_at{i}") - F.floor(f"_at{i}")) * F.col(f"_hi{i}")).alias(name)
+        for i, name in enumerate(shares)])

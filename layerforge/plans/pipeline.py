@@ -19,13 +19,14 @@ from pyspark.sql import functions as F
 
 from layerforge import schemas as SCH
 from layerforge.operators import quality as Q
+from layerforge.operators.history import store_alerts, threshold_alerts
 from layerforge.plans.gold import build_gold, fact_sales
 from layerforge.plans.silver import build_silver, stamp
 from layerforge.plans.validation import all_checks
 from layerforge.plans.warehouse import Layers, run_parallel
 from layerforge.sources.feeds import load_feeds
 from layerforge.sources.files import (
-    create_layer_schemas, publish, publish_bucketed, read_current, replace_partitions,
+    create_layer_schemas, exists, publish, publish_bucketed, read_current, replace_partitions,
 )
 from layerforge.sources.standins import bronze_tables
 
@@ -173,8 +174,20 @@ def layer_metrics(spark: SparkSession, result: RunResult) -> DataFrame:
         data, "layer string, table_name string, row_count long, table_seconds double, layer_seconds double")
 
 
+def _run_metrics(spark: SparkSession, result: RunResult, history_root: str, total: int, error_rate: float | None) -> DataFrame:
+    """(run_id, metric_name, value) that have a threshold: duration, share of failed checks, change of volume against the run before."""
+    values = {"pipeline_duration": float(sum(result.layer_seconds.values())), "error_rate": error_rate}
+    if exists(spark, f"{history_root}/pipeline_runs"):
+        before = read_history(spark, history_root)["pipeline_runs"].where(
+            (F.col("id") != result.run_id) & (F.col("status") == "COMPLETED")).orderBy(F.col("created_at").desc()).head()
+        if before is not None and before["total_records"] and total:
+            values["data_volume_change"] = abs(total - before["total_records"]) / before["total_records"]
+    return spark.createDataFrame([(result.run_id, name, float(v)) for name, v in values.items() if v is not None],
+                                 "run_id long, metric_name string, value double")
+
+
 def record_run(spark: SparkSession, result: RunResult, history_root: str, failure: Exception | None = None) -> None:
-    """Add the run, its check results and its table counts to the history tables.
+    """Add the run, its check results, its table counts and the alerts it raises to the history tables.
 
     The checks run once: their rows are stored first and the run's score is read from the stored
     rows.  A run that failed has status FAILED and one error.  Tables are partitioned by run, so a
@@ -182,7 +195,7 @@ def record_run(spark: SparkSession, result: RunResult, history_root: str, failur
     """
     own = F.lit(result.run_id).cast("long")
     numbered = lambda *by: own * 10_000 + F.row_number().over(Window.orderBy(*by))  # noqa: E731  (a few rows)
-    score, errors = None, 0
+    score, errors, n_checks = None, 0, 0
     if failure is None and result.checks is not None:
         checks = result.checks.select(
             numbered("check_name").alias("id"), own.alias("run_id"), "check_name", F.col("category").alias("check_category"),
@@ -190,10 +203,13 @@ def record_run(spark: SparkSession, result: RunResult, history_root: str, failur
         path = f"{history_root}/data_quality_checks"
         replace_partitions(_typed(checks, SCH.DATA_QUALITY_CHECKS), path, "run_id")
         stored = spark.read.schema(SCH.DATA_QUALITY_CHECKS).parquet(path).where(F.col("run_id") == result.run_id)
-        score, errors = stored.agg(F.avg("score"), F.count_if(~F.col("passed"))).head()
+        score, errors, n_checks = stored.agg(F.avg("score"), F.count_if(~F.col("passed")), F.count(F.lit(1))).head()
+    total = sum(result.table_rows.values())
+    store_alerts(threshold_alerts(_run_metrics(spark, result, history_root, total, errors / n_checks if n_checks else None)),
+                 history_root, result.run_id)
     run = spark.createDataFrame(
         [(result.run_id, result.started, "COMPLETED" if failure is None else "FAILED",
-          float(sum(result.layer_seconds.values())), sum(result.table_rows.values()), score, int(errors) if failure is None else 1)],
+          float(sum(result.layer_seconds.values())), total, score, int(errors) if failure is None else 1)],
         "id long, run_timestamp timestamp_ntz, status string, duration_seconds double, total_records long, "
         "data_quality_score double, error_count long").withColumn("created_at", F.localtimestamp())
     replace_partitions(_typed(run, SCH.PIPELINE_RUNS).withColumn("run_id", F.col("id")), f"{history_root}/pipeline_runs", "run_id")

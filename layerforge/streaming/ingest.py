@@ -11,9 +11,10 @@ a lost executor only repeats its micro-batch.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from layerforge.sources import merge_table as MT
 from layerforge.sources.files import _CSV_OPTS
 
 
@@ -33,3 +34,17 @@ def ingest_csv_folder(spark: SparkSession, landing: str, schema: T.StructType, t
              .trigger(availableNow=True)
              .start())
     query.awaitTermination()
+
+
+def keep_latest(stream: DataFrame, table: MT.MergeTable, checkpoint: str) -> None:
+    """Keep the newest row per key of a stream in a merge-on-read table; runs until what is available is taken.
+
+    The table is the state: durable, keyed and shared with its readers, so no row is too late for a watermark and
+    no state store has to hold all keys.  A micro-batch is one change file.  Taking the newest row per key again
+    changes nothing, so a batch that is replayed after a failure leaves the same rows: exactly once in effect.
+    """
+    def put(batch: DataFrame, _: int) -> None:
+        MT.load(batch.sparkSession, table, batch)
+
+    (stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start().awaitTermination())

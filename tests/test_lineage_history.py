@@ -1,5 +1,7 @@
 """Lineage closure (with a cycle), warehouse lineage, history and alert operators."""
 
+import random
+
 import datetime as dt
 
 from pyspark.sql import Window
@@ -54,6 +56,24 @@ def test_shortest_path_prefers_fewer_hops(spark):
     assert got["t"] == ("t", 0)
 
 
+def test_paths_equal_a_plain_search_on_graphs_with_cycles(spark):
+    rng = random.Random(4)
+    names = [f"n{i:02d}" for i in range(24)]
+    pairs = list({(rng.choice(names), rng.choice(names)) for _ in range(40)}) + list(zip(names, names[1:])) + [("n05", "n05")]
+    best, level = {"n23": ("n23",)}, {"n23": ("n23",)}
+    while level:
+        step = {}
+        for a, b in pairs:
+            if b in level and a not in best:
+                step[a] = min(step.get(a, ("~",)), (a, *level[b]))
+        best.update(step)
+        level = step
+    wanted = {k: ("->".join(p), len(p) - 1) for k, p in best.items()}
+    for hops in (1, 4):
+        got = {r.asset: (r.path, r.hops) for r in LN.shortest_paths_to(_edges(spark, pairs), "n23", hops).collect()}
+        assert got == wanted
+
+
 def test_threshold_alert_severity(spark):
     m = spark.createDataFrame([(1, "pipeline_duration", 650.0), (2, "pipeline_duration", 800.0),
                                (3, "pipeline_duration", 100.0)], "run_id long, metric_name string, value double")

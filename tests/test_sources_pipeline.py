@@ -173,7 +173,16 @@ def test_pipeline_run_records_history(spark):
     assert H.recent_runs(history["pipeline_runs"], 1).first().id == 9
     assert H.history_summary(history["pipeline_runs"], str(runs[0].created_at)).first().success_rate == 50.0
     assert H.latest_run_checks(history["data_quality_checks"], history["pipeline_runs"].where("id = 7")).count() == res.checks.count()
+    alerts = spark.read.parquet(f"{root}/history/alerts").collect()  # some checks fail, so the run raises an alert
+    assert [(r.run_id, r.metric_name) for r in alerts] == [(7, "error_rate")] and alerts[0].value > alerts[0].threshold == 0.05
     PL.record_run(spark, res, f"{root}/history")  # a retried run replaces its rows
+    assert spark.read.parquet(f"{root}/history/alerts").count() == 1
+    more = PL.RunResult(11, None, {t: 2 * n for t, n in res.table_rows.items()}, res.table_seconds)
+    more.started, more.layer_seconds = res.started, {"bronze": 650.0, "silver": 100.0}
+    PL.record_run(spark, more, f"{root}/alerts-only")
+    PL.record_run(spark, res, f"{root}/alerts-only")
+    raised = {(r.run_id, r.metric_name): r.severity for r in spark.read.parquet(f"{root}/alerts-only/alerts").collect()}
+    assert raised[(11, "pipeline_duration")] == "CRITICAL" and raised[(7, "data_volume_change")] == "CRITICAL"
     assert spark.read.parquet(f"{root}/history/pipeline_runs").where("id = 7").count() == 1
     assert spark.read.parquet(f"{root}/history/table_metrics").count() == len(res.table_rows)
     n_checks = spark.read.parquet(f"{root}/history/data_quality_checks").count()

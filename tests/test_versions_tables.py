@@ -11,7 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from layerforge.operators import quality as Q
-from layerforge.operators.extras import snapshot_diff
+from layerforge.operators.extras import group_stats, snapshot_diff
+from layerforge.operators.sequence import quantiles_in_group
 from layerforge.operators.windows import dedup_latest, scd2_intervals
 from layerforge.plans import bi
 from layerforge.sources import check_states as CS
@@ -22,6 +23,7 @@ from layerforge.sources import interval_table as IT
 from layerforge.sources import merge_table as MT
 from layerforge.sources import snapshots as SN
 from layerforge.sources import versions as V
+from layerforge.streaming.ingest import keep_latest
 
 
 def _rows(df):
@@ -468,3 +470,50 @@ def test_layers_are_built_anew_for_new_files(spark, tmp_path):
     assert _state_of(spark, str(tmp_path)) == before
     spark.range(9).write.mode("append").parquet(f"{tmp_path}/t.parquet")
     assert _state_of(spark, str(tmp_path)) != before
+
+
+# -- quantiles and streams ----------------------------------------------------
+
+def test_quantiles_by_rank_have_no_group_buffer(spark):
+    import numpy as np
+
+    rng = random.Random(6)
+    rows = [(rng.choice(["a", "b", None]), rng.randint(-50, 50)) for _ in range(400)] + [("one", 7), ("two", 1), ("two", 2)]
+    rows += [("wide", i * 3) for i in range(5000)] + [("same", 4)] * 30
+    df = spark.createDataFrame(rows, "g string, x long")
+    counts = df.groupBy("g", "x").count()
+    shares = {"q0": 0.0, "q1": 0.25, "q2": 0.5, "q9": 0.9, "q": 1.0}
+    found = quantiles_in_group(counts, "g", "x", "count", shares, num_partitions=7)
+    assert "percentile" not in found._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.g: tuple(r)[1:] for r in found.collect()}
+    for g in {g for g, _ in rows}:
+        assert np.allclose(got[g], [np.quantile([x for h, x in rows if h == g], q) for q in shares.values()])
+    stats = {r.g: (r.q1, r.q3) for r in group_stats(df, "g", "x").collect()}
+    assert stats["wide"] == (3749.25, 11247.75) and stats["same"] == (4.0, 4.0) and None in stats
+    assert group_stats(df.limit(0), "g", "x").collect() == []
+
+
+def test_a_stream_restarts_where_it_failed(spark, tmp_path, monkeypatch):
+    rng, table = random.Random(9), MT.MergeTable(str(tmp_path / "t"), ("a", "b"), "d", buckets=4)
+    rows = _feed(rng, 200)
+    landing, checkpoint = f"{tmp_path}/in", f"{tmp_path}/ck"
+    put = lambda i: spark.createDataFrame(rows[i::4], FEED).coalesce(1).write.parquet(f"{landing}/{i}")
+    stream = lambda: spark.readStream.schema(FEED).option("maxFilesPerTrigger", 1).parquet(f"{landing}/*")
+    put(0), put(1)
+    load = MT.load
+
+    def fails_after_writing(s, t, batch):
+        load(s, t, batch)
+        raise OSError("lost after the commit")
+
+    monkeypatch.setattr(MT, "load", fails_after_writing)
+    with pytest.raises(Exception):
+        keep_latest(stream(), table, checkpoint)
+    monkeypatch.setattr(MT, "load", load)
+    put(2), put(3)
+    keep_latest(stream(), table, checkpoint)  # the first batch is taken again
+    assert _rows(MT.read(spark, table)) == _rows(dedup_latest(spark.createDataFrame(rows, FEED), ["a", "b"], "d", drop_null_keys=False))
+    n = V.newest(spark, table.base).n
+    assert n == 5
+    keep_latest(stream(), table, checkpoint)
+    assert V.newest(spark, table.base).n == n
