@@ -64,16 +64,20 @@ def closure(edges: DataFrame, reverse: bool = False, method: str = "doubling",
     log2(d) + 1 rounds.  ``linear``, and always with ``start``: the frontier
     joined with the edges, d rounds with the least work per round.
     """
-    e = _directed(edges, reverse)
+    return pairs_from(_directed(edges, reverse), start, method).select(F.col("a").alias("asset"), F.col("b").alias("reached"))
+
+
+def pairs_from(e: DataFrame, start: DataFrame | None, method: str = "linear") -> DataFrame:
+    """``closure`` over stored, distinct edges (a, b), as pairs (a, b)."""
     first = e if start is None else e.join(start.select(F.col("asset").alias("a")).distinct(), "a", "left_semi")
-    rounds = _Rounds(edges.sparkSession, "closure")
+    rounds = _Rounds(e.sparkSession, "closure")
     frontier = rounds.add(first)
     while not frontier.isEmpty():
         right = rounds.all() if method == "doubling" and start is None else e
         step = (frontier.alias("f").join(right.alias("e"), F.col("f.b") == F.col("e.a"))
                 .select(F.col("f.a").alias("a"), F.col("e.b").alias("b")).distinct())
         frontier = rounds.add(step.join(rounds.all(), ["a", "b"], "left_anti"))
-    return rounds.all().select(F.col("a").alias("asset"), F.col("b").alias("reached"))
+    return rounds.all()
 
 
 def reached_from(edges: DataFrame, start: DataFrame, reverse: bool = False) -> DataFrame:
@@ -133,10 +137,15 @@ def risk_level(affected: Column, transforms: Column) -> Column:
             .otherwise(F.lit("LOW")))
 
 
-def impact(edges: DataFrame, downstream: DataFrame) -> DataFrame:
-    """Per asset (as the changed one): affected assets, direct transformations, risk band."""
+def impact(edges: DataFrame, downstream: DataFrame | None = None, counts: DataFrame | None = None) -> DataFrame:
+    """Per asset (as the changed one): affected assets, direct transformations, risk band.
+
+    The affected are counted from the pairs ``downstream``, or given by ``counts`` (``reach.reach_counts``), which
+    needs no pairs.
+    """
     assets = edges.select(F.col("src").alias("asset")).union(edges.select(F.col("dst").alias("asset"))).distinct()
-    affected = downstream.groupBy("asset").agg(F.count(F.lit(1)).cast("long").alias("affected_assets"))
+    affected = (downstream.groupBy("asset").agg(F.count(F.lit(1)).cast("long").alias("affected_assets")) if counts is None
+                else counts.select("asset", F.col("n_downstream").alias("affected_assets")))
     direct = edges.groupBy(F.col("src").alias("asset")).agg(
         F.count("dst").cast("long").alias("affected_transformations"))  # each edge is one use by one transformation
     out = assets.join(affected, "asset", "left").join(direct, "asset", "left").fillna(
@@ -170,8 +179,15 @@ def dependency_lists(edges: DataFrame, start: DataFrame) -> DataFrame:
     return start.select("asset").distinct().join(lists(True), "asset", "left").join(lists(False), "asset", "left")
 
 
-def report(edges: DataFrame, downstream: DataFrame, layer_of: DataFrame | None = None) -> DataFrame:
-    """Per asset: its layer, how many assets it depends on and how many it impacts."""
+def report(edges: DataFrame, downstream: DataFrame | None = None, layer_of: DataFrame | None = None,
+           counts: DataFrame | None = None) -> DataFrame:
+    """Per asset: its layer, how many assets it depends on and how many it impacts.
+
+    Counted from the pairs ``downstream``, or given by ``counts`` (``reach.reach_counts``), which needs no pairs.
+    """
+    if counts is not None:
+        out = counts.select("asset", "n_upstream", "n_downstream")
+        return out.join(layer_of, "asset", "left") if layer_of is not None else out
     assets = edges.select(F.col("src").alias("asset")).union(edges.select(F.col("dst").alias("asset"))).distinct()
     down = downstream.groupBy("asset").agg(F.count(F.lit(1)).cast("long").alias("n_downstream"))
     up = downstream.groupBy(F.col("reached").alias("asset")).agg(F.count(F.lit(1)).cast("long").alias("n_upstream"))
