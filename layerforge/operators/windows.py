@@ -93,7 +93,8 @@ def asof_join(facts: DataFrame, versions: DataFrame, fact_key: str, version_key:
     # them at most one version starts per (key, date), so the order among rows
     # of equal (key, date, tag) does not change the result and a 64-bit hash
     # serves as the tie-break (a cheap primitive sort key, not whole structs).
-    live = versions.where(F.col(end).isNull() | (F.to_date(F.col(end)) >= F.to_date(F.col(start))))
+    # A version without a start holds no date either.
+    live = versions.where(F.col(start).isNotNull()).where(F.col(end).isNull() | (F.to_date(F.col(end)) >= F.to_date(F.col(start))))
     v = live.select(F.col(version_key).alias("_k"), F.to_date(F.col(start)).alias("_d"), F.lit(0).alias("_tag"),
                     F.struct(*vcols).alias("_v"), F.lit(None).cast(f_t).alias("_f"))
     u = f.unionByName(v).withColumn("_h", F.xxhash64("_v", "_f"))

@@ -1,6 +1,7 @@
 """Properties of dedup, SCD-2 intervals and surrogate keys, including a hot key."""
 
 import datetime as dt
+import random
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -81,6 +82,23 @@ def test_asof_join_picks_the_valid_version(spark):
     assert got == [(dt.date(2019, 12, 31), None), (dt.date(2020, 1, 15), "a"), (dt.date(2021, 1, 1), "b")]
 
 
+def test_asof_join_equals_a_range_join(spark):
+    rng, day = random.Random(3), lambda n: None if n is None else dt.date(2020, 1, 1) + dt.timedelta(n)
+    versions = []
+    for key in range(6):  # key 0 has a long history, empty intervals and gaps between some
+        starts = sorted(rng.sample(range(400), 120 if key == 0 else 3))
+        for i, (s, n) in enumerate(zip(starts, [*starts[1:], None])):
+            versions.append((key, day(s), day(None if n is None else n - rng.choice((1, 1, 4))), f"{key}-{i}"))
+    versions += [(1, None, None, "no start"), (None, day(0), None, "no key")]
+    facts = [(rng.choice((0, 0, 1, 2, 3, 9, None)), day(rng.choice((None, *range(-5, 420)))), n // 2) for n in range(900)]
+    v = spark.createDataFrame(versions, "k int, s date, e date, tag string")
+    f = spark.createDataFrame(facts, "fk int, d date, s int")  # a name that the versions have too
+    got = asof_join(f, v, "fk", "k", "d", "s", "e", num_partitions=7).toDF("fk", "d", "n", "vk", "vs", "ve", "tag")
+    held = lambda k, d: next((x[3] for x in versions if k is not None and d and x[0] == k and x[1]
+                              and x[1] <= d and (x[2] is None or d <= x[2])), None)
+    assert sorted(map(repr, ((r.fk, r.d, r.n, r.tag) for r in got.collect()))) == sorted(repr((*x, held(x[0], x[1]))) for x in facts)
+
+
 def test_no_single_partition_window_in_key_plan(spark):
     df = _hot_rows(spark)
     out = global_row_number(df, ["k", "d", "id"], "rn")
