@@ -114,7 +114,9 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Schemas) -> D
     named = _named()
     once = stage(_first_calls(calls), "calls")
     answers = _first_results(results).withColumn("answered", F.lit(True))
-    linked = once.join(call_levels(once), ["conv_id", "call_id"]).join(answers, ["conv_id", "call_id"], "full")
+    # Both sides have one row an id, so a task's hash table holds its share of the ids, whatever their calls.
+    linked = once.join(call_levels(once).hint("shuffle_hash"), ["conv_id", "call_id"]).join(
+        answers.hint("shuffle_hash"), ["conv_id", "call_id"], "full")
     nowhere = calls.where(~named).select(
         "conv_id", "call_id", "turn", "after", "name", "arguments", F.lit(False).alias("lost"),
         F.lit(None).cast("long").alias("level"), F.lit(None).cast("string").alias("content"),
