@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import json
+import math
 import random
 import re
 import struct
@@ -563,3 +564,40 @@ def test_training_sample_is_bounded_in_chains(spark, monkeypatch):
     assert len(few) == 9 and max(map(len, few)) <= 48
     places = [k for k, x in enumerate(cut[:41]) for y in few if x.shape == y.shape and np.array_equal(x, y)]
     assert len(places) > 4 and max(places) > 12  # not the first ones of the long document
+
+
+def test_calls_meet_results_in_hash_joins(spark):
+    calls = spark.createDataFrame(CALLS, "conv_id long, turn long, call_id string, after string, name string, arguments string")
+    results = spark.createDataFrame(RESULTS, "conv_id long, call_id string, content string")
+    plan = chat_tools.link_tool_calls(calls, results, chat_tools.CHAT_SCHEMAS)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ShuffledHashJoin") == 2 and "SortMergeJoin" not in plan
+
+
+def _plain_quality(text, field):
+    """The score by sums over the two labels, line by line in plain Python, in logarithms."""
+    own, weight = crf_quality.line_features(text)
+    at = lambda k: own[k].tolist() if 0 <= k < len(own) else [0.0] * own.shape[1]
+    last = len(own) - 1
+    rows = [at(k) + at(k - 1) + at(k + 1) + [float(k == 0), float(k == last)] for k in range(len(own))]
+    emit = [(0.0, sum(x * w for x, w in zip(row, field.weights.tolist()))) for row in rows]
+    add = lambda x, y: max(x, y) + math.log1p(math.exp(-abs(x - y)))
+    forth, back = [emit[0]], [(0.0, 0.0)]
+    for e in emit[1:]:
+        forth.append(tuple(e[y] + add(forth[-1][0] + field.steps[0, y], forth[-1][1] + field.steps[1, y]) for y in (0, 1)))
+    for e in reversed(emit[1:]):
+        back.append(tuple(add(field.steps[y, 0] + e[0] + back[-1][0], field.steps[y, 1] + e[1] + back[-1][1]) for y in (0, 1)))
+    total = add(*forth[-1])
+    good = [math.exp(f[1] + b[1] - total) for f, b in zip(forth, reversed(back))]
+    return sum(g * w for g, w in zip(good, weight.tolist())) / sum(weight.tolist())
+
+
+def test_every_score_equals_a_plain_chain(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    field = crf_quality.train(docs, spark.read.parquet("/root/testdata/sf0.001/labels.parquet"))
+    assert field.constant is None
+    texts = {r.doc_id: r.text or "" for r in docs.select("doc_id", "text").collect()}
+    rows = crf_quality.score_documents(docs, field).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert math.isclose(r.score, _plain_quality(texts[r.doc_id], field), abs_tol=1e-9)
+        assert r.predicted == int(r.score >= 0.3) and r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
