@@ -30,7 +30,10 @@ from layerforge.llm.common import stage
 from layerforge.llm.components import components
 from layerforge.llm.exact_topk import finite
 
-COSINE, TILE, STEP, CHUNK = 0.95, 4096, 16, 512
+COSINE, STEP = 0.95, 16
+PRODUCTS = 1 << 21  # products of leading dimensions held at a time
+TILE_BYTES = 8 << 20  # of the vectors of one tile; a group holds two tiles
+LINKS = 4096  # links taken into the forest between two looks at who is joined already
 SLACK = 1e-4  # of single precision, far above its rounding error
 
 
@@ -61,9 +64,9 @@ def _moments(width: int):
 def principal_axes(vectors: DataFrame, width: int) -> np.ndarray:
     """Columns: principal directions of the unit vectors, strongest first."""
     moments = vectors.mapInArrow(_moments(width), "i int, j int, x double").groupBy("i", "j").agg(F.sum("x").alias("x"))
+    i, j, x = (c.to_numpy() for c in moments.toArrow().columns)  # width * (width + 1) / 2 rows
     m = np.zeros((width, width))
-    for r in moments.collect():  # width * (width + 1) / 2 rows
-        m[r["i"], r["j"]] = m[r["j"], r["i"]] = r["x"]
+    m[i, j] = m[j, i] = x
     return np.linalg.eigh(m)[1][:, ::-1]
 
 
@@ -89,8 +92,9 @@ def compare_tiles(x: np.ndarray, y: np.ndarray | None, axes: np.ndarray, cosine:
     width = len(axes)
     cuts = list(range(step, width, step))
     tails = {c: (np.linalg.norm(px[:, c:], axis=1), np.linalg.norm(py[:, c:], axis=1)) for c in cuts}
-    for at in range(0, len(x), CHUNK):
-        own = slice(at, min(len(x), at + CHUNK))
+    chunk = max(1, PRODUCTS // len(y))
+    for at in range(0, len(x), chunk):
+        own = slice(at, min(len(x), at + chunk))
         shift = at if same else 0
         lead = min(step, width)
         # The suffix norms as one more coordinate: product of the leading ones plus the bound.
@@ -114,6 +118,37 @@ def compare_tiles(x: np.ndarray, y: np.ndarray | None, axes: np.ndarray, cosine:
             yield pi[linked], pj[linked]
 
 
+class Forest:
+    """A spanning forest of the links of one group; links inside a tree cost one array look-up."""
+
+    def __init__(self, nodes: int):
+        self.tree, self.edges = np.arange(nodes), []
+
+    def join(self, i: np.ndarray, j: np.ndarray) -> None:
+        for at in range(0, len(i), LINKS):
+            p, q = i[at:at + LINKS], j[at:at + LINKS]
+            apart = np.flatnonzero(self.tree[p] != self.tree[q])
+            if not len(apart):
+                continue
+            parent = self.tree.tolist()
+
+            def root(k: int) -> int:
+                while parent[k] != k:
+                    parent[k] = parent[parent[k]]
+                    k = parent[k]
+                return k
+
+            for a, b in zip(p[apart].tolist(), q[apart].tolist()):
+                u, v = root(a), root(b)
+                if u != v:
+                    parent[v] = u
+                    self.edges.append((a, b))
+            tree = np.array(parent)
+            while (tree != tree[tree]).any():
+                tree = tree[tree]
+            self.tree = tree
+
+
 def tile_links(group: pd.DataFrame, axes: np.ndarray, cosine: float) -> pd.DataFrame:
     """Of one pair of tiles: (a, null, n) link counts and (a, b, 0) a spanning forest."""
     x, y = group[group["left"]], group[~group["left"]]
@@ -122,32 +157,26 @@ def tile_links(group: pd.DataFrame, axes: np.ndarray, cosine: float) -> pd.DataF
     width = len(axes)
     vx, vy = (np.frombuffer(b"".join(t["vector"]), np.float64).reshape(len(t), width) for t in (x, y))
     alone = bool(group["alone"].iat[0])
-    counts, parent, forest = np.zeros(len(cls), np.int64), list(range(len(cls))), []
-
-    def root(k: int) -> int:
-        while parent[k] != k:
-            parent[k] = parent[parent[k]]
-            k = parent[k]
-        return k
-
+    counts, forest = np.zeros(len(cls), np.int64), Forest(len(cls))
     if len(x) and (alone or len(y)):
         for i, j in compare_tiles(vx, None if alone else vy, axes, cosine):
             j = j if alone else j + len(x)
-            np.add.at(counts, i, copies[j])
-            np.add.at(counts, j, copies[i])
-            for p, q in zip(i.tolist(), j.tolist()):
-                p, q = root(p), root(q)
-                if p != q:
-                    parent[q] = p
-                    forest.append((cls[p], cls[q]))
+            for p, q in ((i, j), (j, i)):
+                counts += np.bincount(p, copies[q], len(cls)).astype(np.int64)
+            forest.join(i, j)
+    edges = np.array(forest.edges, np.int64).reshape(-1, 2)
     some = np.flatnonzero(counts)
-    return pd.DataFrame({"a": np.concatenate([cls[some], [e[0] for e in forest]]).astype("int64"),
-                         "b": pd.array([None] * len(some) + [e[1] for e in forest], dtype="Int64"),
-                         "n": np.concatenate([counts[some], np.zeros(len(forest))]).astype("int64")})
+    return pd.DataFrame({"a": np.concatenate([cls[some], cls[edges[:, 0]]]).astype("int64"),
+                         "b": pd.array([None] * len(some) + cls[edges[:, 1]].tolist(), dtype="Int64"),
+                         "n": np.concatenate([counts[some], np.zeros(len(edges))]).astype("int64")})
+
 
+def near_embeddings(vectors: DataFrame, cosine: float = COSINE, tile: int | None = None) -> DataFrame:
+    """vec_id, n_links, component_id, kept for every row of ``vectors``.
 
-def near_embeddings(vectors: DataFrame, cosine: float = COSINE, tile: int = TILE) -> DataFrame:
-    """vec_id, n_links, component_id, kept for every row of ``vectors``."""
+    ``tile``: vectors of a tile, by default as many as fill ``TILE_BYTES``.  A vector is sent once to every tile
+    that it meets, so wide tiles mean few copies.
+    """
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
     able = F.coalesce(finite("embedding") & F.exists("embedding", lambda v: v != 0), F.lit(False))
     classes = stage(rows.where(able).groupBy("embedding").agg(
@@ -158,6 +187,7 @@ def near_embeddings(vectors: DataFrame, cosine: float = COSINE, tile: int = TILE
                                     F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
     if width is None:
         return idle
+    tile = tile or max(1, TILE_BYTES // (8 * width))
     axes = principal_axes(classes.select("embedding"), width)
     reach = math.sqrt(2 - 2 * cosine) + 1e-9
     turned = stage(classes.select("cls", "copies", "embedding").mapInArrow(

@@ -279,6 +279,38 @@ def test_pca_near(vectors, tile):
     _same(pca_near.near_embeddings(vectors, tile=tile).collect(), _brute_links(VECTORS, 0.95))
 
 
+def test_pca_near_cluster_of_near_copies(spark):
+    rng = np.random.default_rng(8)
+    center = rng.normal(size=12)
+    far = rng.normal(size=(40, 12))
+    near = center + rng.normal(scale=0.2, size=(3000, 12))
+    m = np.concatenate([near, far])
+    unit = m / np.linalg.norm(m, axis=1, keepdims=True)
+    links = unit @ unit.T >= 0.95
+    ids = rng.permutation(len(m))
+    first = ids.copy()
+    while (least := np.where(links, first, len(m)).min(axis=1)).tolist() != first.tolist():
+        first = least
+    wanted = [(int(i), int(n) - 1, int(f), bool(i == f)) for i, n, f in zip(ids, links.sum(axis=1), first)]
+    rows = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, m)], "vec_id long, embedding array<double>")
+    _same(pca_near.near_embeddings(rows, tile=700).collect(), wanted)
+    assert 0 < sum(w[1] for w in wanted) < 3000 * 3000
+
+
+def test_forest_joins_what_is_linked_and_no_more():
+    rng = np.random.default_rng(9)
+    i, j = rng.integers(0, 6000, (2, 20000))
+    i, j = i[i % 3 == j % 3], j[i % 3 == j % 3]
+    forest = pca_near.Forest(6000)
+    forest.join(i, j)
+    again = pca_near.Forest(6000)
+    again.join(*np.array(forest.edges).T)
+    assert len(forest.edges) == 6000 - len(np.unique(forest.tree))
+    same = {(a, b) for a, b in zip(forest.tree.tolist(), again.tree.tolist())}
+    assert len(same) == len(np.unique(forest.tree)) == len(np.unique(again.tree))
+    assert (forest.tree[i] == forest.tree[j]).all()
+
+
 def test_pca_near_empty_and_idle(spark, vectors):
     assert pca_near.near_embeddings(vectors.limit(0)).collect() == []
     idle = spark.createDataFrame([(1, None), (None, [0.0])], "vec_id long, embedding array<float>")
