@@ -5,7 +5,7 @@ import os
 import random
 import threading
 from collections import Counter
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -23,7 +23,7 @@ from layerforge.sources import interval_table as IT
 from layerforge.sources import merge_table as MT
 from layerforge.sources import snapshots as SN
 from layerforge.sources import versions as V
-from layerforge.streaming.ingest import keep_latest
+from layerforge.streaming.ingest import keep_latest, keep_latest_by_state
 
 
 def _rows(df):
@@ -517,3 +517,47 @@ def test_a_stream_restarts_where_it_failed(spark, tmp_path, monkeypatch):
     assert n == 5
     keep_latest(stream(), table, checkpoint)
     assert V.newest(spark, table.base).n == n
+
+
+def test_a_stream_with_state_drops_only_what_is_too_late(spark, tmp_path, monkeypatch):
+    schema = "k long, at timestamp, v long"
+    start = datetime(2024, 1, 1)
+    at = lambda day, hour=0: start + timedelta(days=day, hours=hour)
+    table = MT.MergeTable(str(tmp_path / "t"), ("k",), "at", buckets=4)
+    landing, checkpoint = f"{tmp_path}/in", f"{tmp_path}/ck"
+    stream = lambda: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{landing}/*")
+    taken = []
+
+    def put(i, rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{landing}/{i}")
+        taken.extend(rows)
+
+    def same_as_batch():
+        assert _rows(MT.read(spark, table)) == _rows(dedup_latest(spark.createDataFrame(taken, schema), ["k"], "at", drop_null_keys=False))
+
+    put(0, [(k, at(0, h), h) for k in (1, 2, None) for h in range(5)] + [(7, None, 1), (7, None, 2)])
+    assert keep_latest_by_state(stream(), table, checkpoint) == (0, 3)
+    same_as_batch()
+    put(1, [(1, at(0, 2), 99), (2, at(6), 5), (3, at(6), 6)])  # the first is outdated but not too late
+    load = MT.load
+
+    def fails_after_writing(s, t, batch):
+        load(s, t, batch)
+        raise OSError("lost after the commit")
+
+    monkeypatch.setattr(MT, "load", fails_after_writing)
+    with pytest.raises(Exception):
+        keep_latest_by_state(stream(), table, checkpoint)
+    monkeypatch.setattr(MT, "load", load)
+    run = keep_latest_by_state(stream(), table, checkpoint)  # the batch is taken again, from the state before it
+    same_as_batch()
+    assert run == (0, 2)  # the first day is behind the watermark and has left the store
+    put(2, [(2, at(5), 1), (3, at(7), 8), (1, None, 3)])
+    assert keep_latest_by_state(stream(), table, checkpoint).too_late == 0
+    same_as_batch()
+    spark.createDataFrame([(9, at(1), 1)], schema).coalesce(1).write.parquet(f"{landing}/3")
+    assert keep_latest_by_state(stream(), table, checkpoint).too_late == 1
+    same_as_batch()  # key 9 is not there
+    before = V.newest(spark, table.base).n
+    assert keep_latest_by_state(stream(), table, checkpoint).too_late == 0
+    assert V.newest(spark, table.base).n == before
