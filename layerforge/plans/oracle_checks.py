@@ -152,8 +152,8 @@ def ranges() -> list[str]:
     return out
 
 
-def all_checks() -> list[str]:
-    return (row_counts("Bronze", BRONZE_CTE) + retention() + completeness() + dtypes()
+def all_checks(types: list[str] | None = None) -> list[str]:
+    return (row_counts("Bronze", BRONZE_CTE) + retention() + completeness() + (types or dtypes())
             + row_counts("Gold", GOLD_CTE, "Accessibility") + integrity() + business())
 
 

@@ -22,9 +22,9 @@ from layerforge.operators import quality as Q
 from layerforge.operators.history import store_alerts, threshold_alerts
 from layerforge.plans.gold import build_gold, fact_sales
 from layerforge.plans.silver import build_silver, stamp
-from layerforge.plans.validation import all_checks
+from layerforge.plans.validation import TEXT_RULES, all_checks
 from layerforge.plans.warehouse import Layers, run_parallel
-from layerforge.sources.feeds import load_feeds
+from layerforge.sources.feeds import load_feeds, read_text
 from layerforge.sources.files import (
     create_layer_schemas, exists, publish, publish_bucketed, read_current, replace_partitions,
 )
@@ -152,7 +152,8 @@ def run_pipeline(spark: SparkSession, source: str | Mapping[str, str], root: str
         clean = {k: v.drop("dwh_create_date") for k, v in silver.items()}
         bronze = {k: v for k, v in bronze.items() if k in clean}
         result.layers = Layers(bronze, clean, gold)
-        result.checks = all_checks(result.layers, as_of)
+        feeds = {} if isinstance(source, str) else {t: read_text(spark, t, source[t]) for t in TEXT_RULES if t in source}
+        result.checks = all_checks(result.layers, as_of, feeds)
         record_run(spark, result, f"{root}/history")
     except Exception as e:
         record_run(spark, result, f"{root}/history", failure=e)

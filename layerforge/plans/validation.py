@@ -74,6 +74,12 @@ def ranges(layers: Layers) -> DataFrame:
     return Q.range_checks(layers.silver["crm_sales_details"], "crm_sales_details", RANGES)
 
 
+def text_measures(table: str) -> list[Q.Measure]:
+    """Type rules on the text of a feed, where a value can still be of the wrong type."""
+    absent = TEXT_MISSING.get(table, {})
+    return [Q.typed(f, r, absent.get(f)) for f, r in TEXT_RULES[table].items()]
+
+
 def table_measures(layer: str, table: str, as_of: str | None = None) -> list[Q.Measure]:
     """What the suite counts in one table."""
     if layer == "bronze":
@@ -97,13 +103,16 @@ def table_measures(layer: str, table: str, as_of: str | None = None) -> list[Q.M
 INTEGRITY = (("Customer", "dim_customers", "customer_key"), ("Product", "dim_products", "product_key"))
 
 
-def all_checks(layers: Layers, as_of: str | None = None) -> DataFrame:
+def all_checks(layers: Layers, as_of: str | None = None, text: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Every check of one run, as rows: one aggregate per table, and one join per dimension.
 
-    A table given as ``quality.Unreadable`` gives one failed row.
+    A table given as ``quality.Unreadable`` gives one failed row.  ``text``: feeds as read before typing; the type rules
+    of those tables look at them, as a typed column holds only what has passed already.
     """
-    parts = [Q.measured(df, layer, table, table_measures(layer, table, as_of))
+    text = {t: df for t, df in (text or {}).items() if t in TEXT_RULES}
+    parts = [Q.measured(df, layer, table, [] if layer == "bronze" and table in text else table_measures(layer, table, as_of))
              for layer in ("bronze", "silver", "gold") for table, df in getattr(layers, layer).items()]
+    parts += [Q.measured(df, "bronze", table, text_measures(table)).where("kind <> 'rows'") for table, df in text.items()]
     fact = layers.gold["fact_sales"]
     for label, dim, key in INTEGRITY:
         if not isinstance(fact, Q.Unreadable) and not isinstance(layers.gold[dim], Q.Unreadable):

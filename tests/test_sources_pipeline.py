@@ -62,6 +62,20 @@ def test_pipeline_from_feed_files(spark):
     assert res.table_rows[("gold", "fact_sales")] == spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
 
 
+def test_a_run_reports_values_of_the_wrong_type(spark):
+    """The typed load puts the line aside; the run's own type rules, on the text of the feed, name the field."""
+    root, tables = scratch_dir(spark, "wh-types"), standins.bronze_tables(spark, SF_SMALL)
+    cust = tables["crm_cust_info"].withColumn("cst_id", F.col("cst_id").cast("string"))
+    wrong = cust.limit(1).withColumn("cst_id", F.lit("none")).withColumn("cst_create_date", F.lit("1999-01-01").cast("date"))
+    paths = FE.write_feeds({**tables, "crm_cust_info": cust.unionByName(wrong)}, scratch_dir(spark, "feeds"))
+    res = PL.run_pipeline(spark, paths, root, run_id=4, as_of="2001-01-01")
+    assert res.table_rows[("bronze", "rejected_lines")] == 1
+    stored = {r.check_name: r for r in PL.read_history(spark, f"{root}/history")["data_quality_checks"].collect()}
+    ids, days = (stored[f"Bronze crm_cust_info.{c} - Data Types"] for c in ("cst_id", "cst_create_date"))
+    assert not ids.passed and ids.details.startswith("1 of ") and days.passed
+    assert "Bronze crm_sales_details.sls_quantity - Data Types" in stored
+
+
 def test_wide_keys_do_not_meet(spark):
     """Keys beyond the padded width, and ids beyond 32 bits, go through dimensions and fact without fan-out."""
     from layerforge.plans import gold, silver
