@@ -73,10 +73,10 @@ def load_feed(spark: SparkSession, name: str, path: str) -> Feed:
         raise ValueError(f"feed {name}: header {have} is not {SCH.EXPECTED_COLUMNS[name]}")
     read = FS.read_bronze_csv(spark, path, SCH.BRONZE[name], keep_corrupt=True)
     bad = F.col(FS.CORRUPT).isNotNull()
-    # Spark refuses to read the bad lines of a CSV file alone, so a declared column is looked at as well.
-    return Feed(read.where(~bad).drop(FS.CORRUPT),
-                read.where(bad & (F.length(F.coalesce(F.col(read.columns[0]).cast("string"), F.lit(""))) >= 0))
-                .select(F.lit(name).alias("feed"), F.col(FS.CORRUPT).alias("line")))
+    # Spark refuses to read the mark of bad lines alone (as a count would), so a declared column is looked at as well.
+    looked = F.length(F.coalesce(F.col(read.columns[0]).cast("string"), F.lit(""))) >= 0
+    return Feed(read.where(~bad & looked).drop(FS.CORRUPT),
+                read.where(bad & looked).select(F.lit(name).alias("feed"), F.col(FS.CORRUPT).alias("line")))
 
 
 def load_feeds(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, Feed]:

@@ -48,6 +48,7 @@ def test_feed_headers_and_bad_lines(spark, tmp_path):
     feed = FE.load_feed(spark, "erp_loc_a101", paths["erp_loc_a101"])
     assert sorted(tuple(r) for r in feed.rows.collect()) == [("AW-1", "DE"), ("AW-3", None)]
     assert [r.line for r in feed.rejected.collect()] == ["AW-2,US,too,many"]
+    assert (feed.rows.count(), feed.rejected.count()) == (2, 1)
     group = FE.load_group(spark, str(tmp_path / "."), "crm")
     assert group == {"customers": None, "products": None, "sales": None}
     with pytest.raises(ValueError):
