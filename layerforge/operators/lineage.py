@@ -1,6 +1,7 @@
 """Lineage as an edge table: closure, reach, paths, impact and report.
 
-Edges are rows (src, dst): data flows from ``src`` into ``dst``.  All are
+Edges are rows (src, dst): data flows from ``src`` into ``dst``.  All pairs of
+a graph come from reach labels (``reach.all_pairs``); the others are
 computed by semi-naive iteration: each round joins only what the previous
 round found (the frontier) and removes what is already known (``left_anti``).
 The loop ends when a round finds nothing, so cycles end too, and a node on a
@@ -53,20 +54,36 @@ def _directed(edges: DataFrame, reverse: bool) -> DataFrame:
     return write_through(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).distinct(), "edges")
 
 
-def closure(edges: DataFrame, reverse: bool = False, method: str = "doubling",
+def closure(edges: DataFrame, reverse: bool = False, method: str = "labels",
             start: DataFrame | None = None) -> DataFrame:
     """(asset, reached) pairs: downstream (follow edges) or upstream (``reverse``).
 
     ``start`` (a column ``asset``) asks for the pairs of those assets alone;
     without it every pair of the graph is made, which can be far more rows
-    than edges.  ``doubling`` (all pairs): round i finds the pairs whose
-    shortest path has length in (2^i, 2^(i+1)], so depth d takes about
-    log2(d) + 1 rounds.  ``linear``, and always with ``start``: the frontier
+    than edges.  ``labels`` (all pairs): the ways up to where they part are
+    written out as lists, and only what lies beyond is searched.
+    ``doubling``: round i finds the pairs whose shortest path has length in
+    (2^i, 2^(i+1)], so depth d takes about log2(d) + 1 rounds, each of which
+    shuffles all pairs so far.  ``linear``, and always with ``start``: the frontier
     joined with the edges, d rounds with the least work per round.
     """
+    if method == "labels" and start is None:
+        return _closure_by_labels(edges, reverse)
     return pairs_from(_directed(edges, reverse), start, method).select(F.col("a").alias("asset"), F.col("b").alias("reached"))
 
 
+def _closure_by_labels(edges: DataFrame, reverse: bool) -> DataFrame:
+    from layerforge.operators.reach import all_pairs, reach_labels  # reach builds on the search below
+
+    ends = edges.select("src", "dst")
+    if ends.where("src IS NULL OR dst IS NULL").isEmpty():
+        return all_pairs(reach_labels(ends), reverse)
+    # A NULL end reaches and is reached, but leads nowhere: as a source and as a target it is an asset of its own.
+    node = lambda c, kind: F.struct(F.when(F.col(c).isNull(), kind).otherwise(0).alias("kind"), F.col(c).alias("id"))
+    named = ends.select(node("src", 1).alias("src"), node("dst", 2).alias("dst"))
+    return all_pairs(reach_labels(named), reverse).select(F.col("asset.id").alias("asset"), F.col("reached.id").alias("reached"))
+
+
 def pairs_from(e: DataFrame, start: DataFrame | None, method: str = "linear") -> DataFrame:
     """``closure`` over stored, distinct edges (a, b), as pairs (a, b)."""
     first = e if start is None else e.join(start.select(F.col("asset").alias("a")).distinct(), "a", "left_semi")

@@ -10,8 +10,11 @@ distance to it, and how many assets hang below.  Only the tops where ways part g
 Labels are found by pointer doubling: depth d takes about log2(d) rounds, each an equi-join of the assets with
 themselves, so a chain of any length stays a table of one row per asset.  An asset on a way that its own top leads
 back to reaches the same as the top; it becomes a top with the top's pairs (``alias``).  Of a cycle without any
-parting, the smallest asset becomes a top.  Where nearly every asset's ways part, the pairs are those of
-``lineage.closure``; then the graph is read in the direction in which fewer ways part.
+parting, the smallest asset becomes a top.  Where nearly every asset's ways part, the pairs are those of the whole
+graph; so it is read in the direction in which fewer ways part.
+
+``all_pairs`` writes the pairs out.  The assets on a way are put together as lists that double their length, so no
+pair is joined, compared or looked for twice, and an asset that all others reach is no key that all pairs share.
 
 A null end of an edge is no asset.  An asset on a cycle reaches itself.
 """
@@ -19,6 +22,7 @@ A null end of an edge is no asset.  An asset on a cycle reaches itself.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -148,6 +152,59 @@ def reach_counts(found: Labels) -> DataFrame:
         "asset", ahead.cast("long").alias(down), behind.cast("long").alias(up)).select("asset", "n_downstream", "n_upstream")
 
 
+#: Assets that a list of the table of ways holds at most; longer ways are several lists.
+BLOCK_HOPS = 6
+BLOCK = 1 << BLOCK_HOPS
+
+
+def _blocks(found: Labels) -> DataFrame:
+    """(asset, way): the next assets on the way to the top, in order, ``BLOCK`` at most; tops have none.
+
+    A list is continued by the list of its last asset.  Only lists that some other one goes on with are looked up, a
+    stored table that gets small where many ways meet, and is then sent to the tasks instead of shuffling all lists.
+    """
+    ways, done = found.hops[0].select("asset", F.array("far").alias("way")), []
+    for i in range(min(BLOCK_HOPS, len(found.hops))):
+        full = F.size("way") == (1 << i)
+        going = ways.where(full).select("asset", "way", F.element_at("way", -1).alias("_last"))
+        met = going.select(F.col("_last").alias("asset")).distinct()
+        every = reduce(DataFrame.unionByName, [*done, ways])
+        ahead = write_through(every.join(met, "asset", "left_semi").select(F.col("asset").alias("_at"), F.col("way").alias("_way")), "ways-ahead")
+        if i:  # at first all lists have one asset
+            done.append(ways.where(~full))
+        longer = going.join(ahead, F.col("_last") == F.col("_at"), "left")
+        ways = write_through(longer.select("asset", F.when(F.col("_way").isNull(), F.col("way")).otherwise(F.concat("way", "_way")).alias("way")), "ways")
+    return reduce(DataFrame.unionByName, [*done, ways])
+
+
+def all_pairs(found: Labels, reverse: bool = False) -> DataFrame:
+    """(asset, reached): every pair of the graph once, downstream or (``reverse``) upstream.
+
+    The pairs of an asset are the lists of its way and the pairs of its top.  A list starts at the asset and at every
+    ``BLOCK``-th asset after it: these are found by the hops whose lengths make up the multiples of ``BLOCK``.
+    """
+    labels, pairs = found.labels, found.pairs
+    # A top that reaches itself is on the way of what hangs on it.
+    beyond = labels.join(pairs.withColumnRenamed("asset", "alias"), "alias").where(
+        (F.col("dist") == 0) | (F.col("reached") != F.col("top"))).select("asset", "reached")
+    out = beyond
+    if found.hops:
+        blocks = write_through(_blocks(found), "ways")
+        on_way = blocks.select("asset", F.explode("way").alias("reached"))
+        starts = None
+        for hop in reversed(found.hops[BLOCK_HOPS:]):
+            step = hop.select(F.col("asset").alias("at"), F.col("far").alias("_far"))
+            first = hop.select("asset", F.col("far").alias("at"))
+            starts = first if starts is None else first.unionByName(starts).unionByName(
+                starts.join(step, "at").select("asset", F.col("_far").alias("at")))
+            starts = write_through(starts, "ways-starts")
+        if starts is not None:
+            later = starts.join(blocks.select(F.col("asset").alias("at"), "way"), "at")
+            on_way = on_way.unionByName(later.select("asset", F.explode("way").alias("reached")))
+        out = on_way.unionByName(beyond)
+    return out.select(F.col("reached").alias("asset"), F.col("asset").alias("reached")) if reverse != found.turned else out
+
+
 def reaches(found: Labels, asked: DataFrame) -> DataFrame:
     """The rows of ``asked`` (asset, other), once each, with ``reached``: whether the asset flows into the other.
 

@@ -5,7 +5,8 @@ import random
 import pytest
 
 from layerforge.operators import lineage as LN
-from layerforge.operators.reach import reach_counts, reach_labels, reaches
+from layerforge.operators import reach
+from layerforge.operators.reach import all_pairs, reach_counts, reach_labels, reaches
 
 
 def _plain(edges):
@@ -73,3 +74,39 @@ def test_impact_and_report_of_the_warehouse_need_no_pair_table(spark):
     rows = lambda df: sorted(tuple(r) for r in df.collect())
     assert rows(LN.impact(edges, counts=counts)) == rows(LN.impact(edges, pairs))
     assert rows(LN.report(edges, counts=counts)) == rows(LN.report(edges, pairs))
+
+
+@pytest.mark.parametrize("turned, hops", [(False, 1), (True, 6)])
+def test_all_pairs_equal_a_plain_search(spark, monkeypatch, turned, hops):
+    monkeypatch.setattr(reach, "BLOCK_HOPS", hops)  # with short lists a way is many of them
+    edges = [(a, b) for a, b in _graphs() if not 2010 < max(a, b) < 3000]  # of the long chain the start alone
+    found = reach_labels(spark.createDataFrame([*edges, *edges[:5]], "src long, dst long"), turned)
+    want = sorted((a, b) for a, r in _plain(edges).items() for b in r)
+    assert sorted(tuple(r) for r in all_pairs(found).collect()) == want  # each pair once
+    assert sorted((r.reached, r.asset) for r in all_pairs(found, reverse=True).collect()) == want
+
+
+def test_closure_of_a_tree_searches_only_what_its_top_reaches(spark, monkeypatch):
+    """Both directions: the frontier search, which shuffles pairs, is left with the one pair of the root."""
+    searched = []
+    search = LN.pairs_from
+
+    def counted(*args, **kwargs):
+        searched.append(search(*args, **kwargs))
+        return searched[-1]
+
+    monkeypatch.setattr(LN, "pairs_from", counted)
+    monkeypatch.setattr(reach, "pairs_from", counted)
+    edges = [(i, i // 2) for i in range(300)]
+    want = sorted((a, b) for a, r in _plain(edges).items() for b in r)
+    df = spark.createDataFrame(edges, "src long, dst long")
+    assert sorted(tuple(r) for r in LN.closure(df).collect()) == want
+    assert sorted((r.reached, r.asset) for r in LN.closure(df, reverse=True).collect()) == want
+    assert [[tuple(r) for r in pairs.collect()] for pairs in searched] == [[(0, 0)], [(0, 0)]]
+
+
+def test_closure_keeps_pairs_with_null_ends(spark):
+    edges = spark.createDataFrame([("a", "b"), ("b", None), (None, "a"), ("b", "c"), ("c", "b")], "src string, dst string")
+    want = {(a, b) for a in ("a", "b", "c", None) for b in ("b", "c", None)} | {(None, "a")}
+    got = [tuple(r) for r in LN.closure(edges).collect()]
+    assert set(got) == want and len(got) == len(want)
