@@ -50,7 +50,7 @@ def main() -> None:
 
     times: dict[str, float] = {}
     t0 = time.time()
-    layers(spark, sf_dir)
+    layers(spark, sf_dir).store_all()
     times["warehouse_build"] = round(time.time() - t0, 3)
 
     for key in HEADLINE:

@@ -39,7 +39,8 @@ RANGES = {"sls_quantity": (1, 1000), "sls_price": (0, 100000)}
 
 
 def completeness(layers: Layers) -> DataFrame:
-    return Q.union_all([Q.completeness_checks(layers.silver[t], t, f) for t, f in CRITICAL_FIELDS.items()])
+    view = getattr(layers.silver, "view", layers.silver.get)  # every table is read once
+    return Q.union_all([Q.completeness_checks(view(t), t, f) for t, f in CRITICAL_FIELDS.items()])
 
 
 def dtype_family(layers: Layers) -> DataFrame:
