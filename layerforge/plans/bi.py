@@ -11,6 +11,8 @@ is left unsorted -- a global sort of every sale serves no reader.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,8 +35,16 @@ def spread_nulls(key: str, *by: str, ways: int = 1 << 20) -> Column:
     return F.coalesce(F.col(key), -1 - F.pmod(F.xxhash64(*by), F.lit(ways)))
 
 
-def flat_sales(fact: DataFrame, dim_cust: DataFrame, dim_prod: DataFrame) -> DataFrame:
-    """Denormalised sales rows with a known order date."""
+_SALE, _CUSTOMER, _PRODUCT = (("order_date", "sales_amount", "quantity", "price"), ("customer_name", "country", "gender", "marital_status"),
+                              ("product_name", "category", "subcategory", "product_line"))
+
+
+def flat_sales(fact: DataFrame, dim_cust: DataFrame, dim_prod: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Denormalised sales rows with a known order date; with ``columns`` those alone.
+
+    A dimension's key is unique, so a left join with one of which no column is asked for gives each sale once and
+    nothing else: it is left out.
+    """
     by = ("order_number", "customer_key", "product_key", "order_date", "sales_amount")
     sales = fact.where(F.col("order_date").isNotNull()).select(
         "order_date", "sales_amount", "quantity", "price",
@@ -42,7 +52,11 @@ def flat_sales(fact: DataFrame, dim_cust: DataFrame, dim_prod: DataFrame) -> Dat
     customer = dim_cust.select(F.col("customer_key").alias("_c"), customer_name().alias("customer_name"),
                                "country", "gender", "marital_status")
     product = dim_prod.select(F.col("product_key").alias("_p"), "product_name", "category", "subcategory", "product_line")
-    return sales.join(customer, "_c", "left").join(product, "_p", "left").drop("_c", "_p")
+    wanted = list(columns or _SALE + _CUSTOMER + _PRODUCT)
+    for dim, key, own in ((customer, "_c", _CUSTOMER), (product, "_p", _PRODUCT)):
+        if set(wanted) & set(own):
+            sales = sales.join(dim, key, "left")
+    return sales.select(*wanted)
 
 
 def _fact_by(fact: DataFrame, key: str) -> DataFrame:
