@@ -433,6 +433,24 @@ def test_rejects_are_replayed_once(spark, tmp_path):
     assert {p.split(f"{DL.SIDE}=")[1][0] for p in good.inputFiles()} == {"0"}
 
 
+def test_a_replay_writes_its_rows_once(spark, tmp_path):
+    base, reason = str(tmp_path / "d"), F.when(F.col("x").isNull(), "x")
+    DL.split_load(spark, base, spark.createDataFrame([(i, None) for i in range(30)], "id int, x int"), reason, "run-1")
+    mended = spark.createDataFrame([(r.id, None if r.id == 3 else 1, r[DL.REJECT]) for r in DL.rejects(spark, base).collect()], f"id int, x int, {DL.REJECT} string")
+    v = DL.replay(spark, base, mended.where("id < 10"), reason, "run-2")
+    assert not os.path.exists(f"{base}/_drafts") and os.listdir(f"{base}/{v.paths[-1]}") == ["rows"]
+    assert {r.id for r in DL.rejects(spark, base).collect()} == {3, *range(10, 30)}
+    # A replay of before, whose ids lie in files of their own.
+    old = f"load-{'0' * 32}"
+    ids = mended.where("id between 10 and 14").select(DL.REJECT)
+    DL.V.commit(spark, base, {**v.entry, "paths": [*v.paths, old], "loads": [*v.entry["loads"], old], "replays": [*v.entry["replays"], old]}, v.n)
+    ids.write.parquet(f"{base}/{old}/_replayed")
+    assert {r.id for r in DL.rejects(spark, base).collect()} == {3, *range(15, 30)}
+    DL.replay(spark, base, mended, reason, "run-3")
+    assert _rows(DL.good_rows(spark, base)) == Counter((i, 1) for i in range(30) if i != 3 and not 10 <= i < 15)
+    assert [r.id for r in DL.rejects(spark, base).collect()] == [3]
+
+
 def test_replays_at_once(spark, tmp_path):
     base, gate = str(tmp_path / "d"), threading.Barrier(3)
     DL.split_load(spark, base, spark.createDataFrame([(i, None) for i in range(30)], "id int, x int"), F.when(F.col("x").isNull(), "x"), "r")
